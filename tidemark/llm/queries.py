@@ -6,17 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, sharding
+from . import bpe, langid, mixing, ngram_join, pii, sharding
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
+#: In production a secret from the cluster's configuration; here fixed, so that reruns agree.
+PII_KEY = "surrogates-2024"
+
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(docs, VOCABULARY).drop("text")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
@@ -26,6 +33,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"), n=3, percent=90)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -39,7 +50,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_bpe, op4_sharding, op9_mixing, op10_langid)}
+    return {f.__name__: f for f in (op1_bpe, op3_pii, op4_sharding, op7_ngram_join, op9_mixing, op10_langid)}
 
 
 def oracle_sql() -> dict[str, str]:
