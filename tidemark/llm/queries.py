@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, ngram_join, pii, sharding
+from . import bpe, langid, mixing, ngram_join, pii, sharding, vectors
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -33,10 +33,18 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_k(table(spark, sf_dir, "embeddings"), every=100, k=10, scale=1024)
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"), n=3, percent=90)
 
 
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -50,8 +58,26 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_bpe, op3_pii, op4_sharding, op7_ngram_join, op9_mixing, op10_langid)}
+    return {f.__name__: f for f in (op1_bpe, op3_pii, op4_sharding, op6_topk, op7_ngram_join, op8_near_vectors, op9_mixing, op10_langid)}
+
+
+TOPK_SQL = """
+WITH good AS (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * r.x[i])) AS BIGINT) AS score
+  FROM good q JOIN good r ON r.vec_id <> q.vec_id AND len(q.x) = len(r.x)
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_topk": TOPK_SQL}
