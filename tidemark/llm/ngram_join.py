@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, mix, slices, weights, words
+from .common import bitmap, components, cut, mix, slices, slot, weights, words
 
 BANDS, BAND_ROWS = 4, 3
 #: Rows of one side that meet in a task at once.
@@ -41,8 +41,8 @@ BLOCK = 512
 LEADERS = 8
 #: Shingles that two prefixes must share.
 SHARED = 3
-#: Size of the broadcast filters: most of the frequent shingles whose order is known, bits of the id filter.
-FREQUENT, BITS = 100_000, 1 << 26
+#: Frequent shingles whose order is broadcast; the order of any others is by hash. It bears on speed, not on results.
+FREQUENT = 100_000
 _W = weights(64, 7)
 _SEEDS = weights(BANDS * BAND_ROWS, 11)
 
@@ -147,18 +147,12 @@ def _fetch(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     A bitmap of hashed ids, of a fixed 8 MB, spares most other documents the work and the exchange; an exact join
     follows, so a full bitmap costs time, not results.
     """
-    spark = docs.sparkSession
-    slot = F.pmod(F.xxhash64(F.lit(3), F.col("node")), F.lit(BITS)) + 1
-    maps = ids.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("m")).collect()
-    bits = np.zeros(BITS // 8 + 8192, np.uint8)
-    for r in maps:
-        bits[(r["b"] - 1) * 4096 : r["b"] * 4096] = np.frombuffer(r["m"], np.uint8)
-    shared = spark.sparkContext.broadcast(bits)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(ids.select(F.col("node").alias("id"))))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         b = shared.value
         for p in parts:
-            s = p["slot"].to_numpy()  # bitmaps count from 1; slot is the bit's place from 0
+            s = p["slot"].to_numpy()
             hit = (b[s >> 3] >> (s & 7).astype(np.uint8)) & 1
             p = p[hit.astype(bool)]
             if len(p):
@@ -166,8 +160,7 @@ def _fetch(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
                 rows = [(int(ids_[i]), len(x), x.tobytes()) for i, x in _sets(p, n)]
                 yield pd.DataFrame(rows, columns=["node", "n", "tokens"])
 
-    bit = (F.bitmap_bucket_number(F.col("s")) - 1) * 32768 + F.bitmap_bit_position(F.col("s"))
-    asked = docs.where("doc_id is not null").withColumn("s", F.pmod(F.xxhash64(F.lit(3), F.col("doc_id")), F.lit(BITS)) + 1).select("doc_id", "text", bit.cast("long").alias("slot"))
+    asked = docs.where("doc_id is not null").select("doc_id", "text", slot(F.col("doc_id")).alias("slot"))
     got = asked.mapInPandas(run, "node long, n long, tokens binary")
     return cut(got.join(ids, "node", "left_semi").dropDuplicates(["node", "n"]))
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, ngram_join, pii, sharding, vectors
+from . import bpe, langid, mixing, ngram_join, pii, sharding, substring_dedup, vectors
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, VOCABULARY).drop("text")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=13)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
 
@@ -58,7 +63,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_bpe, op3_pii, op4_sharding, op6_topk, op7_ngram_join, op8_near_vectors, op9_mixing, op10_langid)}
+    return {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_pii, op4_sharding, op6_topk, op7_ngram_join, op8_near_vectors, op9_mixing, op10_langid)}
 
 
 TOPK_SQL = """
