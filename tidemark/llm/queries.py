@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, ngram_join, pii, sharding, substring_dedup, vectors
+from . import bpe, html_text, langid, mixing, ngram_join, pii, sharding, substring_dedup, vectors
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -38,6 +38,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(table(spark, sf_dir, "embeddings"), every=100, k=10, scale=1024)
 
@@ -63,7 +68,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_pii, op4_sharding, op6_topk, op7_ngram_join, op8_near_vectors, op9_mixing, op10_langid)}
+    return {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_pii, op4_sharding, op5_html_text, op6_topk, op7_ngram_join, op8_near_vectors, op9_mixing, op10_langid)}
 
 
 TOPK_SQL = """
