@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, langid, mixing, ngram_join, pii
-from tidemark.llm.common import cut, table
+from tidemark.llm.common import cut, table, without
 from tidemark.llm.queries import PII_KEY, VOCABULARY
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,8 +21,12 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document stays of each group linked by five-word shingles at a similarity of 0.8: the smallest doc_id."""
     found = ngram_join.jaccard_join(docs.select("doc_id", "text"), n=5, percent=80)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    left = without(docs.select(*COLUMNS), found.where("component_id <> doc_id"), "doc_id")
+    often = cut(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if often.isEmpty():
+        return left
+    repeats = left.join(often, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return without(left, often, "doc_id").select(*COLUMNS).unionByName(repeats.select(*COLUMNS))
 
 
 def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ opened. Spread over a cluster:
 
 1. Equal shingle sets become one node (pre-aggregation: groups of exact copies shrink to one row).
 2. Grouping: nodes that share a band of min-hashes are compared with their bucket's leaders, at most BLOCK nodes a
-   task; those at the threshold or above join the leader's group. Four bands, each over the leaders left.
+   task; those at the threshold or above join the leader's group. Three bands, each over the leaders left.
 3. Candidates between groups, exact: a pair at the threshold shares SHARED shingles of both prefixes (rarest first by
    a fixed order), so an equi-join of the matrix's prefix rows (shingle, group) finds every pair of groups that can
    hold a link, whatever step 2 missed.
@@ -14,8 +14,8 @@ opened. Spread over a cluster:
    matrix of sub-groups bounds the overlap and qualifying sub-groups are compared exactly.
 5. Connected components over the links between groups.
 
-Links within a group are enough for its component, so no pair is listed twice and copies aren't expanded. Sets are
-kept as 64-bit hashes of shingles.
+Links within a group are enough for its component, so no pair is listed twice and copies aren't expanded. Shingles
+are 64-bit hashes; of these 48 bits are sent where sets are compared.
 
 Defined cases: null or empty texts have no shingles and are linked with nothing; a text of fewer than n words has one
 shingle, all its words; rows with a null doc_id keep their row, take no part and have a null component; rows that
@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 
 from .common import bitmap, components, cut, mix, slices, slot, weights, words
 
-BANDS, BAND_ROWS = 4, 3
+BANDS, BAND_ROWS = 3, 3
 #: Rows of one side that meet in a task at once.
 BLOCK = 512
 #: Leaders that a bucket tries in a band; what fits none of them is left to step 3.
 LEADERS = 8
 #: Shingles that two prefixes must share.
-SHARED = 3
+SHARED = 12
 #: Frequent shingles whose order is broadcast; the order of any others is by hash. It bears on speed, not on results.
 FREQUENT = 100_000
 _W = weights(64, 7)
@@ -141,8 +141,20 @@ def _prefixes(docs: DataFrame, n: int, percent: int, order: tuple[np.ndarray, np
     return docs.mapInPandas(run, "doc_id long, n long, prefix array<long>")
 
 
+def _pack(s: np.ndarray) -> bytes:
+    """48 bits of each hash, sorted."""
+    low = np.sort(s & np.int64(2**48 - 1)).astype("<i8")
+    return low.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpack(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+    return out.view("<i8").ravel()
+
+
 def _fetch(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(node, n, tokens) of the documents in ids(node).
+    """ids(node, ...), a row or more a node, with n and tokens of the documents.
 
     A bitmap of hashed ids, of a fixed 8 MB, spares most other documents the work and the exchange; an exact join
     follows, so a full bitmap costs time, not results.
@@ -157,12 +169,12 @@ def _fetch(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
             p = p[hit.astype(bool)]
             if len(p):
                 ids_ = p["doc_id"].tolist()
-                rows = [(int(ids_[i]), len(x), x.tobytes()) for i, x in _sets(p, n)]
+                rows = [(int(ids_[i]), len(x), _pack(x)) for i, x in _sets(p, n)]
                 yield pd.DataFrame(rows, columns=["node", "n", "tokens"])
 
     asked = docs.where("doc_id is not null").select("doc_id", "text", slot(F.col("doc_id")).alias("slot"))
     got = asked.mapInPandas(run, "node long, n long, tokens binary")
-    return cut(got.join(ids, "node", "left_semi").dropDuplicates(["node", "n"]))
+    return got.dropDuplicates(["node", "n"]).join(ids, "node")
 
 
 def _link(s: np.ndarray, flat: np.ndarray, start: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -221,14 +233,14 @@ def _group(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame
     keys = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     full = keys.groupBy("band", "key").agg(F.count("*").alias("c")).where("c > 1")
     shared = cut(keys.join(full.select("band", "key"), ["band", "key"], "left_semi"))
-    tokens = _fetch(docs, shared.select("node").distinct(), n)
+    tokens = cut(_fetch(docs, shared.select("node").distinct(), n))
     now = tokens.select("node", F.col("node").alias("lead")).distinct()
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, g in p.groupby(["key", "sub"]):
             if len(g) > 1:
-                out += _stars(g["node"].tolist(), [np.frombuffer(t, np.int64) for t in g["tokens"]], percent)
+                out += _stars(g["node"].tolist(), [_unpack(t) for t in g["tokens"]], percent)
         return pd.DataFrame(out, columns=["node", "lead"])
 
     for band in range(BANDS):
@@ -272,19 +284,19 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "
     sided = cut(sided.select(F.when(F.col("sa") >= F.col("sb"), F.col("a")).otherwise(F.col("b")).alias("host"), F.when(F.col("sa") >= F.col("sb"), F.col("b")).otherwise(F.col("a")).alias("guest"), F.greatest("sa", "sb").alias("hosts"), F.least("sa", "sb").alias("guests")))
     needed = sided.select(F.col("host").alias("comp")).unionAll(sided.select(F.col("guest").alias("comp"))).distinct()
     ids = cut(member.join(needed, "comp", "left_semi").select("node", "comp").distinct())
-    tokens = _fetch(docs, ids.select("node").distinct(), n).join(ids, "node")
     hosts = sided.groupBy("host").agg(F.ceil(F.max("hosts") / BLOCK).cast("int").alias("nm"), F.ceil(F.sum("guests") / BLOCK).cast("int").alias("nq"))
-    block = lambda column, of: F.pmod(F.xxhash64(F.col(column)), F.col(of)).cast("int")
-    inside = tokens.join(hosts, tokens["comp"] == hosts["host"]).select("host", F.lit(0).alias("side"), "node", "tokens", block("node", "nm").alias("mb"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"))
-    asking = sided.select("host", "guest").join(hosts, "host").join(tokens, F.col("guest") == F.col("comp")).select("host", F.lit(1).alias("side"), "node", "tokens", F.explode(F.sequence(F.lit(0), F.col("nm") - 1)).alias("mb"), block("node", "nq").alias("qb"))
-    both = inside.unionByName(asking)
+    block = lambda of: F.pmod(F.xxhash64(F.col("node")), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    inside = ids.join(hosts, F.col("comp") == F.col("host")).select("host", F.lit(0).alias("side"), "node", block("nm").alias("mb"), every("nq").alias("qb"))
+    asking = sided.select("host", "guest").join(hosts, "host").join(ids, F.col("guest") == F.col("comp")).select("host", F.lit(1).alias("side"), "node", every("nm").alias("mb"), block("nq").alias("qb"))
+    both = _fetch(docs, cut(inside.unionByName(asking)), n)
     parts = max(1, -(-sided.count() // 250))
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, g in p.groupby(["host", "mb", "qb"]):
             side = g["side"].to_numpy()
-            rows = [(v, np.frombuffer(t, np.int64)) for v, t in zip(g["node"].tolist(), g["tokens"], strict=True)]
+            rows = [(v, _unpack(t)) for v, t in zip(g["node"].tolist(), g["tokens"], strict=True)]
             members, guests = [r for r, s in zip(rows, side, strict=True) if s == 0], [r for r, s in zip(rows, side, strict=True) if s == 1]
             if members and guests:
                 out += _open(members, guests, percent)
