@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that are hashed at once; bounds a worker's memory, not what it reads.
-SLICE = 4_000_000
+SLICE = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

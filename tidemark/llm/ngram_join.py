@@ -7,7 +7,7 @@ opened. Spread over a cluster:
 1. Equal shingle sets become one node (pre-aggregation: groups of exact copies shrink to one row).
 2. Grouping: nodes that share a band of min-hashes are compared with their bucket's leaders, at most BLOCK nodes a
    task; those at the threshold or above join the leader's group. Three bands, each over the leaders left.
-3. Candidates between groups, exact: a pair at the threshold shares SHARED shingles of both prefixes (rarest first by
+3. Candidates between groups, exact: a pair at the threshold shares several shingles of both prefixes (rarest first by
    a fixed order), so an equi-join of the matrix's prefix rows (shingle, group) finds every pair of groups that can
    hold a link, whatever step 2 missed.
 4. Opening: each candidate group's members and the documents that query it meet in blocks of BLOCK x BLOCK; there the
@@ -39,8 +39,8 @@ BANDS, BAND_ROWS = 3, 3
 BLOCK = 512
 #: Leaders that a bucket tries in a band; what fits none of them is left to step 3.
 LEADERS = 8
-#: Shingles that two prefixes must share.
-SHARED = 12
+#: Shingles that two prefixes must share: one, and one more for every STEP shingles of the smaller set, up to SHARED.
+SHARED, STEP = 12, 64
 #: Frequent shingles whose order is broadcast; the order of any others is by hash. It bears on speed, not on results.
 FREQUENT = 100_000
 _W = weights(64, 7)
@@ -111,7 +111,7 @@ def _describe(docs: DataFrame, n: int) -> DataFrame:
             f = pd.DataFrame(out, columns=["doc_id", "n", "digest", "bands"])
             f["doc_id"] = f["doc_id"].astype("Int64")
             yield f.assign(token=pd.array([pd.NA] * len(f), "Int64"), df=0)
-        least = max(16, rows // 500)
+        least = max(6, rows // 500)
         often = [(k, v) for k, v in count.items() if v >= least]
         f = pd.DataFrame({"token": pd.array([k for k, _ in often], "Int64"), "df": [v for _, v in often]})
         yield f.assign(doc_id=pd.array([pd.NA] * len(f), "Int64"), n=0, digest="", bands=[[]] * len(f))[["doc_id", "n", "digest", "bands", "token", "df"]]
@@ -130,7 +130,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, order: tuple[np.ndarray, np
             ids = p["doc_id"].tolist()
             for i, s in _sets(p, n):
                 if len(s) and not pd.isna(ids[i]):
-                    length = min(len(s), len(s) - -(-percent * len(s) // 100) + SHARED)
+                    length = min(len(s), len(s) - -(-percent * len(s) // 100) + min(SHARED, 1 + len(s) // STEP))
                     w = np.zeros(len(s), np.int64)
                     if len(token):
                         at = np.minimum(np.searchsorted(token, s), len(token) - 1)
@@ -277,7 +277,7 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "
     a, b = matrix.alias("a"), matrix.alias("b")
     near = (F.col("a.token") == F.col("b.token")) & (F.col("a.comp") < F.col("b.comp")) & (F.col("a.least") * percent <= F.col("b.most") * 100) & (F.col("b.least") * percent <= F.col("a.most") * 100)
     pairs = a.join(b, near).groupBy(F.col("a.comp").alias("a"), F.col("b.comp").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("a.least", "b.least")).alias("m"))
-    pairs = cut(pairs.where(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("m") * percent / 100))).select("a", "b"))
+    pairs = cut(pairs.where(F.col("c") >= F.least(F.lit(SHARED), 1 + F.floor(F.col("m") / STEP), F.ceil(F.col("m") * percent / 100))).select("a", "b"))
     # step 4: the larger group is opened for the documents of the smaller one
     size = member.groupBy("comp").agg(F.countDistinct("node").alias("size"))
     sided = pairs.join(size.select(F.col("comp").alias("a"), F.col("size").alias("sa")), "a").join(size.select(F.col("comp").alias("b"), F.col("size").alias("sb")), "b")
