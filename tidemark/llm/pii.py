@@ -85,7 +85,7 @@ def _alike(norm: F.Column, seed: F.Column) -> F.Column:
 
 def _luhn(digits: F.Column) -> F.Column:
     """Luhn sum of a string of digits, modulo 10."""
-    d = F.transform(F.split(F.reverse(digits), ""), lambda c, i: F.when(i % 2 == 0, c.cast("int")).otherwise(F.element_at(F.array(*[F.lit(x) for x in (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)]), c.cast("int") + 1)))
+    d = F.transform(F.split(F.reverse(digits), ""), lambda c, i: F.when(i % 2 == 0, c.try_cast("int")).otherwise(F.element_at(F.array(*[F.lit(x) for x in (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)]), c.try_cast("int") + 1)))
     return F.aggregate(d, F.lit(0), lambda a, x: a + x) % 10
 
 
