@@ -69,7 +69,7 @@ def _pick(seed: F.Column, i: F.Column, n: int) -> F.Column:
 def _alike(norm: F.Column, seed: F.Column) -> F.Column:
     """Every digit and ASCII letter drawn anew, all else kept."""
 
-    hexadecimal = norm.rlike("^[0-9a-f]{16,}$")
+    hexadecimal = norm.rlike("^(?=.*[a-f])[0-9a-f]{16,}$")
 
     def one(c: F.Column, i: F.Column) -> F.Column:
         return (
