@@ -109,12 +109,12 @@ def _describe(docs: DataFrame, n: int) -> DataFrame:
                 if len(count) > 2_000_000:
                     count = {k: v for k, v in count.items() if v >= 16}
             f = pd.DataFrame(out, columns=["doc_id", "n", "digest", "bands"])
-            f["doc_id"] = f["doc_id"].astype("Int64")
+            f["doc_id"], f["bands"] = f["doc_id"].astype("Int64"), f["bands"].astype(object)
             yield f.assign(token=pd.array([pd.NA] * len(f), "Int64"), df=0)
         least = max(6, rows // 500)
         often = [(k, v) for k, v in count.items() if v >= least]
         f = pd.DataFrame({"token": pd.array([k for k, _ in often], "Int64"), "df": [v for _, v in often]})
-        yield f.assign(doc_id=pd.array([pd.NA] * len(f), "Int64"), n=0, digest="", bands=[[]] * len(f))[["doc_id", "n", "digest", "bands", "token", "df"]]
+        yield f.assign(doc_id=pd.array([pd.NA] * len(f), "Int64"), n=0, digest="", bands=pd.Series([[]] * len(f), dtype=object, index=f.index))[["doc_id", "n", "digest", "bands", "token", "df"]]
 
     return docs.mapInPandas(run, "doc_id long, n long, digest string, bands array<long>, token long, df long")
 
