@@ -21,8 +21,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Words remembered by a worker; beyond that it starts afresh (memory only, results are the same).
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 _NONE = np.int64(1) << np.int64(60)
 
 
@@ -264,6 +266,7 @@ def digests(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
 
 def _apply(docs: DataFrame, vocabulary: str, column: str, added: list[tuple[str, str]], work) -> DataFrame:
     """Add columns made by work(bpe, values). A column of the same name is replaced."""
+    small_batches(docs)
     with open(vocabulary, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())  # 2 MB, whatever the input
     names = [n for n, _ in added]

@@ -30,6 +30,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows that go to a Python worker at once; texts are long, and a worker's memory is what a batch and its copies take.
+BATCH = 1000
+
+
+def small_batches(df: DataFrame) -> None:
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH:
+        conf.set(key, str(BATCH))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer of a 64-bit hash (splitmix64), vectorised."""
     x = x.astype(np.uint64, copy=True)

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import small_batches
+
 DIM = 4096
 #: Languages of common families, by ISO 639-1 code. A code that is in none is a family of its own.
 FAMILIES = {
@@ -51,17 +53,17 @@ def features(text: str) -> np.ndarray:
     return (v / n if n else v).astype(np.float32)
 
 
-def svm(x: np.ndarray, y: np.ndarray, c: float = 20.0, steps: int = 200) -> np.ndarray:
+def svm(x: np.ndarray, y: np.ndarray, c: float = 20.0, steps: int = 150) -> np.ndarray:
     """Linear machine with squared hinge loss and bias (last weight), by accelerated gradient steps. y: -1 or 1."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    w = v = np.zeros(x.shape[1])
+    x, y = np.hstack([x, np.ones((len(x), 1), np.float32)]), y.astype(np.float32)
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
+    w = v = np.zeros(x.shape[1], np.float32)
     rate = 1 / (1 / c + 4.0)
     for k in range(steps):
         slack = np.maximum(0, 1 - y * (x @ v))
-        grad = v / c - 2 * (x.T @ (weight * y * slack))
-        step = v - rate * grad
-        v, w = step + k / (k + 3) * (step - w), step
+        grad = v / np.float32(c) - 2 * (x.T @ (weight * y * slack))
+        step = v - np.float32(rate) * grad
+        v, w = step + np.float32(k / (k + 3)) * (step - w), step
     return w
 
 
@@ -117,7 +119,7 @@ def held_out(doc_id: F.Column) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, per_language: int = 500, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Hierarchy | None:
+def fit(docs: DataFrame, per_language: int = 300, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Hierarchy | None:
     """Fit on at most per_language labelled rows a language that aren't held out; None without any."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(F.col(doc_id)))
     order = Window.partitionBy("lang").orderBy("h", "id")
@@ -138,6 +140,7 @@ def fit(docs: DataFrame, per_language: int = 500, text: str = "text", lang: str
 
 def identify(docs: DataFrame, model: Hierarchy | None, text: str = "text") -> DataFrame:
     """docs with lang_pred (`und` where there is no letter) and score in 0..1. Only the text is read for it."""
+    small_batches(docs)
     kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, components, cut, mix, slices, slot, weights, words
+from .common import bitmap, components, cut, mix, slices, slot, small_batches, weights, words
 
 BANDS, BAND_ROWS = 3, 3
 #: Rows of one side that meet in a task at once.
@@ -261,6 +261,7 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "
 
     Two documents link when 100 * shared shingles >= percent * all their shingles.
     """
+    small_batches(docs)
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text"))
     told = cut(_describe(docs, n))
     sets = told.where("token is null").select("doc_id", "n", "digest", "bands")

@@ -34,15 +34,22 @@ LATIN = "ba be bi bo da de di do fa fe ga ge la le li lo ma me mi mo na ne ni no
 CYRILLIC = "ба бе би бо да де ди до га ле ли ло ма ме ми мо на не ни но ра ре ри ро са се со та те ти то ва ве ви во за".split()
 #: Only the card's pattern has capturing groups, so its back references hold in the joined pattern too.
 ANY = "|".join(f"(?:{p})" for p in TYPES.values())
-#: A text that has none of these has no entity; spares most texts the search.
-HINT = r"[0-9@]|(?i:token|secret|passw|api)|(?:" + "|".join([*MALE, *FEMALE]) + r")\.? \p{Lu}"
+#: Words without which, and without a digit or @, a text has no entity; looking for them spares most texts the search.
+HINTS = ("token", "secret", "passw", "api", "Mr", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Sr", "господин", "г-н", "госпожа", "г-жа")
 _ROUNDS = 30
 
 
+def _hint(text: F.Column) -> F.Column:
+    found = text.rlike("[0-9@]")
+    for word in HINTS:
+        found = found | text.contains(word)
+    return found
+
+
 def mentions(text: F.Column) -> F.Column:
     """All entities of a text in order, as they stand there. Native; an empty array without any."""
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    return F.when(text.rlike(HINT), found).otherwise(F.array().cast("array<string>"))
+    return F.when(_hint(text), found).otherwise(F.array().cast("array<string>"))
 
 
 def kind(raw: F.Column) -> F.Column:
@@ -169,7 +176,7 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     columns = [c for c in docs.columns if c != "n_private"]
     col = F.col(f"`{text}`")
     own = docs.select(*[F.col(f"`{c}`") for c in columns])
-    found = own.where(col.rlike(HINT)).select(F.md5(col.cast("binary")).alias("__doc"), F.explode(mentions(col)).alias("raw"), col.alias("__text"))
+    found = own.where(_hint(col)).select(F.md5(col.cast("binary")).alias("__doc"), F.explode(F.regexp_extract_all(col, F.lit(ANY), F.lit(0))).alias("raw"), col.alias("__text"))
     # the title before a name tells its gender; a name keeps the first gender seen
     found = found.select("__doc", "raw", _gender(F.col("__text"), F.col("raw")).alias("gender")).distinct()
     found = found.withColumn("kind", kind(F.col("raw")))

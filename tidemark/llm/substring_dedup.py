@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, cut, mix, slices, slot, weights, words
+from .common import bitmap, cut, mix, slices, slot, small_batches, weights, words
 from .fm_index import FmIndex
 
 WINDOW, GRAM = 13, 4
@@ -208,6 +208,7 @@ def _search(blobs: list[bytes], window: int) -> pd.DataFrame:
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed and kept (the words left, joined by one space) of every row."""
+    small_batches(docs)
     own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text"))
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(8, -(-size // SHARD))
