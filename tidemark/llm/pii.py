@@ -43,7 +43,7 @@ def _hint(text: F.Column) -> F.Column:
     found = text.rlike("[0-9@]")
     for word in HINTS:
         found = found | text.contains(word)
-    return found
+    return F.coalesce(found, F.lit(False))
 
 
 def mentions(text: F.Column) -> F.Column:
@@ -189,14 +189,15 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     out = F.when(F.col("kind").isin("card", "ssn", "iban"), F.col("filled")).when(F.col("kind") == "phone", phone).when(F.col("kind") == "email", cased).otherwise(F.col("surrogate"))
     shown = shown.select("raw", out.alias("shown"))
     maps = found.select("__doc", "raw").distinct().join(shown, "raw").groupBy("__doc").agg(F.map_from_entries(F.collect_list(F.struct("raw", "shown"))).alias("__map"))
-    hit = own.withColumn("__raw", mentions(col))
     names_ = [F.col(f"`{c}`") for c in columns if c != text]
-    some = hit.where(F.size("__raw") > 0).withColumn("__doc", F.md5(col.cast("binary"))).join(maps, "__doc")
+    # a generator, so that the search runs once a text and not once for each use of its result
+    hit = own.where(_hint(col)).select("*", F.explode(F.array(F.regexp_extract_all(col, F.lit(ANY), F.lit(0)))).alias("__raw"))
+    hit = hit.withColumn("__doc", F.md5(col.cast("binary"))).join(maps, "__doc", "left")
     parts = F.split(col, ANY, -1)
     new = F.transform(F.col("__raw"), lambda r: F.element_at(F.col("__map"), r))
     joined = F.array_join(F.zip_with(parts, F.concat(new, F.array(F.lit(""))), lambda p, s: F.concat(p, s)), "")
-    some = some.select(*names_, joined.alias(text), F.size("__raw").alias("n_private"))
-    none = hit.where((F.size("__raw") <= 0) | F.col("__raw").isNull()).select(*names_, col, F.lit(0).alias("n_private"))
+    some = hit.select(*names_, F.when(F.size("__raw") > 0, joined).otherwise(col).alias(text), F.size("__raw").alias("n_private"))
+    none = own.where(~_hint(col)).select(*names_, col, F.lit(0).alias("n_private"))
     order = [F.col(f"`{c}`") for c in columns] + [F.col("n_private")]
     return some.select(*order).unionAll(none.select(*order))
 
