@@ -7,6 +7,7 @@ streamed documents, and intervals at the threshold are reported. Shards are made
 each finds everything: a window belongs to its minimizer (of the hashes of its GRAM-word sequences the least), and a
 maximal run of windows of one minimizer - a segment - goes to the minimizer's shard. Equal windows have equal
 minimizers and meet. Every shard's size is bounded by the number of shards, and the work grows with the input.
+Shards travel in groups of SUB: so the packs that a task sends stay long enough to compress well.
 
 Segments that are equal as a whole are pre-aggregated, in the map task and again in the shard: only those of the
 smallest doc_id go on, the others are covered at once. This keeps copies and common passages small everywhere.
@@ -30,8 +31,8 @@ from .common import bitmap, cut, mix, slices, slot, small_batches, weights, word
 from .fm_index import FmIndex
 
 WINDOW, GRAM = 13, 4
-#: Bytes of text whose segments make a shard, on average.
-SHARD = 4_000_000
+#: Bytes of text whose segments make a shard, on average; shards to a group; bytes of text dealt at once.
+SHARD, SUB, DEALT = 4_000_000, 8, 4_000_000
 _G, _NONE = weights(GRAM, 23), np.uint64(2**64 - 1)
 
 
@@ -98,17 +99,17 @@ def _spans(doc: np.ndarray, tid: np.ndarray, low: np.ndarray, high: np.ndarray)
     return f.groupby(part, sort=False).agg({"doc_id": "first", "tid": "first", "low": "min", "high": "max"})
 
 
-_COLUMNS = ["shard", "blob", "doc_id", "tid", "low", "high"]
+_COLUMNS = ["team", "blob", "doc_id", "tid", "low", "high"]
 
 
-def _deal(docs: DataFrame, shards: int, window: int) -> DataFrame:
-    """Segments packed by shard (blob), and spans found within the task (shard -1)."""
+def _deal(docs: DataFrame, teams: int, window: int) -> DataFrame:
+    """Segments packed by group of shards (blob), and spans found within the task (no blob), dealt over the groups."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pack = zstandard.ZstdCompressor(level=3)
         for p in parts:
             texts, ids, tids = utf8_bytes(p["text"]), p["doc_id"].to_numpy(np.int64), p["tid"].to_numpy(np.int64)
-            for a, b in slices(texts):
+            for a, b in slices(texts, DEALT):
                 owner, start, end, h, data = words(texts[a:b], lower=False)
                 first, length, v = _segments(owner, h, window)
                 if not len(first):
@@ -120,44 +121,54 @@ def _deal(docs: DataFrame, shards: int, window: int) -> DataFrame:
                 base = np.searchsorted(owner, np.arange(b - a))  # a document's first word
                 offset = first - base[owner[first]]
                 spans = _spans(doc[copy], tids[local][copy], offset[copy], offset[copy] + length[copy])
-                yield spans.assign(shard=-1, blob=None)[_COLUMNS]
+                yield spans.assign(team=spans["doc_id"] % teams, blob=None)[_COLUMNS]
                 keep = np.flatnonzero(~copy)
-                shard = (v[keep] % np.uint64(shards)).astype(np.int64)
-                keep = keep[np.argsort(shard, kind="stable")]
-                shard = np.sort(shard)
-                cuts = np.flatnonzero(np.diff(shard, prepend=-1, append=shards))
+                shard = (v[keep] % np.uint64(teams * SUB)).astype(np.int64)
+                order = np.argsort(shard, kind="stable")
+                keep, shard = keep[order], shard[order]
+                cuts = np.flatnonzero(np.diff(shard // SUB, prepend=-1, append=teams))
                 rows = []
                 for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                    k = keep[x:y]
-                    text = b" ".join([data[i:j] for i, j in zip(start[first[k]].tolist(), end[first[k] + length[k] - 1].tolist(), strict=True)])
+                    k, sub = keep[x:y], np.searchsorted(shard[x:y] % SUB, np.arange(SUB + 1))
+                    text = [data[i:j] for i, j in zip(start[first[k]].tolist(), end[first[k] + length[k] - 1].tolist(), strict=True)]
+                    text = [b" ".join(text[i:j]) for i, j in zip(sub[:-1].tolist(), sub[1:].tolist(), strict=True)]
                     own, which = np.unique(local[k], return_inverse=True)
-                    head = np.array([len(k), len(own)], "<i8").tobytes() + ids[own].tobytes() + tids[own].tobytes()
+                    head = np.array([len(k), len(own), *sub, *map(len, text)], "<i8").tobytes() + ids[own].tobytes() + tids[own].tobytes()
                     body = which.astype("<i4").tobytes() + offset[k].astype("<i4").tobytes() + length[k].astype("<i4").tobytes()
-                    rows.append((int(shard[x]), pack.compress(head + body + text)))
-                yield pd.DataFrame(rows, columns=["shard", "blob"]).assign(doc_id=0, tid=0, low=0, high=0)[_COLUMNS]
+                    rows.append((int(shard[x]) // SUB, pack.compress(head + body + b"".join(text))))
+                yield pd.DataFrame(rows, columns=["team", "blob"]).assign(doc_id=0, tid=0, low=0, high=0)[_COLUMNS]
 
-    return docs.mapInPandas(run, "shard int, blob binary, doc_id long, tid long, low int, high int")
+    return docs.mapInPandas(run, "team int, blob binary, doc_id long, tid long, low int, high int")
 
 
 def utf8_bytes(values) -> list[bytes]:
     return [bytes(v) if isinstance(v, (bytes, bytearray)) else b"" for v in values]
 
 
-def _search(blobs: list[bytes], window: int) -> pd.DataFrame:
-    """Spans that a shard's FM-index reports, and those of its equal segments."""
-    doc, tid, offset, length, hashes = [], [], [], [], []
+def _unpack(blobs: list[bytes]) -> list[list[tuple]]:
+    """Of each shard of a group: (doc_id, tid, offset, length, text) of the segments in every blob."""
+    shards: list[list[tuple]] = [[] for _ in range(SUB)]
     for blob in blobs:
         raw = zstandard.decompress(blob)
-        n, m = np.frombuffer(raw, "<i8", 2)
-        at = 16 + 16 * m
-        ids, tids = np.frombuffer(raw, "<i8", m, 16), np.frombuffer(raw, "<i8", m, 16 + 8 * m)
-        which, off, size = (np.frombuffer(raw, "<i4", n, at + 4 * n * k) for k in range(3))
-        doc.append(ids[which])
-        tid.append(tids[which])
-        offset.append(off)
-        length.append(size)
-        hashes.append(words([raw[at + 12 * n :]], lower=False)[3])
-    doc, tid, offset, length, h = (np.concatenate(x) for x in (doc, tid, offset, length, hashes))
+        head = np.frombuffer(raw, "<i8", 3 + 2 * SUB)
+        n, m, at = int(head[0]), int(head[1]), 8 * len(head)
+        sub, size = head[2 : 3 + SUB].tolist(), head[3 + SUB :].tolist()
+        ids, tids = np.frombuffer(raw, "<i8", m, at), np.frombuffer(raw, "<i8", m, at + 8 * m)
+        at += 16 * m
+        which, off, length = (np.frombuffer(raw, "<i4", n, at + 4 * n * k) for k in range(3))
+        at += 12 * n
+        for k in range(SUB):
+            own = which[sub[k] : sub[k + 1]]
+            if len(own):
+                shards[k].append((ids[own], tids[own], off[sub[k] : sub[k + 1]].copy(), length[sub[k] : sub[k + 1]].copy(), raw[at : at + size[k]]))
+            at += size[k]
+    return shards
+
+
+def _search(packed: list[tuple], window: int) -> pd.DataFrame:
+    """Spans that a shard's FM-index reports, and those of its equal segments."""
+    doc, tid, offset, length = (np.concatenate([x[k] for x in packed]) for k in range(4))
+    h = np.concatenate([words([x[4]], lower=False)[3] for x in packed])
     offset, length = offset.astype(np.int64), length.astype(np.int64)
     start = np.cumsum(length) - length
     place = np.arange(len(h)) - np.repeat(start, length)
@@ -211,15 +222,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     small_batches(docs)
     own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text"))
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(8, -(-size // SHARD))
+    teams = max(8, -(-size // (SHARD * SUB)))
     named = own.where("doc_id is not null").withColumn("tid", F.xxhash64("text"))
-    dealt = cut(_deal(named, shards, window))
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
-        return _search(p["blob"].tolist(), window)[["doc_id", "tid", "low", "high"]]
-
-    spans = dealt.where("shard >= 0").groupBy("shard").applyInPandas(run, "doc_id long, tid long, low int, high int")
-    spans = spans.unionByName(dealt.where("shard = -1").select("doc_id", "tid", "low", "high"))
+        columns, packs = ["doc_id", "tid", "low", "high"], p["blob"].notna()
+        found, shards = [p.loc[~packs, columns]], _unpack(p.loc[packs, "blob"].tolist())
+        while shards:
+            packed = shards.pop()
+            if packed:
+                found.append(_search(packed, window)[columns])
+        return pd.concat(found)
+
+    spans = _deal(named, teams, window).groupBy("team").applyInPandas(run, "doc_id long, tid long, low int, high int")
     per = cut(spans.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("low", "high")).alias("spans")))
     # most documents lose nothing and need no exchange; the bitmap has a fixed size and may only err on the safe side
     bits = own.sparkSession.sparkContext.broadcast(bitmap(per.select(F.col("doc_id").alias("id"))))
@@ -241,25 +256,24 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
             rows.append((n, gone, b" ".join(w).decode("utf-8", "surrogatepass")))
         return rows
 
-    def pass_by(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        b = bits.value
+    @F.pandas_udf("boolean")
+    def loses(at: pd.Series) -> pd.Series:
+        s = at.fillna(0).to_numpy(np.int64)
+        return pd.Series(((bits.value[s >> 3] >> (s & 7).astype(np.uint8)) & 1).astype(bool))
+
+    def whole(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            s = p["slot"].fillna(0).to_numpy(np.int64)
-            hit = ((b[s >> 3] >> (s & 7).astype(np.uint8)) & 1).astype(bool)
-            clear = p[~hit]
-            out = pd.DataFrame(kept(clear["text"], [None] * len(clear)), columns=["n_words", "n_removed", "kept"])
-            yield out.assign(doc_id=clear["doc_id"].astype("Int64").to_numpy(), text=None)
-            some = p[hit]
-            yield pd.DataFrame({"n_words": -1, "n_removed": 0, "kept": None, "doc_id": some["doc_id"].astype("Int64"), "text": some["text"]})
+            out = pd.DataFrame(kept(p["text"], [None] * len(p)), columns=["n_words", "n_removed", "kept"])
+            yield out.assign(doc_id=p["doc_id"].astype("Int64").to_numpy())
 
     def finish(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             out = pd.DataFrame(kept(p["text"], p["spans"]), columns=["n_words", "n_removed", "kept"])
             yield out.assign(doc_id=p["doc_id"].to_numpy())
 
+    # two reads of the input, which cost less than a copy of all texts
     schema = "doc_id long, n_words long, n_removed long, kept string"
-    split = own.withColumn("slot", slot(F.col("doc_id"))).mapInPandas(pass_by, schema + ", text binary")
-    split = cut(split)
-    clear = split.where("n_words >= 0").select("doc_id", "n_words", "n_removed", "kept")
-    some = split.where("n_words < 0").select("doc_id", "text", F.xxhash64("text").alias("tid")).join(per, ["doc_id", "tid"], "left")
+    split = own.withColumn("loses", loses(slot(F.col("doc_id"))))
+    clear = split.where("not loses").select("doc_id", "text").mapInPandas(whole, schema)
+    some = split.where("loses").select("doc_id", "text", F.xxhash64("text").alias("tid")).join(per, ["doc_id", "tid"], "left")
     return clear.unionByName(some.select("doc_id", "text", "spans").mapInPandas(finish, schema))
