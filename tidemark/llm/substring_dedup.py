@@ -32,7 +32,7 @@ from .fm_index import FmIndex
 
 WINDOW, GRAM = 13, 4
 #: Bytes of text whose segments make a shard, on average; shards to a group; bytes of text dealt at once.
-SHARD, SUB, DEALT = 4_000_000, 8, 4_000_000
+SHARD, SUB, DEALT = 2_000_000, 4, 3_000_000
 _G, _NONE = weights(GRAM, 23), np.uint64(2**64 - 1)
 
 
