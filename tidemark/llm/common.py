@@ -136,6 +136,24 @@ def bitmap(ids: DataFrame) -> np.ndarray:
     return bits
 
 
+class Union:
+    """Union by smallest id, for the ids that one task holds."""
+
+    def __init__(self) -> None:
+        self.up: dict = {}
+
+    def find(self, a):
+        up = self.up
+        while up.setdefault(a, a) != a:
+            up[a] = a = up[up[a]]
+        return a
+
+    def join(self, a, b) -> bool:
+        a, b = self.find(a), self.find(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Smallest reachable id of every id in links(a, b): (id, component).
 

@@ -6,16 +6,18 @@ opened. Spread over a cluster:
 
 1. Equal shingle sets become one node (pre-aggregation: groups of exact copies shrink to one row).
 2. Grouping: nodes that share a band of min-hashes are compared with their bucket's leaders, at most BLOCK nodes a
-   task; those at the threshold or above join the leader's group. Three bands, each over the leaders left.
+   task; those at the threshold or above join the leader's star, whose members are thus linked. Three bands, each over
+   the leaders left. Three more put stars whose leaders are at half the threshold into one group.
 3. Candidates between groups, exact: a pair at the threshold shares several shingles of both prefixes (rarest first by
    a fixed order), so an equi-join of the matrix's prefix rows (shingle, group) finds every pair of groups that can
-   hold a link, whatever step 2 missed.
+   hold a link, whatever step 2 missed. Many similar texts that aren't linked share a group, and make no pairs here.
 4. Opening: each candidate group's members and the documents that query it meet in blocks of BLOCK x BLOCK; there the
-   matrix of sub-groups bounds the overlap and qualifying sub-groups are compared exactly.
-5. Connected components over the links between groups.
+   matrix of sub-groups bounds the overlap and qualifying sub-groups are compared exactly. A group is also opened for
+   its own documents outside its largest star.
+5. Connected components over the links between stars.
 
-Links within a group are enough for its component, so no pair is listed twice and copies aren't expanded. Shingles
-are 64-bit hashes; of these 48 bits are sent where sets are compared.
+Links that span a component are enough, so copies aren't expanded: a block passes over what it has already joined.
+Shingles are 64-bit hashes; of these 48 bits are sent where sets are compared.
 
 Defined cases: null or empty texts have no shingles and are linked with nothing; a text of fewer than n words has one
 shingle, all its words; rows with a null doc_id keep their row, take no part and have a null component; rows that
@@ -32,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, components, cut, mix, slices, slot, small_batches, weights, words
+from .common import Union, bitmap, components, cut, mix, slices, slot, small_batches, weights, words
 
 BANDS, BAND_ROWS = 3, 3
 #: Rows of one side that meet in a task at once.
@@ -204,7 +206,7 @@ def _stars(nodes: list[int], sets: list[np.ndarray], percent: int) -> list[tuple
 
 
 def _open(members: list[tuple[int, np.ndarray]], guests: list[tuple[int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
-    """Links of guests with members by the matrix of sub-groups; one for each guest will do."""
+    """Links of the guests' stars with the members' by the matrix of sub-groups; a spanning set of them. Rows: (star, set)."""
     order = sorted(range(len(members)), key=lambda i: (int(members[i][1][0]), len(members[i][1])))
     groups = [order[k : k + 16] for k in range(0, len(order), 16)]
     union = [np.unique(np.concatenate([members[i][1] for i in g])) for g in groups]
@@ -212,38 +214,40 @@ def _open(members: list[tuple[int, np.ndarray]], guests: list[tuple[int, np.ndar
     column = np.repeat(np.arange(len(groups)), [len(u) for u in union])
     by = np.argsort(token, kind="stable")
     token, column = token[by], column[by]
-    out = []
-    for node, s in guests:
+    joined, out = Union(), []
+    for star, s in guests:
         low, high = np.searchsorted(token, s, "left"), np.searchsorted(token, s, "right")
         n = high - low
         at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
         bound = np.bincount(column[at], minlength=len(groups))
         need = -(-percent * len(s) // 100)
         for g in np.flatnonzero(bound >= need):
-            sets = [members[i][1] for i in groups[g]]
-            hit = np.flatnonzero(_link(s, *_flat(sets), percent))
-            if hit.size:
-                out.append((node, members[groups[g][hit[0]]][0]))
-                break
+            own = joined.find(star)
+            left = [i for i in groups[g] if joined.find(members[i][0]) != own]
+            if left:
+                for k in np.flatnonzero(_link(s, *_flat([members[i][1] for i in left]), percent)):
+                    if joined.join(star, members[left[k]][0]):
+                        out.append((star, members[left[k]][0]))
     return out
 
 
 def _group(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Step 2: (node, lead)."""
+    """Step 2: (node, comp, cluster), the star and the group of nodes that share a band."""
     keys = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     full = keys.groupBy("band", "key").agg(F.count("*").alias("c")).where("c > 1")
     shared = cut(keys.join(full.select("band", "key"), ["band", "key"], "left_semi"))
     tokens = cut(_fetch(docs, shared.select("node").distinct(), n))
-    now = tokens.select("node", F.col("node").alias("lead")).distinct()
 
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, g in p.groupby(["key", "sub"]):
-            if len(g) > 1:
-                out += _stars(g["node"].tolist(), [_unpack(t) for t in g["tokens"]], percent)
-        return pd.DataFrame(out, columns=["node", "lead"])
+    def gather(now: DataFrame, band: int, least: int) -> DataFrame:
+        """now(node, lead) after the leaders that share a key of the band have been compared."""
+
+        def run(p: pd.DataFrame) -> pd.DataFrame:
+            out = []
+            for _, g in p.groupby(["key", "sub"]):
+                if len(g) > 1:
+                    out += _stars(g["node"].tolist(), [_unpack(t) for t in g["tokens"]], least)
+            return pd.DataFrame(out, columns=["node", "lead"])
 
-    for band in range(BANDS):
         leads = now.where("node = lead").select("node")
         own = shared.where(F.col("band") == band).join(leads, "node", "left_semi").select("node", "key")
         sized = own.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
@@ -252,8 +256,15 @@ def _group(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame
         bucket = F.pmod(F.xxhash64("key", "sub"), F.lit(max(1, -(-total // 500))))
         rows = dealt.join(tokens, "node").select("key", "sub", "node", "tokens", bucket.alias("bucket"))
         moved = rows.groupBy("bucket").applyInPandas(run, "node long, lead long").withColumnRenamed("node", "lead0").withColumnRenamed("lead", "lead1").groupBy("lead0").agg(F.min("lead1").alias("lead1"))
-        now = cut(now.join(moved, F.col("lead") == F.col("lead0"), "left").select("node", F.coalesce("lead1", "lead").alias("lead")))
-    return now
+        return cut(now.join(moved, F.col("lead") == F.col("lead0"), "left").select("node", F.coalesce("lead1", "lead").alias("lead")))
+
+    stars = tokens.select("node", F.col("node").alias("lead")).distinct()
+    for band in range(BANDS):
+        stars = gather(stars, band, percent)
+    groups = stars.where("node = lead")
+    for band in range(BANDS):
+        groups = gather(groups, band, percent // 2)
+    return stars.withColumnRenamed("lead", "comp").join(groups.select(F.col("node").alias("comp"), F.col("lead").alias("cluster")), "comp")
 
 
 def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -271,25 +282,29 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "
     whole = sets.where("n > 0 and doc_id is not null")
     nodes = cut(whole.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")))
     lead = _group(nodes, docs, n, percent)
-    member = cut(nodes.join(lead, "node", "left").select("digest", "node", "n", F.coalesce("lead", "node").alias("comp")))
+    member = nodes.join(lead, "node", "left")
+    member = cut(member.select("digest", "node", "n", F.coalesce("comp", "node").alias("comp"), F.coalesce("cluster", "comp", "node").alias("cluster")))
     # step 3
-    prefix = _prefixes(docs, n, percent, order).withColumnRenamed("doc_id", "node").join(member.select("node", "comp").distinct(), "node")
-    matrix = prefix.select("comp", "n", F.explode("prefix").alias("token")).groupBy("token", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    prefix = _prefixes(docs, n, percent, order).withColumnRenamed("doc_id", "node").join(member.select("node", "cluster").distinct(), "node")
+    matrix = prefix.select("cluster", "n", F.explode("prefix").alias("token")).groupBy("token", "cluster").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     a, b = matrix.alias("a"), matrix.alias("b")
-    near = (F.col("a.token") == F.col("b.token")) & (F.col("a.comp") < F.col("b.comp")) & (F.col("a.least") * percent <= F.col("b.most") * 100) & (F.col("b.least") * percent <= F.col("a.most") * 100)
-    pairs = a.join(b, near).groupBy(F.col("a.comp").alias("a"), F.col("b.comp").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("a.least", "b.least")).alias("m"))
+    near = (F.col("a.token") == F.col("b.token")) & (F.col("a.cluster") < F.col("b.cluster")) & (F.col("a.least") * percent <= F.col("b.most") * 100) & (F.col("b.least") * percent <= F.col("a.most") * 100)
+    pairs = a.join(b, near).groupBy(F.col("a.cluster").alias("a"), F.col("b.cluster").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("a.least", "b.least")).alias("m"))
     pairs = cut(pairs.where(F.col("c") >= F.least(F.lit(SHARED), 1 + F.floor(F.col("m") / STEP), F.ceil(F.col("m") * percent / 100))).select("a", "b"))
-    # step 4: the larger group is opened for the documents of the smaller one
-    size = member.groupBy("comp").agg(F.countDistinct("node").alias("size"))
-    sided = pairs.join(size.select(F.col("comp").alias("a"), F.col("size").alias("sa")), "a").join(size.select(F.col("comp").alias("b"), F.col("size").alias("sb")), "b")
-    sided = cut(sided.select(F.when(F.col("sa") >= F.col("sb"), F.col("a")).otherwise(F.col("b")).alias("host"), F.when(F.col("sa") >= F.col("sb"), F.col("b")).otherwise(F.col("a")).alias("guest"), F.greatest("sa", "sb").alias("hosts"), F.least("sa", "sb").alias("guests")))
-    needed = sided.select(F.col("host").alias("comp")).unionAll(sided.select(F.col("guest").alias("comp"))).distinct()
-    ids = cut(member.join(needed, "comp", "left_semi").select("node", "comp").distinct())
+    # step 4: the larger group is opened for the documents of the smaller one, and for its own outside its largest star
+    stars = member.groupBy("cluster", "comp").agg(F.countDistinct("node").alias("k"))
+    size = cut(stars.groupBy("cluster").agg(F.sum("k").alias("size"), F.max(F.struct("k", "comp")).alias("top")).select("cluster", "size", "top.comp", (F.col("size") - F.col("top.k")).alias("rest")).withColumnRenamed("comp", "main"))
+    sided = pairs.join(size.select(F.col("cluster").alias("a"), F.col("size").alias("sa")), "a").join(size.select(F.col("cluster").alias("b"), F.col("size").alias("sb")), "b")
+    sided = sided.select(F.when(F.col("sa") >= F.col("sb"), F.col("a")).otherwise(F.col("b")).alias("host"), F.when(F.col("sa") >= F.col("sb"), F.col("b")).otherwise(F.col("a")).alias("guest"), F.greatest("sa", "sb").alias("hosts"), F.least("sa", "sb").alias("guests"))
+    sided = cut(sided.unionByName(size.where("rest > 0").select(F.col("cluster").alias("host"), F.col("cluster").alias("guest"), F.col("size").alias("hosts"), F.col("rest").alias("guests"))))
+    needed = sided.select(F.col("host").alias("cluster")).unionAll(sided.select(F.col("guest").alias("cluster"))).distinct()
+    ids = cut(member.select("node", "comp", "cluster").distinct().join(size.join(needed, "cluster", "left_semi").select("cluster", "main"), "cluster"))
     hosts = sided.groupBy("host").agg(F.ceil(F.max("hosts") / BLOCK).cast("int").alias("nm"), F.ceil(F.sum("guests") / BLOCK).cast("int").alias("nq"))
     block = lambda of: F.pmod(F.xxhash64(F.col("node")), F.col(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    inside = ids.join(hosts, F.col("comp") == F.col("host")).select("host", F.lit(0).alias("side"), "node", block("nm").alias("mb"), every("nq").alias("qb"))
-    asking = sided.select("host", "guest").join(hosts, "host").join(ids, F.col("guest") == F.col("comp")).select("host", F.lit(1).alias("side"), "node", every("nm").alias("mb"), block("nq").alias("qb"))
+    inside = ids.join(hosts, F.col("cluster") == F.col("host")).select("host", F.lit(0).alias("side"), "node", "comp", block("nm").alias("mb"), every("nq").alias("qb"))
+    asked = sided.select("host", "guest").join(hosts, "host").join(ids, F.col("guest") == F.col("cluster")).where("host <> guest or comp <> main")
+    asking = asked.select("host", F.lit(1).alias("side"), "node", "comp", every("nm").alias("mb"), block("nq").alias("qb"))
     both = _fetch(docs, cut(inside.unionByName(asking)), n)
     parts = max(1, -(-sided.count() // 250))
 
@@ -297,7 +312,7 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "
         out = []
         for _, g in p.groupby(["host", "mb", "qb"]):
             side = g["side"].to_numpy()
-            rows = [(v, _unpack(t)) for v, t in zip(g["node"].tolist(), g["tokens"], strict=True)]
+            rows = [(v, _unpack(t)) for v, t in zip(g["comp"].tolist(), g["tokens"], strict=True)]
             members, guests = [r for r, s in zip(rows, side, strict=True) if s == 0], [r for r, s in zip(rows, side, strict=True) if s == 1]
             if members and guests:
                 out += _open(members, guests, percent)
@@ -305,8 +320,6 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "
 
     bucket = F.pmod(F.xxhash64("host", "mb", "qb"), F.lit(parts))
     links = both.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(run, "a long, b long")
-    named = member.select("node", "comp").distinct()
-    links = links.join(named.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").join(named.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     final = components(links)
     where = member.join(final, F.col("comp") == F.col("id"), "left").select("digest", F.coalesce("component", "comp").alias("component_id"))
     out = sets.join(where, "digest", "left")

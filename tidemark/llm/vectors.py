@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import components, cut
+from .common import Union, components, cut
 
 # ---------------------------------------------------------------------------------------------------------------
 # Exact top-k: multi-resolution segment statistics.
@@ -150,25 +150,9 @@ def _codes(x: np.ndarray, passes: int, bits: int, seed: int) -> np.ndarray:
     return signs @ (np.int64(1) << np.arange(bits - 1, -1, -1, dtype=np.int64))
 
 
-class _Union:
-    def __init__(self) -> None:
-        self.up: dict = {}
-
-    def find(self, a):
-        up = self.up
-        while up.setdefault(a, a) != a:
-            up[a] = a = up[up[a]]
-        return a
-
-    def join(self, a, b) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
 def _windows(tag: np.ndarray, ids: np.ndarray, x: np.ndarray, window: int, least: float, fresh: int = 0) -> list[tuple[int, int]]:
     """Links among rows within `window` of each other and of the same tag, from row `fresh` on; a spanning set."""
-    union, out = _Union(), []
+    union, out = Union(), []
     for d in range(1, min(window, len(ids) - 1) + 1):
         low = max(0, fresh - d)
         hit = np.flatnonzero((tag[low:-d] == tag[low + d :]) & (np.einsum("ij,ij->i", x[low:-d], x[low + d :]) >= least)) + low
