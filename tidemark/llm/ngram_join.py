@@ -106,14 +106,14 @@ def _describe(docs: DataFrame, n: int) -> DataFrame:
             if fresh:
                 rows += len(fresh)
                 t, c = np.unique(np.concatenate(fresh), return_counts=True)
-                for k, v in zip(t[c >= 4].tolist(), c[c >= 4].tolist(), strict=True):
+                for k, v in zip(t[c >= 2].tolist(), c[c >= 2].tolist(), strict=True):
                     count[k] = count.get(k, 0) + v
                 if len(count) > 2_000_000:
                     count = {k: v for k, v in count.items() if v >= 16}
             f = pd.DataFrame(out, columns=["doc_id", "n", "digest", "bands"])
             f["doc_id"], f["bands"] = f["doc_id"].astype("Int64"), f["bands"].astype(object)
             yield f.assign(token=pd.array([pd.NA] * len(f), "Int64"), df=0)
-        least = max(6, rows // 500)
+        least = max(6, rows // 5000)
         often = [(k, v) for k, v in count.items() if v >= least]
         f = pd.DataFrame({"token": pd.array([k for k, _ in often], "Int64"), "df": [v for _, v in often]})
         yield f.assign(doc_id=pd.array([pd.NA] * len(f), "Int64"), n=0, digest="", bands=pd.Series([[]] * len(f), dtype=object, index=f.index))[["doc_id", "n", "digest", "bands", "token", "df"]]
