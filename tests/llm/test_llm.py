@@ -193,6 +193,22 @@ def test_near_vectors_by_brute_force(spark):
     assert right >= 0.95 * len(x)
 
 
+@pytest.mark.parametrize("shape", ["hub", "pairs"])
+def test_near_vectors_miss_no_link_of_a_large_label(spark, shape):
+    rng = np.random.default_rng(4)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    centre = unit(rng.standard_normal((1 if shape == "hub" else 1500, 64)))
+    off = rng.standard_normal((2500 if shape == "hub" else 1500, 64))
+    off = unit(off - (off * centre).sum(1, keepdims=True) * centre)
+    x = np.concatenate([centre, 0.935 * centre + np.sqrt(1 - 0.935**2) * off])
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(_embeddings(spark, [(i, v.tolist(), 1) for i, v in enumerate(x)])).collect()}
+    link = x @ x.T >= 0.93
+    np.fill_diagonal(link, False)
+    n = len(centre)
+    assert {i: k for i, (k, _) in got.items()} == dict(enumerate(link.sum(1).tolist()))
+    assert all(got[i][1] == (0 if shape == "hub" else i % n) for i in got)
+
+
 def test_near_vectors_odd_rows(spark):
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1), (5, [0.0, 0.0], 1), (6, [float("inf"), 0.0], 1), (7, [1.0, 0.0], 2), (8, [1.0, 0.0], 1), (9, [1.0], 1), (None, [1.0, 0.0], 1)]
     got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(_embeddings(spark, rows)).collect()}

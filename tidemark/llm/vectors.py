@@ -116,8 +116,9 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024)
 # ---------------------------------------------------------------------------------------------------------------
 # Near-duplicates: sorted projection passes.
 
-#: Rows of one component that are compared with each other in a task when links are counted.
+#: Rows of one label that are compared with as many others in a task, STRIP of them at once.
 BLOCK = 2048
+STRIP = 512
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -160,6 +161,29 @@ def _windows(tag: np.ndarray, ids: np.ndarray, x: np.ndarray, window: int, least
     return out
 
 
+def _pairs(a: pd.DataFrame, b: pd.DataFrame | None, least: float) -> list[tuple[int, int, int | None]]:
+    """All links of the rows of a with those of b, or with each other: (rep, links, None), and (component, 0, component)
+    of a spanning set of the links between components."""
+    alone = b is None
+    b = a if alone else b
+    if not len(a) or not len(b):
+        return []
+    x, y = np.stack(a["x"].to_list()), np.stack(b["x"].to_list())
+    many, own, other = [d["many"].to_numpy() for d in (a, b)], a["component"].to_numpy(), b["component"].to_numpy()
+    na, nb, union, links = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64), Union(), []
+    for k in range(0, len(a), STRIP):
+        hit = x[k : k + STRIP] @ y.T >= least
+        if alone:
+            at = np.arange(len(hit))
+            hit[at, k + at] = False
+        na[k : k + STRIP] = hit @ many[1]
+        nb += many[0][k : k + STRIP] @ hit
+        p, q = np.nonzero(hit & (own[k : k + STRIP, None] != other))
+        links += [(c, 0, d) for c, d in np.unique(np.stack([own[k + p], other[q]], 1), axis=0).tolist() if union.join(c, d)]
+    counts = [(a, na)] if alone else [(a, na), (b, nb)]
+    return links + [(r, n, None) for d, m in counts for r, n in zip(d["rep"].tolist(), m.tolist(), strict=True)]
+
+
 def near_duplicates(vectors: DataFrame, least: float = 0.93, passes: int = 12, window: int = 48, bits: int = 40, seed: int = 5) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row; rows with the same non-null label and a cosine of at least
     `least` link.
@@ -169,9 +193,10 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, passes: int = 12, w
        random projections, by a range exchange and a sort; neighbours within `window` are compared by their true
        cosine, also across the borders of partitions. A spanning set of each batch's links goes on.
     3. The passes' links are united by connected components.
-    4. Within components, whose members alone can be linked, all links are counted in blocks of BLOCK x BLOCK.
+    4. All pairs of a label are compared in blocks of BLOCK x BLOCK: every link is counted, and those between
+       components, which the passes missed, unite them. The work of this step is the square of a label's rows.
 
-    The passes may miss a link; recall against brute force is in the README. Defined cases: vectors that are null,
+    Defined cases: vectors that are null,
     zero or hold null or non-finite components, null labels and null ids link with nothing and are components of their
     own; vectors of different length aren't compared; repeated ids get the same result; empty tables, empty results.
     """
@@ -231,30 +256,26 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, passes: int = 12, w
 
     links = swept.where("part = -1").select("a", "b").unionAll(border.groupBy("border").applyInPandas(meet, "a long, b long"))
     comp = cut(components(links))
-    # counts: all links lie inside components
-    inside = reps.join(comp, F.col("rep") == F.col("id")).select("component", "rep", "many", "x", "label")
-    sizes = inside.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-    blocked = inside.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
-    ahead = blocked.select("component", "rep", "many", "x", "label", F.lit(0).alias("side"), F.col("own").alias("i"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
-    other = blocked.select("component", "rep", "many", "x", "label", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"), F.col("own").alias("j"))
-    bucket = F.pmod(F.xxhash64("component", "i", "j"), F.lit(max(1, -(-comp.count() // 2000))))
+    # exact: every pair of rows of a label and length, each row with its component of the passes
+    inside = reps.join(comp, F.col("rep") == F.col("id"), "left").select("rep", "many", "x", "label", dim.alias("dim"), F.coalesce("component", "rep").alias("component"))
+    sizes = cut(inside.groupBy("label", "dim").agg(F.count("*").alias("rows"), F.ceil(F.count("*") / BLOCK).cast("int").alias("n")))
+    own = inside.join(sizes, ["label", "dim"]).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
+    met = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    met = met.select("label", "dim", "rep", "many", "x", "component", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
+    copies = sizes.agg(F.sum(F.col("n") * F.col("rows"))).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("label", "dim", "i", "j"), F.lit(max(1, -(-int(copies) // BLOCK))))
 
     def tally(p: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, g in p.groupby(["component", "i", "j"]):
-            g = g.assign(dim=g["x"].map(len))
-            for _, h in g.groupby(["label", "dim"]):
-                a, b = h[h["side"] == 0], h[h["side"] == 1]
-                if len(a) and len(b):
-                    y, many = np.stack(b["x"].to_list()), b["many"].to_numpy()
-                    hit = np.stack(a["x"].to_list()) @ y.T >= least
-                    hit &= a["rep"].to_numpy()[:, None] != b["rep"].to_numpy()[None, :]
-                    out += list(zip(a["rep"].tolist(), (hit @ many).tolist(), strict=True))
-        return pd.DataFrame(out, columns=["rep", "n"])
-
-    counted = ahead.unionAll(other).withColumn("bucket", bucket).groupBy("bucket").applyInPandas(tally, "rep long, n long").groupBy("rep").agg(F.sum("n").alias("n"))
-    found = reps.select("key", "rep", "many").join(counted, "rep", "left").join(comp, F.col("rep") == F.col("id"), "left")
-    found = found.select("key", (F.coalesce("n", F.lit(0)) + F.col("many") - 1).alias("n"), F.coalesce("component", "rep").alias("c"))
+        for (_, _, i, j), g in p.groupby(["label", "dim", "i", "j"]):
+            out += _pairs(g[g["own"] == i], None if i == j else g[g["own"] == j], least)
+        return pd.DataFrame(out, columns=["rep", "n", "other"]).astype({"other": "Int64"})
+
+    counted = cut(met.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(tally, "rep long, n long, other long"))
+    missed = components(counted.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))).select(F.col("id").alias("was"), F.col("component").alias("now"))
+    counts = counted.where("other is null").groupBy("rep").agg(F.sum("n").alias("n"))
+    found = reps.select("key", "rep", "many").join(counts, "rep", "left").join(comp, F.col("rep") == F.col("id"), "left").withColumn("was", F.coalesce("component", "rep")).join(missed, "was", "left")
+    found = found.select("key", (F.coalesce("n", F.lit(0)) + F.col("many") - 1).alias("n"), F.coalesce("now", "was").alias("c"))
     told = rows.select("vec_id", "key").join(found, "key").groupBy("vec_id").agg(F.max("n").alias("n"), F.min("c").alias("c"))
     out = held.select("vec_id").join(told.withColumnRenamed("vec_id", "v"), F.col("vec_id") == F.col("v"), "left")
     component = F.coalesce("c", "vec_id")
