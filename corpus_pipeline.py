@@ -19,14 +19,23 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document stays of each group linked by five-word shingles at a similarity of 0.8: the smallest doc_id."""
-    found = ngram_join.jaccard_join(docs.select("doc_id", "text"), n=5, percent=80)
-    left = without(docs.select(*COLUMNS), found.where("component_id <> doc_id"), "doc_id")
+    """One document stays of each group linked by five-word shingles at a similarity of 0.8: the smallest doc_id.
+
+    Rows that repeat a doc_id are one document if their whole text is equal, else documents of their own.
+    """
+    docs = docs.select(*COLUMNS)
     often = cut(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if often.isEmpty():
-        return left
-    repeats = left.join(often, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return without(left, often, "doc_id").select(*COLUMNS).unionByName(repeats.select(*COLUMNS))
+        found = ngram_join.jaccard_join(docs.select("doc_id", "text"), n=5, percent=80)
+        return without(docs, found.where("component_id <> doc_id"), "doc_id").select(*COLUMNS)
+    repeats = docs.join(often, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("r"))
+    rows = without(docs, often, "doc_id").select(*COLUMNS).unionByName(repeats.select("doc_id", "text", "r.*"))
+    rows = cut(rows.withColumn("at", F.monotonically_increasing_id()).withColumn("at", F.expr("if(doc_id is null, null, at)")))
+    found = ngram_join.jaccard_join(rows.select("at", "text"), n=5, percent=80, doc_id="at").select(F.col("doc_id").alias("at"), "component_id")
+    named = cut(found.join(rows.select("at", "doc_id", F.xxhash64("text").alias("h")), "at"))
+    first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "h", "at")).alias("first"))
+    gone = named.join(first, "component_id").where(F.col("at") != F.col("first.at"))
+    return without(rows, gone, "at").select(*COLUMNS)
 
 
 def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +45,11 @@ def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: 0, 1 or 2 rows."""
-    copies = mixing.mix_sources(docs.select("doc_id", "text", "source")).select("doc_id", "copies").where("copies > 0")
-    taken = docs.join(copies, "doc_id")
+    """Each row as often as the mix takes it: 0, 1 or 2 rows. Copies go to rows, so ids may be null or repeated."""
+    rows = cut(docs.select(*COLUMNS).withColumn("at", F.monotonically_increasing_id()))
+    sized = rows.select("at", "text", "source", F.struct("doc_id", F.xxhash64("text").alias("h")).alias("id"))
+    copies = mixing.mix_sources(sized, doc_id="id").where("copies > 0").select("at", "copies")
+    taken = rows.join(copies, "at")
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 

@@ -303,3 +303,24 @@ def test_pipeline(spark):
             want = _jaccard([(r.doc_id, r.text) for r in before.collect()], 5, 80)
             assert sorted(r.doc_id for r in d.collect()) == sorted(i for i, (_, c) in want.items() if c == i)
     assert d.count() > 100
+
+
+def test_pipeline_keeps_rows_of_null_and_repeated_ids(spark):
+    rng = random.Random(9)
+    text = lambda n: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(n))
+    a, b, c = text(30), text(30), text(30)
+    rows = [(1, a, "en", "x"), (7, a, "en", "x"), (7, b, "en", "x"), (7, b, "en", "x"), (8, b, "en", "x"), (9, c, "en", "x"), (9, c + " end", "en", "x"), (None, c, "en", "x"), (10, text(30), "en", "x")]
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs(spark, rows).repartition(3), SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept if r.doc_id != 9) == sorted([(1, a), (7, b), (0, c), (10, rows[-1][1])])
+    assert [r.text in (c, c + " end") for r in kept if r.doc_id == 9] == [True]
+
+
+def test_mixing_stage_gives_rows_of_null_and_repeated_ids_their_copies(spark):
+    rows = [(i if i % 3 else None if i % 2 else 5, f"t{i} " + "w " * (20 + i % 7), "en", "xyz"[i % 3] if i % 2 else "x") for i in range(300)]
+    got = collections.Counter(r.text for r in corpus_pipeline.mix(spark, docs(spark, rows), SF).collect())
+    taken = mixing.mix_sources(docs(spark, [(i, *r[1:]) for i, r in enumerate(rows)]).select("doc_id", "text", "source"))
+    goal = {r.source: r.target for r in taken.select("source", "target").distinct().collect()}
+    size = collections.Counter()
+    for _, t, _, source in rows:
+        size[source] += got[t] * len(t.split())
+    assert max(got.values()) <= 2 and all(abs(size[s] - g) <= 0.01 * g + 1 for s, g in goal.items())
