@@ -8,6 +8,7 @@ from tests.oracle import connect, same
 from tidemark.functions import scalars as S
 from tidemark.operators import joins, logs, periods
 from tidemark.plans import registry
+from tidemark.streaming import jobs
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,6 +28,18 @@ def test_stream_stop_rule_gives_a_row_per_key(spark):
     assert rows and len({r.iso for r in rows}) == len(rows)
 
 
+def test_stream_stop_rule_equals_the_batch_form_in_any_order(spark):
+    rows = [(i, b, (i * 7 + b * b * (i + 3)) % 20) for i in range(40) for b in range(12)]
+    at = jobs.scratch(spark)
+    for late in range(4):  # later turns arrive first, and runs are spread over the files
+        part = [r for r in rows if (r[0] + r[1]) % 4 == 3 - late]
+        spark.createDataFrame(part, "iso long, batch long, yield long").coalesce(1).write.mode("append").parquet(at)
+    arriving = spark.readStream.schema("iso long, batch long, yield long").option("maxFilesPerTrigger", 1).parquet(at)
+    got = jobs.stream_stop_rule(arriving, 10, 2, 2)
+    want = logs.stop_batches(spark.createDataFrame(rows, "iso long, batch long, yield long"), 10, 2, 2)
+    assert sorted((r.iso, r.stop_batch) for r in got.collect()) == sorted((r.iso, r.stop_batch) for r in want.collect()) != []
+
+
 def _days(spark, *pairs):
     d = dt.date(2020, 1, 1)
     return spark.createDataFrame([("X", d + dt.timedelta(a), d + dt.timedelta(b)) for a, b in pairs], "iso string, date_start date, date_stop date")

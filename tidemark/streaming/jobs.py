@@ -54,25 +54,29 @@ def stream_weekly_totals(events: DataFrame, ts: str, value: str) -> DataFrame:
 
 
 def stream_stop_rule(batches: DataFrame, threshold: float, n_low: int, min_batches: int) -> DataFrame:
-    """The first batch of each key (iso, batch, yield) after n_low low yields in a row.
+    """The first batch of each key (iso, batch, yield) after n_low low yields in a row, in order of batch.
 
-    The state is the number of batches seen, the run of low ones and the last batch taken.
+    Rows may arrive in any order: the state keeps all batches of a key, since an earlier one may always follow and
+    change the stop or undo it. Each change is written with the number of batches seen; the last one counts.
     """
 
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen, low, stop = state.get if state.exists else (0, 0, -1)
-        p = pd.concat(list(parts)).sort_values("batch")
-        found = []
-        for b, y in zip(p["batch"].tolist(), p["yield"].tolist(), strict=True):
-            seen, low = seen + 1, low + 1 if y < threshold else 0
-            if stop < 0 and low >= n_low and seen >= min_batches:
+        held = list(zip(*state.get, strict=True)) if state.exists else []
+        for p in parts:
+            held += [(int(b), None if pd.isna(y) else int(y)) for b, y in zip(p["batch"].tolist(), p["yield"].tolist(), strict=True)]
+        held.sort(key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+        low, stop = 0, None
+        for k, (b, y) in enumerate(held, 1):
+            low = low + 1 if y is not None and y < threshold else 0
+            if low >= n_low and k >= min_batches:
                 stop = b
-                found.append((key[0], b))
-        state.update((seen, low, stop))
-        yield pd.DataFrame(found, columns=["iso", "stop_batch"])
+                break
+        state.update(([b for b, _ in held], [y for _, y in held]))
+        yield pd.DataFrame({"iso": [key[0]], "stop_batch": pd.array([stop], "Int64"), "seen": [len(held)]})
 
-    out = batches.groupBy("iso").applyInPandasWithState(run, "iso long, stop_batch long", "seen long, low long, stop long", "append", GroupStateTimeout.NoTimeout)
-    return _append(out)
+    out = batches.groupBy("iso").applyInPandasWithState(run, "iso long, stop_batch long, seen long", "batches array<long>, yields array<long>", "append", GroupStateTimeout.NoTimeout)
+    last = _append(out).groupBy("iso").agg(F.max(F.struct("seen", "stop_batch")).alias("r"))
+    return last.select("iso", F.col("r.stop_batch").alias("stop_batch")).where("stop_batch is not null")
 
 
 def stream_refresh(rows: DataFrame, key: str, order: str) -> DataFrame:
