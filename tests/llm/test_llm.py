@@ -157,6 +157,11 @@ def test_html():
     assert html_text.main_texts(pages) == [f"Unique words number {i} {i * 7} {i * 13} here" for i in range(5)]
 
 
+def test_html_keeps_the_articles_own_headers_and_sections():
+    page = '<nav>Menu</nav><article><header class="entry-header"><h1>Title</h1></header><div class="article-header">Lead</div><section id="social-history"><p>One</section><p id="share-prices">Two<section id="comment-by-the-author">Three</section><div class="share-buttons">tweet</div><div class="ad">buy</div><section id="comments">me</section></article><div class="site-header">Site</div>'
+    assert html_text.main_texts([page]) == ["Title\nLead\nOne\nTwo\nThree"]
+
+
 def test_html_tables(spark, empty):
     rows = [(1, "http://a/x", "<p>hi"), (1, "http://a/x", "<p>hi"), (2, None, None), (None, "bad", "<b"), (3, "http://a/y", "<p>" + "w " * 50_000)]
     got = html_text.extract(spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, html string, text string"))

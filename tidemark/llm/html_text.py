@@ -47,6 +47,12 @@ NAMES = frozenset(
     "footer sidebar aside widget cookie cookies consent gdpr notice notices notification banner popup modal overlay newsletter subscribe subscription signup "
     "login related recommended recommendations share sharing social comment comments commentlist disqus respond replies pagination pager toolbar skip".split()
 )
+# Whole class and id names that also go inside an article; there, a mere part of a name says nothing.
+WITHIN = frozenset(
+    "ad ads adv advert adverts advertisement advertising ad-slot ad-unit ad-container ad-wrapper adsbygoogle sponsored promo newsletter newsletter-signup subscribe "
+    "share sharing share-buttons share-bar share-links social-share social-buttons social-links sharedaddy related-posts related-articles "
+    "comments comment-list commentlist comment-form comment-respond comments-area disqus_thread respond cookie-notice cookie-banner breadcrumb breadcrumbs pagination".split()
+)
 _P_ENDS = BLOCK - {"li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html"}
 _SAME = {"li": ("ul", "ol", "menu"), "dd": ("dl",), "dt": ("dl",), "td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table",), "option": ("select",)}
 
@@ -68,7 +74,7 @@ def _away(name: str, attributes: str, in_main: bool) -> bool:
         if key in ("class", "id"):
             for token in value.split():
                 words = [w.lower() for w in _parts.findall(token)]
-                if words and (words[0] in NAMES or words[-1] in NAMES):
+                if token.lower() in WITHIN or not in_main and words and (words[0] in NAMES or words[-1] in NAMES):
                     return True
     return False
 
