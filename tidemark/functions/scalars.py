@@ -29,6 +29,11 @@ def parse_interval(df: DataFrame, tl: str = "tl", tr: str = "tr") -> DataFrame:
     return out.drop("__l", "__r").where(f"{tl} <= {tr}")
 
 
+def filter_by_attribute(places: DataFrame, column: str, value: str | bool | None = True) -> DataFrame:
+    """Places whose attribute has the value: a flag, a subregion or any other; None asks for those without one."""
+    return places.where(F.col(f"`{column}`").eqNullSafe(F.lit(value)))
+
+
 def search_any_column(df: DataFrame, text: str) -> DataFrame:
     hit = F.lit(False)
     for c in df.columns:

@@ -9,7 +9,9 @@ from ..functions import scalars as S
 
 
 def _years(df: DataFrame) -> DataFrame:
-    return S.parse_interval(df).select("iso", F.explode(F.expr("sequence(year(tl), year(tr))")).alias("year")).distinct()
+    """Years that intervals touch; equal pairs of years are expanded once."""
+    ends = S.parse_interval(df).select("iso", F.year("tl").alias("a"), F.year("tr").alias("b")).distinct()
+    return ends.select("iso", F.explode(F.sequence("a", "b")).alias("year")).distinct()
 
 
 def year_coverage(a: DataFrame, b: DataFrame, first: int, last: int) -> DataFrame:
@@ -42,5 +44,6 @@ def dataset_overview(a: DataFrame, b: DataFrame) -> DataFrame:
     """Span, years and rows of each dataset and of both."""
     part = lambda d, n: S.parse_interval(d).select(F.lit(n).alias("dataset"), "tl", "tr")
     x = part(a, "A").unionAll(part(b, "B"))
-    x.createOrReplaceTempView("__both_datasets")
-    return x.sparkSession.sql("select coalesce(dataset, 'all') as dataset, min(tl) as first_date, max(tr) as last_date, count(distinct year(tl)) as years, count(*) as n from __both_datasets group by grouping sets ((dataset), ())")
+    few = x.groupBy("dataset", F.year("tl").alias("y")).agg(F.min("tl").alias("l"), F.max("tr").alias("r"), F.count("*").alias("c"))
+    both = few.rollup("dataset").agg(F.min("l").alias("first_date"), F.max("r").alias("last_date"), F.count_distinct("y").alias("years"), F.sum("c").alias("n"))
+    return both.withColumn("dataset", F.coalesce("dataset", F.lit("all")))

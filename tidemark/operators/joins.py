@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -14,6 +15,11 @@ def restrict_places(df: DataFrame, places: DataFrame, flag: str) -> DataFrame:
     return df.join(places.where(flag).select("iso"), "iso", "left_semi")
 
 
+def completed_only(df: DataFrame, checklist: DataFrame) -> DataFrame:
+    """Rows of the places that the checklist(iso, status) calls COMPLETED."""
+    return df.join(checklist.where("status = 'COMPLETED'").select("iso"), "iso", "left_semi")
+
+
 def attach_source(obs: DataFrame, src: DataFrame) -> DataFrame:
     """URL of each observation's source; the first of sources with one index wins."""
     one = dedup_first(src.select(F.col("iso"), F.col("idx").alias("source_index"), "url"), ["iso", "source_index"], ["url"])
@@ -59,30 +65,54 @@ def overlap_join(a: DataFrame, b: DataFrame, key: str, at: tuple[str, str], bt:
 
 
 def gap_fill(gaps: DataFrame, intervals: DataFrame) -> DataFrame:
-    """Of each gap: overlapping intervals, days they fill (each once) and days in all."""
+    """Of each gap: overlapping intervals, days they fill (each once), days in all and the filled percentage."""
     i = intervals.select("iso", "tl", "tr").distinct()
     hit = overlap_join(gaps.select("iso", "gap_start", "gap_end"), i, "iso", ("gap_start", "gap_end"), ("tl", "tr"))
     hit = hit.withColumn("k", F.concat_ws("|", "iso", F.col("gap_start").cast("string"))).withColumns({"s": F.greatest("tl", "gap_start"), "e": F.least("tr", "gap_end")})
     count = hit.groupBy("iso", "gap_start").agg(F.count("*").alias("intervals"))
     days = coverage_periods(hit, "k", "s", "e", 1).groupBy("k").agg(F.sum(F.datediff("last_date", "first_date") + 1).alias("d"))
     g = gaps.join(count, ["iso", "gap_start"], "left").withColumn("k", F.concat_ws("|", "iso", F.col("gap_start").cast("string"))).join(days, "k", "left")
-    return g.select("iso", "gap_start", "gap_days", F.coalesce("intervals", F.lit(0)).alias("intervals"), F.coalesce("d", F.lit(0)).alias("filled_days"))
+    filled = F.coalesce("d", F.lit(0))
+    pct = F.round(filled * 100.0 / F.col("gap_days"), 1)
+    return g.select("iso", "gap_start", "gap_days", F.coalesce("intervals", F.lit(0)).alias("intervals"), filled.alias("filled_days"), pct.alias("filled_pct"))
 
 
 def confirm_major(obs: DataFrame, min_cases: int = 1000) -> DataFrame:
-    """Outbreaks above min_cases with the number of other sources that overlap in time at the place."""
+    """Outbreaks above min_cases with the number of other sources that overlap in time at the place.
+
+    Each source's intervals become few merged periods and outbreaks of one place and time are asked once, so what meets
+    grows with the calendar and the sources of a place, not with the square of its rows. An outbreak's own source
+    always overlaps it, and is taken off again.
+    """
     o = S.parse_interval(obs)
-    major = o.where(F.col("scases") > min_cases).select("idx", "location", F.col("source").alias("own"), F.col("tl").alias("a"), F.col("tr").alias("b"))
-    other = o.select("location", "source", "tl", "tr").distinct()
-    hit = overlap_join(major, other, "location", ("a", "b"), ("tl", "tr")).where("source <> own")
-    n = hit.groupBy("idx", "location", "own", "a", "b").agg(F.count_distinct("source").alias("others"))
-    return major.distinct().join(n, ["idx", "location", "own", "a", "b"], "left").select("idx", "location", F.coalesce("others", F.lit(0)).alias("others"))
+    major = o.where(F.col("scases") > min_cases).select("idx", "location", "source", "tl", "tr").distinct()
+    held = o.groupBy("location", "source", "tl").agg(F.max("tr").alias("tr")).withColumn("__k", F.struct("location", "source"))
+    periods = coverage_periods(held, "__k", "tl", "tr", 0).select("__k.location", "__k.source", "first_date", "last_date")
+    asked = major.select("location", F.col("tl").alias("a"), F.col("tr").alias("b")).distinct()
+    hit = overlap_join(asked, periods, "location", ("a", "b"), ("first_date", "last_date"))
+    n = hit.groupBy("location", "a", "b").agg((F.count_distinct("source") - 1).alias("others")).withColumnsRenamed({"a": "tl", "b": "tr"})
+    return major.join(n, ["location", "tl", "tr"], "left").select("idx", "location", F.coalesce("others", F.lit(0)).alias("others"))
+
+
+def _up_to(counts: DataFrame, asked: DataFrame, day: str) -> DataFrame:
+    """asked(iso, day) with n: the sum of counts(iso, day, n) up to that day. Days of a place are ordered, not rows."""
+    both = counts.select("iso", day, "n").unionAll(asked.select("iso", day, F.lit(0).cast("long")))
+    daily = both.groupBy("iso", day).agg(F.sum("n").alias("n"))
+    return daily.withColumn("n", F.sum("n").over(W.partitionBy("iso").orderBy(day)))
 
 
 def neighbour_overlap(obs: DataFrame, neighbours: DataFrame) -> DataFrame:
-    """Outbreaks of a place with how many of neighbouring places overlap in time. neighbours: iso, list of iso."""
-    o = S.parse_interval(obs)
-    mine = o.select("idx", "iso", F.col("tl").alias("a"), F.col("tr").alias("b")).distinct()
-    pairs = mine.join(neighbours.select("iso", F.explode("neighbours").alias("near")), "iso")
-    other = o.select(F.col("iso").alias("near"), F.col("idx").alias("j"), "tl", "tr").distinct()
-    return overlap_join(pairs, other, "near", ("a", "b"), ("tl", "tr")).groupBy("idx", "iso").agg(F.count("*").alias("overlaps"))
+    """Outbreaks of a place with how many of neighbouring places overlap in time. neighbours: iso, list of iso.
+
+    Counted by ranks, without listing pairs: what overlaps an outbreak has started by its end and not ended before its
+    start. Starts and ends are summed by day first, so a place sorts its days only.
+    """
+    o = S.parse_interval(obs).select("idx", "iso", "tl", "tr").distinct()
+    near = neighbours.select(F.col("iso").alias("__own"), F.explode("neighbours").alias("iso"))
+    asked = o.withColumnRenamed("iso", "__own").join(near, "__own")
+    starts = o.groupBy("iso", F.col("tl").alias("day")).agg(F.count("*").alias("n"))
+    ends = o.groupBy("iso", F.date_add("tr", 1).alias("day")).agg(F.count("*").alias("n"))
+    begun = _up_to(starts, asked.select("iso", F.col("tr").alias("day")).distinct(), "day").withColumnsRenamed({"day": "tr", "n": "begun"})
+    over = _up_to(ends, asked.select("iso", F.col("tl").alias("day")).distinct(), "day").withColumnsRenamed({"day": "tl", "n": "over"})
+    met = asked.join(begun, ["iso", "tr"]).join(over, ["iso", "tl"])
+    return met.groupBy("idx", F.col("__own").alias("iso")).agg(F.sum(F.col("begun") - F.col("over")).alias("overlaps")).where("overlaps > 0").select("idx", "iso", "overlaps")

@@ -11,6 +11,7 @@ from . import joins, metrics
 
 # What counts as a tool call and as an addition.
 TOOLS, ADDS = r"(?i)(WebSearch|WebFetch)", r"(?i)(added|new[^\n]*row|observations\.csv)"
+YIELD = r"(?i)(\d+)\s*(?:successful queries)?\s*/\s*(\d+)"
 
 
 def agent_status(logs: DataFrame, markers: tuple[str, ...] = ("INITIALIZATION", "INITIALIZED"), short: int = 10) -> DataFrame:
@@ -30,12 +31,19 @@ def execution_metrics(logs: DataFrame, tools: str = TOOLS, adds: str = ADDS) ->
 
 
 def batch_yields(logs: DataFrame) -> DataFrame:
-    """(iso, agent, batch, ok, asked) of each line with `k/n` below a line with `BATCH b`."""
+    """(iso, agent, batch, ok, asked, yield_pct) of each batch's last yield line.
+
+    A line that names `BATCH b` opens batch b. Yields are spelled `rows: k/n` on a line of its own, `BATCH b YIELD: ...
+    k/n queries ...` on the batch's line, or `... yield: ... (k successful queries / n total queries)`.
+    """
     x = logs.select("iso", "agent", F.posexplode(F.split("content", "\n")).alias("line", "text"))
     b = F.regexp_extract("text", r"(?i)batch\s+(\d+)", 1).try_cast("int")
     x = x.withColumn("batch", F.last(b, ignorenulls=True).over(W.partitionBy("iso", "agent").orderBy("line").rowsBetween(W.unboundedPreceding, 0)))
-    x = x.withColumns({"ok": F.regexp_extract("text", r"(\d+)/(\d+)", 1).try_cast("int"), "asked": F.regexp_extract("text", r"(\d+)/(\d+)", 2).try_cast("int")})
-    return x.where("batch is not null and asked > 0 and not text rlike '(?i)batch'").groupBy("iso", "agent", "batch").agg(F.max_by("ok", "line").alias("ok"), F.max_by("asked", "line").alias("asked"))
+    part = lambda i: F.regexp_extract("text", YIELD, i).try_cast("int")
+    x = x.withColumns({"ok": part(1), "asked": part(2)})
+    told = F.col("text").rlike(r"(?i)\b(quer|yield|rows?)") & (~F.col("text").rlike("(?i)batch") | F.col("text").rlike("(?i)yield:"))
+    out = x.where(F.col("batch").isNotNull() & (F.col("asked") > 0) & told).groupBy("iso", "agent", "batch").agg(F.max_by("ok", "line").alias("ok"), F.max_by("asked", "line").alias("asked"))
+    return out.withColumn("yield_pct", F.round(F.col("ok") * 100.0 / F.col("asked"), 1))
 
 
 def stop_batches(batches: DataFrame, threshold: float, n_low: int, min_batches: int) -> DataFrame:
@@ -50,13 +58,26 @@ def cumulative_yield(batches: DataFrame) -> DataFrame:
     return batches.withColumn("total", F.sum("yield").over(W.partitionBy("iso").orderBy("batch").rowsBetween(W.unboundedPreceding, 0)))
 
 
-def checklist(files: DataFrame, logs: DataFrame, obs: DataFrame, src: DataFrame, previous: DataFrame) -> DataFrame:
-    """The progress row of each place, with notes carried over from the previous one."""
+def checklist(
+    files: DataFrame, logs: DataFrame, obs: DataFrame, src: DataFrame, places: DataFrame, previous: DataFrame,
+    protocol: str = "search_protocol.txt", tools: str = TOOLS, adds: str = ADDS,
+) -> DataFrame:
+    """The progress row of each of the places(iso, country), with notes carried over from the previous one.
+
+    files(iso, name, rows, modified) tell the status, the last update, whether the audit is done and whether the
+    protocol is there; logs and tables tell the rest. A place without files has not started.
+    """
     agents = agent_status(logs).groupBy("iso").agg(F.count_distinct("agent").alias("agents"), F.max(F.when(F.col("status") == "completed", F.col("agent"))).alias("last_done"))
-    out = metrics.status_from_files(files)
-    for part in (metrics.observation_summary(obs).select("iso", "row_count", "date_range"), metrics.source_counts(src), execution_metrics(logs), agents):
+    held = files.groupBy("iso").agg(F.bool_or(F.col("name") == metrics.AUDIT).alias("audit"), F.bool_or(F.col("name") == protocol).alias("protocol"))
+    out = places.select("iso", "country")
+    for part in (
+        metrics.status_from_files(files), metrics.latest_update(files).withColumnRenamed("latest", "datetime"), held, metrics.observation_summary(obs).select("iso", "row_count", "date_range"),
+        metrics.source_counts(src), execution_metrics(logs, tools, adds), agents,
+    ):
         out = out.join(part, "iso", "left")
-    out = out.na.fill(0, ["row_count", "sources", "queries", "agents"])
-    notes = S.compose_auto_notes(F.lit(False), F.col("agents"), F.col("last_done"), F.col("row_count"), F.lit(True))
+    out = out.na.fill(0, ["row_count", "sources", "queries", "agents", "yield_pct", "minutes"]).na.fill("NOT_STARTED", ["status"]).na.fill(False, ["audit", "protocol"])
+    notes = S.compose_auto_notes(F.col("audit"), F.col("agents"), F.col("last_done"), F.col("row_count"), F.col("protocol"))
     out = out.withColumns({"priority": S.row_count_priority(F.col("row_count")), "notes": notes})
-    return joins.merge_manual_notes(out, previous).select("iso", "status", "sources", "row_count", "date_range", "priority", "queries", "notes")
+    return joins.merge_manual_notes(out, previous).select(
+        "country", "iso", "status", "datetime", "sources", F.col("row_count").alias("observations"), "date_range", "priority", F.col("minutes").alias("execution_time"), "queries", F.round("yield_pct", 1).alias("yield_pct"), "notes"
+    )

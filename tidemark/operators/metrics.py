@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 
-# Scores of reliability levels.
+# The file that an audit leaves; scores of reliability levels.
+AUDIT = "search_log_agent_6.txt"
 SCORES = {"Level_1": 4, "Level_2": 3, "Level_3": 2, "Level_4": 1}
 
 
@@ -57,18 +58,21 @@ def span_metrics(summary: DataFrame) -> DataFrame:
     return summary.select("iso", F.when(two, last - first + 1).alias("span_years"), F.when(two, first).alias("first_year"), F.when(two, last).alias("last_year"))
 
 
-def country_metrics(obs: DataFrame, src: DataFrame, places: DataFrame) -> DataFrame:
+def country_metrics(obs: DataFrame, src: DataFrame, places: DataFrame, week_counts: DataFrame) -> DataFrame:
+    """All metrics of each place in one row; week_counts as presence.week_counts gives them."""
     out = places.select("iso")
     summary = observation_summary(obs)
-    for part in (summary.select("iso", "row_count"), source_counts(src), case_totals(obs), peak_year(obs), reliability_class(src).select("iso", "reliability_class"), source_type_count(src), span_metrics(summary)):
+    for part in (summary.select("iso", "row_count", "date_range"), coverage_approx(week_counts).select("iso", "coverage_pct"), source_counts(src), case_totals(obs), peak_year(obs), reliability_class(src).select("iso", "reliability_class"), source_type_count(src), span_metrics(summary)):
         out = out.join(part, "iso", "left")
-    return out.na.fill(0, ["row_count", "sources", "total_cases", "total_deaths", "source_types"])
+    return out.na.fill(0, ["row_count", "coverage_pct", "sources", "total_cases", "total_deaths", "source_types"])
 
 
 def status_progress(checklist: DataFrame) -> DataFrame:
+    """Places by status, and the percentage that is complete (0 without any)."""
     c = F.count_if
     s = F.col("status")
-    return checklist.agg(F.count("*").alias("places"), c(s == "COMPLETED").alias("completed"), c(s == "PENDING").alias("pending"), c(s == "NOT_STARTED").alias("not_started"))
+    out = checklist.agg(F.count("*").alias("places"), c(s == "COMPLETED").alias("completed"), c(s == "PENDING").alias("pending"), c(s == "NOT_STARTED").alias("not_started"))
+    return out.withColumn("pct_complete", F.round(F.coalesce(F.try_divide(F.col("completed") * 100.0, "places"), F.lit(0.0)), 1))
 
 
 def week_count_totals(wc: DataFrame) -> DataFrame:
@@ -86,7 +90,8 @@ def source_quality_counts(src: DataFrame) -> DataFrame:
 
 def level_distribution(src: DataFrame) -> DataFrame:
     x = src.groupBy(S.normalize_level(F.col("reliability")).alias("level")).agg(F.count("*").alias("n"))
-    return x.withColumn("total", F.sum("n").over(W.partitionBy()))
+    x = x.withColumn("total", F.sum("n").over(W.partitionBy()))
+    return x.withColumn("pct", F.round(F.col("n") * 100.0 / F.col("total"), 1))
 
 
 def weight_stats(obs: DataFrame) -> DataFrame:
@@ -102,7 +107,7 @@ def hierarchy_check(obs: DataFrame) -> DataFrame:
     return x.withColumn("double_count", F.coalesce((F.col("national") > 0) & (F.col("subnational") > 0), F.lit(False)))
 
 
-def status_from_files(files: DataFrame, data: str = "observations.csv", meta: str = "metadata.csv", log: str = "search_log_agent_", audit: str = "search_log_agent_6.txt") -> DataFrame:
+def status_from_files(files: DataFrame, data: str = "observations.csv", meta: str = "metadata.csv", log: str = "search_log_agent_", audit: str = AUDIT) -> DataFrame:
     """files(iso, name, rows): COMPLETED with both tables and the audit, or six logs and rows; PENDING once work began."""
     name = F.col("name")
     x = files.groupBy("iso").agg(

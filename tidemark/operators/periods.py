@@ -73,7 +73,7 @@ def quick_lookup(periods: DataFrame, summary: DataFrame, key: str = "iso", order
 
 def zero_transmission_spans(obs: DataFrame) -> DataFrame:
     """Runs of consecutive years whose observations report neither cases nor deaths."""
-    zero = S.parse_interval(obs).where("scases = 0 and deaths = 0")
-    y = zero.select("iso", F.explode(F.expr("sequence(year(tl), year(tr))")).alias("year")).distinct()
+    zero = S.parse_interval(obs).where("scases = 0 and deaths = 0").select("iso", F.year("tl").alias("a"), F.year("tr").alias("b")).distinct()
+    y = zero.select("iso", F.explode(F.sequence("a", "b")).alias("year")).distinct()
     y = y.withColumn("__g", F.col("year") - F.row_number().over(W.partitionBy("iso").orderBy("year")))
     return y.groupBy("iso", "__g").agg(F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.count("*").alias("years")).drop("__g")

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .periods import coverage_periods
 
 
 def week_frame(places: DataFrame, start_year: int, as_of: str, sources: list[str]) -> DataFrame:
@@ -28,6 +29,26 @@ def key_set(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
+def mined_week_keys(intervals: DataFrame, step_days: int = 7, key: str = "iso", tl: str = "tl", tr: str = "tr") -> DataFrame:
+    """Distinct (key, year, week) of intervals expanded by steps of step_days from each start.
+
+    Daily keys depend on the union of a place's intervals only, so these are merged before they are expanded; longer
+    steps depend on the start, so the longest interval of each start is. Either way what is expanded is bounded by the
+    calendar, not by the rows.
+    """
+    if step_days == 1:
+        few = coverage_periods(intervals, key, tl, tr, 1).select(key, F.col("first_date").alias(tl), F.col("last_date").alias(tr))
+    else:
+        few = intervals.groupBy(key, tl).agg(F.max(tr).alias(tr))
+    return key_set(S.expand_weeks(few, step_days, tl, tr), [key, "year", "week"])
+
+
+def mined_month_keys(intervals: DataFrame, key: str = "iso", tl: str = "tl", tr: str = "tr") -> DataFrame:
+    """Distinct (key, year, month) that intervals touch; merged before they are expanded, as above."""
+    few = coverage_periods(intervals, key, tl, tr, 1).select(key, F.col("first_date").alias(tl), F.col("last_date").alias(tr))
+    return key_set(S.expand_months(few, tl, tr), [key, "year", "month"])
+
+
 def combine_sources(base: DataFrame, mined: DataFrame) -> DataFrame:
     return base.unionByName(mined)
 
@@ -45,9 +66,10 @@ def monthly_presence(frame: DataFrame, base: DataFrame, mined: DataFrame) -> Dat
 
 
 def filled_weeks(weekly: DataFrame, base: list[str], mined: str) -> DataFrame:
-    """Of each place: weeks absent in the base sources but present in the mined one."""
+    """Of each place: weeks absent in the base sources but present in the mined one, and their share of all weeks."""
     x = weekly.groupBy("iso", "year", "week", "date_from").agg(F.max(F.when(F.col("source").isin(base), F.col("present"))).alias("b"), F.max(F.when(F.col("source") == mined, F.col("present"))).alias("m"))
-    return x.groupBy("iso").agg(F.count("*").alias("weeks"), F.count_if(F.col("b") == 0).alias("absent"), F.count_if((F.col("b") == 0) & (F.col("m") == 1)).alias("filled"))
+    out = x.groupBy("iso").agg(F.count("*").alias("weeks"), F.count_if(F.col("b") == 0).alias("absent"), F.count_if((F.col("b") == 0) & (F.col("m") == 1)).alias("filled"))
+    return out.withColumn("filled_pct", F.round(F.col("filled") * 100.0 / F.col("weeks"), 1))
 
 
 def week_counts(df: DataFrame, places: DataFrame, sources: list[str]) -> DataFrame:
@@ -59,7 +81,9 @@ def week_counts(df: DataFrame, places: DataFrame, sources: list[str]) -> DataFra
 
 def monthly_coverage_summary(matrix: DataFrame) -> DataFrame:
     o, a = F.col("surveillance_orig") == 1, F.col("surveillance_ai") == 1
-    return matrix.agg(F.count("*").alias("months"), F.count_if(o).alias("base"), F.count_if(a).alias("mined"), F.count_if(o | a).alias("any_source"), F.count_if(a & ~o).alias("mined_only"), F.count_distinct("iso").alias("places"))
+    n = {"base": F.count_if(o), "mined": F.count_if(a), "any_source": F.count_if(o | a), "mined_only": F.count_if(a & ~o)}
+    out = matrix.agg(F.count("*").alias("months"), *[c.alias(k) for k, c in n.items()], F.count_distinct("iso").alias("places"))
+    return out.withColumns({f"{k}_pct": F.round(F.coalesce(F.try_divide(F.col(k) * 100.0, "months"), F.lit(0.0)), 1) for k in n})
 
 
 def source_coverage(weekly: DataFrame) -> DataFrame:

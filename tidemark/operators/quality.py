@@ -8,20 +8,44 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 
-# Bands of confidence weights by reliability level.
+# Columns of the two files of a place; bands of confidence weights by reliability level.
+WIDTHS = {"data": 13, "meta": 14}
 BANDS = {"Level_1": (0.9, 1.0), "Level_2": (0.7, 0.9), "Level_3": (0.3, 0.6), "Level_4": (0.1, 0.3)}
 
 
 def header_compliance(files: DataFrame) -> DataFrame:
-    """files(iso, kind, header): required columns and 13 or 14 of them; kind: data or meta."""
-    h = F.split(F.trim("header"), ",")
-    has = lambda c: F.array_contains(h, c)
-    good = F.when(F.col("kind") == "data", has("Index") & has("source_index") & (F.size(h) == 13)).otherwise(has("Index") & (F.size(h) == 14))
-    return files.withColumn("compliant", good).groupBy("iso").agg(F.bool_and("compliant").alias("compliant"), F.count("*").alias("files"))
-
-
-def split_malformed(rows: DataFrame, corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
-    return rows.where(F.col(corrupt).isNull()).drop(corrupt), rows.where(F.col(corrupt).isNotNull())
+    """files(iso, kind, header), kind data or meta: whether each place has both files with the required columns and
+    width, and what is wrong, parted by ` | `. A file without a header has the header ''."""
+    h = F.split(F.trim(F.coalesce("header", F.lit(""))), ",")
+    lacks = lambda c: F.when(~F.array_contains(h, c), F.format_string(f"%s: no {c} column", "kind"))
+    width = F.when(F.col("kind") == "data", WIDTHS["data"]).otherwise(WIDTHS["meta"])
+    wide = F.when(F.size(h) != width, F.format_string("%s: %d columns, %d needed", F.col("kind"), F.size(h), width))
+    issues = F.array_compact(F.array(lacks("Index"), F.when(F.col("kind") == "data", lacks("source_index")), wide))
+    kinds = files.select("iso", "kind", issues.alias("i")).groupBy("iso").agg(
+        F.count("*").alias("files"), F.array_sort(F.flatten(F.collect_list("i"))).alias("i"), *[F.bool_or(F.col("kind") == k).alias(k) for k in WIDTHS]
+    )
+    missing = F.array_compact(F.array(*[F.when(~F.col(k), f"{k}: no file") for k in WIDTHS]))
+    found = F.array_distinct(F.concat("i", missing))
+    return kinds.select("iso", "files", (F.size(found) == 0).alias("compliant"), F.array_join(found, " | ").alias("issues"))
+
+
+def compliance_rate(places: DataFrame) -> DataFrame:
+    """Of header_compliance's rows: places, compliant ones and their percentage (0 without any)."""
+    x = places.agg(F.count("*").alias("places"), F.count_if("compliant").alias("compliant"))
+    return x.withColumn("pct", F.round(F.coalesce(F.try_divide(F.col("compliant") * 100.0, "places"), F.lit(0.0)), 1))
+
+
+def split_malformed(lines: DataFrame, columns: list[str], value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Lines of CSV with as many fields as there are columns, as those columns of text, and the others as they stand.
+
+    Quotes may hold commas. Null and blank lines are malformed.
+    """
+    schema = ", ".join(f"`{c}` string" for c in columns) + ", `__bad` string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad", "quote": '"', "escape": '"'}
+    x = lines.withColumn("__r", F.from_csv(F.col(f"`{value}`"), schema, options))
+    bad = F.coalesce(F.trim(F.col(f"`{value}`")), F.lit("")).eqNullSafe("") | F.col("__r").isNull() | F.col("__r.__bad").isNotNull()
+    others = [F.col(f"`{c}`") for c in lines.columns if c != value and c not in columns]
+    return x.where(~bad).select(*others, *[F.col(f"__r.`{c}`") for c in columns]), x.where(bad).select(*[F.col(f"`{c}`") for c in lines.columns])
 
 
 def date_logic(obs: DataFrame) -> DataFrame:
@@ -51,9 +75,18 @@ def location_format(obs: DataFrame) -> DataFrame:
 
 
 def duplicates(obs: DataFrame) -> DataFrame:
-    """Places and periods that several rows report, with how many sources and different counts."""
-    x = obs.groupBy("location", "tl", "tr").agg(F.count("*").alias("n"), F.count_distinct("source").alias("sources"), F.count_distinct("scases").alias("counts"))
-    return x.where("n > 1")
+    """Places and periods that several rows report, a row of each source there.
+
+    n: rows of the source, exact if there are several; rows, sources and counts (different numbers of cases) of the
+    period; conflict if the counts differ.
+    """
+    by = ["location", "tl", "tr"]
+    each = obs.groupBy(*by, "source").agg(F.count("*").alias("n"))
+    whole = obs.groupBy(*by).agg(F.count("*").alias("rows"), F.count_distinct("source").alias("sources"), F.count_distinct("scases").alias("counts")).where("rows > 1")
+    whole = whole.withColumnsRenamed({c: f"__{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+    x = each.join(whole, same[0] & same[1] & same[2]).drop(*[f"__{c}" for c in by])
+    return x.withColumns({"exact": F.col("n") > 1, "conflict": F.col("counts") > 1})
 
 
 def has_quantity(obs: DataFrame) -> DataFrame:
@@ -61,11 +94,12 @@ def has_quantity(obs: DataFrame) -> DataFrame:
 
 
 def validation_funnel(obs: DataFrame) -> DataFrame:
-    """How many rows pass each stage, and all."""
+    """How many rows pass each stage, all of them, and that in percent (0 without rows)."""
     x = has_quantity(location_format(cfr_check(count_logic(date_logic(obs)))))
     d, c = ~F.col("ends_late") & ~F.col("reported_early"), ~F.col("too_deadly") & ~F.col("negative")
     f, p = ~F.col("cfr_odd"), F.col("good_location") & F.col("has_quantity")
-    return x.agg(F.count("*").alias("n"), F.count_if(d).alias("dates"), F.count_if(c).alias("quantities"), F.count_if(f).alias("cfr"), F.count_if(p).alias("form"), F.count_if(d & c & f & p).alias("passed"))
+    out = x.agg(F.count("*").alias("n"), F.count_if(d).alias("dates"), F.count_if(c).alias("quantities"), F.count_if(f).alias("cfr"), F.count_if(p).alias("form"), F.count_if(d & c & f & p).alias("passed"))
+    return out.withColumn("pass_pct", F.round(F.coalesce(F.try_divide(F.col("passed") * 100.0, "n"), F.lit(0.0)), 1))
 
 
 def domain_tier(src: DataFrame, tiers: DataFrame) -> DataFrame:

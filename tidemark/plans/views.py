@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 # One text serves both: Spark and DuckDB read the same SQL here.
 SQL = {
     "v_place": "select concat('N', n_nationkey) as iso, n_name as country, r_name as subregion, n_regionkey in (0, 2) as flag, cast(n_nationkey as bigint) as num from nation join region on n_regionkey = r_regionkey",
+    "v_site": "select concat('C', c_custkey) as iso, c_name as country, n_name as region, r_name as subregion, n_regionkey in (0, 2) as flag, c_mktsegment = 'BUILDING' as flag2 from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey",
+    "v_seller": "select concat('S', s_suppkey) as iso from supplier",
     "v_base": "select concat('N', c_nationkey) as iso, cast(o_orderdate as date) as date_start, date_add(cast(o_orderdate as date), 6) as date_stop, case when o_orderstatus = 'P' then null else cast(floor(o_totalprice) as bigint) end as cases, case when o_orderstatus = 'F' then null else o_orderkey % 50 end as deaths, case o_orderpriority when '1-URGENT' then 'WHO' when '2-HIGH' then 'JHU' when '3-MEDIUM' then 'SUPP' else null end as source, concat('C', o_custkey) as cust from orders join customer on o_custkey = c_custkey",
     "v_cust": "select concat('C', o_custkey) as iso, cast(o_orderdate as date) as date_start, date_add(cast(o_orderdate as date), 6) as date_stop, case when o_orderstatus = 'P' then null else cast(floor(o_totalprice) as bigint) end as cases, case when o_orderstatus = 'F' then null else o_orderkey % 50 end as deaths, case o_orderpriority when '1-URGENT' then 'WHO' when '2-HIGH' then 'JHU' when '3-MEDIUM' then 'SUPP' else null end as source from orders",
     "v_obs": "select l_orderkey * 10 + l_linenumber as idx, concat('N', s_nationkey) as iso, case s_suppkey % 3 when 0 then concat('AFR::N', s_nationkey) when 1 then concat('AFR::N', s_nationkey, '::P', s_suppkey % 7) else concat('AFR::N', s_nationkey, '::P', s_suppkey % 7, '::D', s_suppkey) end as location, cast(o_orderdate as date) as tl, case when l_linenumber = 7 then null else date_add(cast(o_orderdate as date), cast(l_quantity as int)) end as tr, cast(round(l_tax * 100) as bigint) as deaths, cast(l_quantity as bigint) as scases, cast(null as bigint) as ccases, cast(round(l_discount * 100) as double) as cfr, cast(l_shipdate as date) as reporting_date, s_suppkey as source_index, concat('S', s_suppkey) as source, cast(l_linenumber as double) / 8 as weight, l_returnflag as notes from lineitem join orders on l_orderkey = o_orderkey join supplier on l_suppkey = s_suppkey",

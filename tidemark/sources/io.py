@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Layouts of the files.
@@ -12,8 +12,9 @@ OBSERVATIONS = "Index int, Location string, TL date, TR date, deaths long, sCh l
 SOURCES = "Index int, Source string, URL string, Description string, Date_Range string, Data_Type string, Status string, Reliability_Level string, Validation_Status string, Search_Technique string, Language_Original string, Citation_Depth string, Cross_References string, Discovery_Method string"
 SURVEILLANCE = "country string, iso_code string, year int, week int, date_start date, date_stop date, cases long, deaths long, source string"
 PLACES = "iso_code string, country_name string, region string, subregion string, mosaic_framework boolean, who_afro boolean, ssa boolean, ai_cholera_coverage boolean"
-#: The place of a file: the folder that it stands in, as name or as name=value.
-_PLACE = r"/(?:[^/=]+=)?([^/=]+)/[^/]+$"
+#: The place of a file: the folder that it stands in, as name or as name=value; a folder agent=n may stand between.
+_PLACE = r"/(?:[^/=]+=)?([^/=]+)(?:/agent=\d+)?/[^/]+$"
+_AGENT = r"agent[_=](\d+)(?:\.txt$|/)"
 
 
 def _csv(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame:
@@ -45,7 +46,7 @@ def read_places(spark: SparkSession, path: str) -> DataFrame:
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """One row a log: iso, agent, content."""
     x = spark.read.text(path, wholetext=True, recursiveFileLookup=True).withColumn("p", F.col("_metadata.file_path"))
-    return x.select(F.regexp_extract("p", _PLACE, 1).alias("iso"), F.regexp_extract("p", r"_(\d+)\.txt$", 1).try_cast("int").alias("agent"), F.col("value").alias("content"))
+    return x.select(F.regexp_extract("p", _PLACE, 1).alias("iso"), F.regexp_extract("p", _AGENT, 1).try_cast("int").alias("agent"), F.col("value").alias("content"))
 
 
 def read_text_safe(spark: SparkSession, path: str) -> DataFrame:
@@ -54,6 +55,17 @@ def read_text_safe(spark: SparkSession, path: str) -> DataFrame:
     return x.select("path", F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string")).otherwise(F.decode("content", "ISO-8859-1")).alias("text"))
 
 
+def read_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(iso, kind, header): the first line of each file, whose kind is a folder kind=... or `meta` by its name, else
+    `data`. Only the first block of a file is looked at; within it rows keep their order."""
+    x = spark.read.option("recursiveFileLookup", True).text(path).where("_metadata.file_block_start = 0")
+    x = x.select(F.col("_metadata.file_path").alias("p"), "value", F.monotonically_increasing_id().alias("at"))
+    first = x.groupBy("p").agg(F.min_by("value", "at").alias("header"))
+    named = F.nullif(F.regexp_extract("p", r"/kind=([^/]+)/", 1), F.lit(""))
+    kind = F.coalesce(named, F.when(F.col("p").rlike(r"/meta[^/]*$"), "meta").otherwise("data"))
+    return first.select(F.regexp_extract("p", _PLACE, 1).alias("iso"), kind.alias("kind"), "header")
+
+
 def align_versions(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
@@ -74,12 +86,28 @@ def csv_payload_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return x.select(key, text.alias("payload"))
 
 
-def json_rows(df: DataFrame, numbers: list[str]) -> DataFrame:
-    typed = [F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)).alias(c) if c in numbers else F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns]
-    return df.select(F.col(df.columns[0]).alias("key"), F.to_json(F.struct(*typed)).alias("json"))
+def json_rows(df: DataFrame, integers: list[str], doubles: list[str]) -> DataFrame:
+    """Each row as JSON: counts as integers, shares as doubles (0 for blanks), all else as text ('' for null)."""
+
+    def typed(c: str) -> Column:
+        if c in integers or c in doubles:
+            kind = "bigint" if c in integers else "double"
+            return F.coalesce(F.nullif(F.trim(F.col(c).cast("string")), F.lit("")).try_cast(kind), F.lit(0).cast(kind)).alias(c)
+        return F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+
+    return df.select(F.col(df.columns[0]).alias("key"), F.to_json(F.struct(*[typed(c) for c in df.columns])).alias("json"))
+
 
+def place_groups_json(places: DataFrame, flags: list[str], attributes: list[str], main: str | None = None) -> DataFrame:
+    """(section, name, json) of a place table with iso and subregion.
 
-def place_groups_json(places: DataFrame) -> DataFrame:
-    """Members of each group (subregion) as JSON."""
-    g = places.groupBy("subregion").agg(F.sort_array(F.collect_list("iso")).alias("m"))
-    return g.select("subregion", F.to_json(F.struct(F.col("m").alias("members"))).alias("json"))
+    groups: members of `all`, of each flag and of each subregion; places: the attributes of each place;
+    breakdown: of each subregion its count, members and how many have the flag `main`. A group is one JSON value.
+    """
+    names = F.array(F.lit("all"), *[F.when(F.col(c), F.lit(c)) for c in flags], F.col("subregion"))
+    member = places.select("iso", F.explode(F.array_compact(names)).alias("name"))
+    groups = member.groupBy("name").agg(F.to_json(F.sort_array(F.collect_list("iso"))).alias("json")).select(F.lit("groups").alias("section"), "name", "json")
+    each = places.select(F.lit("places").alias("section"), F.col("iso").alias("name"), F.to_json(F.struct(*attributes), {"ignoreNullFields": "false"}).alias("json"))
+    sums = places.groupBy("subregion").agg(F.count("*").alias("count"), F.sort_array(F.collect_list("iso")).alias("places"), F.count_if(main or flags[0]).alias("main"))
+    parts = sums.select(F.lit("breakdown").alias("section"), F.col("subregion").alias("name"), F.to_json(F.struct("count", "places", "main")).alias("json"))
+    return groups.unionByName(each).unionByName(parts)

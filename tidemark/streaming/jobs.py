@@ -1,59 +1,111 @@
-"""Structured Streaming over arriving rows. Each job runs until its source is used up and returns the sink's table."""
+"""Structured Streaming over arriving rows. Each job runs until its source is used up and returns the sink's table.
+
+Aggregations run in append mode: a window is written once, when the watermark has passed it, and its state goes then;
+rows later than that are dropped. The last windows stay open until later rows arrive.
+
+Tables that change are kept as versions of hash buckets, `part=p/batch=n`: a micro-batch rewrites only the buckets that
+it touches, from their last version before it. A batch that runs again after a failure writes the same, and nothing is
+held in the driver, so a job goes on from its folder. Versions but the last of a bucket may be deleted at any time.
+"""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 from ..functions import scalars as S
+from ..operators import joins
+
+#: Hash buckets of a table that micro-batches change.
+BUCKETS = 16
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared one of the cluster; a local one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/spark-scratch"
+    """A new folder in the shared one of the cluster; a local one only where none is set and Spark runs locally."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "/tmp/spark-scratch"
     return f"{base}/{uuid.uuid4().hex}"
 
 
-def _complete(df: DataFrame) -> DataFrame:
-    """The last complete result of a streaming aggregation."""
-    at = scratch(df.sparkSession)
-    keep = lambda batch, _: batch.write.mode("overwrite").parquet(f"{at}/out")
-    df.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{at}/check").trigger(availableNow=True).start().awaitTermination()
+def _append(df: DataFrame, at: str | None = None) -> DataFrame:
+    at = at or scratch(df.sparkSession)
+    df.writeStream.outputMode("append").option("checkpointLocation", f"{at}/check").trigger(availableNow=True).start(f"{at}/out", format="parquet").awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(f"{at}/out")
 
 
-def _append(df: DataFrame) -> DataFrame:
-    at = scratch(df.sparkSession)
-    df.writeStream.outputMode("append").option("checkpointLocation", f"{at}/check").trigger(availableNow=True).start(f"{at}/out", format="parquet").awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(f"{at}/out")
+def read_versions(spark: SparkSession, at: str, schema: StructType, before: int | None = None) -> DataFrame:
+    """The last version of each bucket of the table in `at`, or the last one before a batch."""
+    kept = StructType([*schema.fields]).add("part", "integer").add("batch", "long")
+    try:
+        held = spark.read.schema(kept).parquet(f"{at}/out")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        held = spark.createDataFrame([], kept)
+    if before is not None:
+        held = held.where(F.col("batch") < before)
+    last = held.groupBy("part").agg(F.max("batch").alias("batch"))  # a row a bucket
+    return held.join(F.broadcast(last), ["part", "batch"], "left_semi").select(*schema.names)
+
+
+def _merge(rows: DataFrame, at: str, key: list[str], schema: StructType, fold: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Fold each micro-batch into the table in `at`: fold(rows of the batch, rows of the same buckets so far)."""
+    spark = rows.sparkSession
+    part = F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
 
+    def run(batch: DataFrame, n: int) -> None:
+        touched = [r["part"] for r in batch.select(part.alias("part")).distinct().collect()]  # BUCKETS at most
+        if touched:
+            old = read_versions(spark, at, schema, n).where(part.isin(touched))
+            made = fold(batch, old).select(*schema.names).withColumns({"part": part, "batch": F.lit(n).cast("long")})
+            made.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "batch").parquet(f"{at}/out")
 
-def stream_week_counts(events: DataFrame, iso: str, source: str, ts: str, late: str = "30 days") -> DataFrame:
-    """Distinct (iso, source, year, week) as they arrive, counted by iso and source."""
-    x = S.week_key(events.withWatermark(ts, late).withColumn("d", F.to_date(ts)), "d")
-    keys = x.select(F.col(iso).alias("iso"), F.col(source).alias("source"), "year", "week").dropDuplicates(["iso", "source", "year", "week"])
-    return _append(keys).groupBy("iso", "source").agg(F.count("*").alias("weeks"))
+    rows.writeStream.outputMode("append").foreachBatch(run).option("checkpointLocation", f"{at}/check").trigger(availableNow=True).start().awaitTermination()
+    return read_versions(spark, at, schema)
 
 
-def stream_data_blocks(rows: DataFrame, key: str, ts: str, gap_days: int = 14) -> DataFrame:
+def stream_week_counts(events: DataFrame, iso: str, source: str, ts: str, late: str = "30 days", at: str | None = None) -> DataFrame:
+    """Distinct (year, week) of each iso and source.
+
+    A window a Monday week tells that its weeks occur; closed windows set their bits in a table of (iso, source, year),
+    where a week that two windows share - the first and the last of a year may bear one number - is one bit.
+    """
+    day = F.to_date(ts)
+    open_ = events.withWatermark(ts, late).groupBy(F.col(iso).alias("iso"), F.col(source).alias("source"), F.window(ts, "7 days", "7 days", "4 days").alias("w"), F.year(day).alias("year"), F.weekofyear(day).alias("week"))
+    seen = open_.agg(F.count("*").alias("n")).select("iso", "source", "year", F.expr("shiftleft(1L, week)").alias("bits"))
+    schema = StructType().add("iso", seen.schema["iso"].dataType).add("source", "string").add("year", "integer").add("bits", "long")
+
+    def fold(new: DataFrame, old: DataFrame) -> DataFrame:
+        return new.select(*old.columns).unionByName(old).groupBy("iso", "source", "year").agg(F.bit_or("bits").alias("bits"))
+
+    held = _merge(seen, at or scratch(events.sparkSession), ["iso"], schema, fold)
+    return held.groupBy("iso", "source").agg(F.sum(F.bit_count("bits")).alias("weeks"))
+
+
+def stream_data_blocks(rows: DataFrame, key: str, ts: str, gap_days: int = 14, late: str = "30 days", at: str | None = None) -> DataFrame:
     """Blocks of dates with steps of at most gap_days: session windows, whose gap is taken off the end again."""
     w = F.session_window(ts, f"{gap_days} days")
-    x = _complete(rows.withWatermark(ts, "30 days").groupBy(F.col(key).alias("iso"), w.alias("w")).agg(F.count("*").alias("n")))
-    return x.select("iso", F.to_date("w.start").alias("block_start"), F.date_sub(F.to_date("w.end"), gap_days).alias("block_end"))
+    x = rows.withWatermark(ts, late).groupBy(F.col(key).alias("iso"), w.alias("w")).agg(F.count("*").alias("n"))
+    return _append(x.select("iso", F.to_date("w.start").alias("block_start"), F.date_sub(F.to_date("w.end"), gap_days).alias("block_end")), at)
 
 
-def stream_weekly_totals(events: DataFrame, ts: str, value: str) -> DataFrame:
-    """Totals of Monday weeks (windows start on Thursdays, so four days on)."""
-    x = _complete(events.withWatermark(ts, "7 days").groupBy(F.window(ts, "7 days", "7 days", "4 days").alias("w")).agg(F.count("*").alias("n"), F.round(F.sum(value), 2).alias("total")))
-    return x.select(F.to_date("w.start").alias("week_start"), "n", "total")
+def stream_weekly_totals(events: DataFrame, ts: str, value: str, late: str = "7 days", at: str | None = None) -> DataFrame:
+    """Totals of Monday weeks (windows start on Thursdays, so four days on); rows later than `late` are dropped."""
+    x = events.withWatermark(ts, late).groupBy(F.window(ts, "7 days", "7 days", "4 days").alias("w")).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
+    return _append(x.select(F.to_date("w.start").alias("week_start"), "n", "total"), at)
 
 
-def stream_stop_rule(batches: DataFrame, threshold: float, n_low: int, min_batches: int) -> DataFrame:
+def stream_stop_rule(batches: DataFrame, threshold: float, n_low: int, min_batches: int, at: str | None = None) -> DataFrame:
     """The first batch of each key (iso, batch, yield) after n_low low yields in a row, in order of batch.
 
     Rows may arrive in any order: the state keeps all batches of a key, since an earlier one may always follow and
@@ -75,20 +127,27 @@ def stream_stop_rule(batches: DataFrame, threshold: float, n_low: int, min_batch
         yield pd.DataFrame({"iso": [key[0]], "stop_batch": pd.array([stop], "Int64"), "seen": [len(held)]})
 
     out = batches.groupBy("iso").applyInPandasWithState(run, "iso long, stop_batch long, seen long", "batches array<long>, yields array<long>", "append", GroupStateTimeout.NoTimeout)
-    last = _append(out).groupBy("iso").agg(F.max(F.struct("seen", "stop_batch")).alias("r"))
+    last = _append(out, at).groupBy("iso").agg(F.max(F.struct("seen", "stop_batch")).alias("r"))
     return last.select("iso", F.col("r.stop_batch").alias("stop_batch")).where("stop_batch is not null")
 
 
-def stream_refresh(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """The latest row of each key, upserted micro-batch by micro-batch into a new version of the table."""
-    spark, at = rows.sparkSession, scratch(rows.sparkSession)
-    versions: list[str] = []
+def stream_refresh(rows: DataFrame, key: str, order: str, previous: DataFrame | None = None, at: str | None = None) -> DataFrame:
+    """The latest row of each key, upserted by micro-batch, with the manual notes carried on.
 
-    def upsert(batch: DataFrame, n: int) -> None:
-        all_ = batch.unionByName(spark.read.parquet(versions[-1])) if versions else batch
-        last = all_.groupBy(key).agg(F.max_by(F.struct(*all_.columns), F.struct(order, F.xxhash64(*all_.columns))).alias("r")).select("r.*")
-        last.write.mode("overwrite").parquet(f"{at}/v{n}")
-        versions.append(f"{at}/v{n}")
+    rows have a text column notes, made automatically; previous(key, notes) is where manual notes stand before the
+    first batch, and the table itself afterwards. Rows with equal order are told apart by their content.
+    """
 
-    rows.writeStream.foreachBatch(upsert).option("checkpointLocation", f"{at}/check").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(versions[-1]) if versions else spark.createDataFrame([], rows.schema)
+    def fold(new: DataFrame, old: DataFrame) -> DataFrame:
+        all_ = new.withColumn("__new", F.lit(True)).unionByName(old.withColumn("__new", F.lit(False)))
+        plain = [c for c in rows.columns if c != "notes"]
+        best = F.max_by(F.struct(*rows.columns, "__new"), F.struct(order, F.xxhash64(*plain), "__new"))
+        last = all_.groupBy(key).agg(best.alias("r")).select("r.*").withColumnRenamed(key, "iso")
+        notes = old.select(F.col(key).alias("iso"), "notes")
+        if previous is not None:
+            first = previous.select(F.col(key).alias("iso"), "notes").join(notes.select("iso"), "iso", "left_anti")
+            notes = notes.unionByName(first)
+        changed = joins.merge_manual_notes(last.where("__new"), notes)
+        return changed.unionByName(last.where("not __new")).withColumnRenamed("iso", key)
+
+    return _merge(rows, at or scratch(rows.sparkSession), [key], rows.schema, fold)
