@@ -144,10 +144,47 @@ def test_shards_have_near_equal_bytes(spark, ids):
         assert max(total.values()) - min(total.values()) <= 100
 
 
+@pytest.mark.parametrize("shape", ["null", "equal", "outlier"])
+def test_shards_part_null_and_equal_keys(spark, shape):
+    key = {"null": lambda i: None if i % 2 else i, "equal": lambda i: 7, "outlier": lambda i: 2**63 - 1 if i == 999 else i}[shape]
+    rows = [(key(i), 10, "x") for i in range(1000)]
+    got = sharding.histogram_sort(spark.createDataFrame(rows, "doc_id long, size long, name string").repartition(7), "doc_id", "size", 16).collect()
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+    assert len(got) == 1000 and len(by) == 16 and all(sorted(v) == list(range(len(v))) for v in by.values())
+    assert max(map(len, by.values())) - min(map(len, by.values())) <= 2
+    order = [(r.doc_id is not None, r.doc_id or 0) for r in sorted(got, key=lambda r: (r.shard, r.slot))]
+    assert order == sorted(order)
+
+
 def test_sharding_odd_rows(spark, odd, empty):
-    x = odd.withColumn("size", F.octet_length("text"))
-    assert sharding.histogram_sort(x.drop("shard"), "doc_id", "size").count() == 10
-    assert sharding.histogram_sort(empty.drop("shard"), "doc_id", "n_chars").count() == 0
+    x = odd.withColumn("size", F.octet_length("text")).withColumn("slot", F.lit("old")).withColumn("__rank", F.lit(1))
+    got = sharding.histogram_sort(x, "doc_id", "size")
+    assert got.count() == 10 and got.columns.count("shard") == got.columns.count("slot") == 1 and {r.kind for r in got.collect()} == {"k"}
+    assert sharding.histogram_sort(empty, "doc_id", "n_chars").count() == 0
+
+
+BIG = [2**53, 2**53 + 1, 2**63 - 1, None]
+
+
+def test_ids_beyond_doubles_stay_exact(spark):
+    rows = [(i, f"the little text number {k} of four " * 4, "en", "x") for k, i in enumerate(BIG)]
+    d = docs(spark, rows).coalesce(1)
+    want = sorted(BIG, key=str)
+    ids = lambda df, c="doc_id": sorted((r[c] for r in df.collect()), key=str)
+    assert ids(substring_dedup.remove_repeats(d)) == ids(ngram_join.jaccard_join(d)) == ids(langid.identify(d, langid.fit(d))) == want
+    assert ids(bpe.digests(d, queries.VOCABULARY)) == want
+    pages = spark.createDataFrame([(i, None, "<p>hi") for i in BIG], "page_id long, url string, html string").coalesce(1)
+    assert ids(html_text.extract(pages), "page_id") == want
+
+
+def test_language_sample_counts_repeated_rows_once(spark):
+    rows = [(1, "the same text of one id again", "en", "x")] * 3000 + [(2, "ein anderer Text in anderer Sprache", "de", "x"), (4, "and yet another text", "en", "x")]
+    model = langid.fit(docs(spark, rows))
+    assert model.langs == ["de", "en"]
+    with pytest.raises(ValueError):
+        langid.fit(docs(spark, rows), most=1)
 
 
 def test_html():

@@ -20,21 +20,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there.
 
-    The folder is spark.checkpoint.dir; only where it is unset (tests, local mode) a temporary one is taken.
+    The folder is spark.checkpoint.dir; where it is unset, a temporary one is taken if Spark runs locally (as in
+    tests), and nothing else will do.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        )
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return df.checkpoint()
 
 
+def as_text(id_: F.Column) -> F.Column:
+    """A 64-bit id on its way through pandas, which has no longs with nulls but doubles; `as_ids` reads it back."""
+    return id_.cast("long").cast("string")
+
+
+def as_ids(values) -> list[int | None]:
+    return [int(v) if isinstance(v, str) else None for v in values]
+
+
 #: Rows that go to a Python worker at once; texts are long, and a worker's memory is what a batch and its copies take.
 BATCH = 1000
 
 
 def small_batches(df: DataFrame) -> None:
+    """Lower the session's limit of rows an Arrow batch to BATCH. It stays lowered: plans read it when they run."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= BATCH:
         conf.set(key, str(BATCH))

@@ -2,7 +2,7 @@
 
 First the language family, then one-versus-one linear support vector machines between the languages of that family.
 Features are hashed byte n-grams of the whole text. The machines are fitted on a bounded sample of labelled rows
-(`per_language` rows a language, chosen by a hash of doc_id); every text is then classified whole.
+(`per_language` rows a language, chosen by a hash of doc_id and text); every text is then classified whole.
 
 Defined cases: null texts and texts without a letter are `und` with score 0; null labels teach nothing; with no
 labelled row all texts are `und`; with one language all others get it; an empty table gives an empty result; other
@@ -16,12 +16,13 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import small_batches
+from .common import cut, small_batches
 
 DIM = 4096
 #: Languages of common families, by ISO 639-1 code. A code that is in none is a family of its own.
@@ -119,20 +120,33 @@ def held_out(doc_id: F.Column) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, per_language: int = 300, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Hierarchy | None:
-    """Fit on at most per_language labelled rows a language that aren't held out; None without any."""
-    rows = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(F.col(doc_id)))
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    ids = rows.select(F.col(lang).alias("lang"), F.xxhash64(F.lit(17), F.col(doc_id)).alias("h"), F.col(doc_id).alias("id"))
-    ids = ids.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).select("id").distinct()
-    chosen = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(doc_id).alias("id")).join(F.broadcast(ids), "id")  # per_language * languages ids
+def fit(docs: DataFrame, per_language: int = 300, most: int = 1000, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Hierarchy | None:
+    """Fit on at most per_language labelled rows a language that aren't held out; None without any.
+
+    Rows are chosen by a hash of doc_id and text; rows that repeat both count once. Each teaches its whole text and, so
+    that short texts are known as well, an excerpt of 80 characters from its middle. More than `most` languages raise:
+    2 * per_language * most feature rows are what the driver gets at most.
+    """
+    rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{doc_id}`").alias("id"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("id")))
+    rows = rows.withColumn("h", F.xxhash64(F.lit(17), "id", "text"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    sized = cut(counts)
+    if sized.count() > most:
+        raise ValueError(f"more than {most} languages are labelled")
+    # about four times what is asked of each language passes, in every partition alike; the rank is exact among these
+    share = F.col("h") / F.lit(2.0**64) + 0.5
+    some = rows.join(F.broadcast(sized), "lang").where(share < F.lit(4.0 * per_language) / F.col("n"))  # `most` rows
+    few = some.groupBy("lang", "h").agg(F.first("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).select("lang", "h", "text")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            out = [(r.lang, features(t).astype("<f2").tobytes(), r.id) for r in p.itertuples() for t in (r.text, r.text[len(r.text) // 2 :][:80])]
-            yield pd.DataFrame(out, columns=["lang", "x", "id"])
+            out = [(r.lang, features(t).astype("<f2").tobytes(), r.h) for r in p.itertuples() for t in (r.text, r.text[len(r.text) // 2 :][:80])]
+            yield pd.DataFrame(out, columns=["lang", "x", "h"])
 
-    sample = chosen.mapInPandas(run, "lang string, x binary, id long").toPandas().sort_values(["lang", "id", "x"])
+    sample = chosen.mapInPandas(run, "lang string, x binary, h long").toPandas().sort_values(["lang", "h", "x"])
     if sample.empty:
         return None
     return Hierarchy(np.stack([np.frombuffer(b, "<f2") for b in sample["x"]]).astype(np.float32), list(sample["lang"]))
@@ -143,18 +157,22 @@ def identify(docs: DataFrame, model: Hierarchy | None, text: str = "text") -> Da
     small_batches(docs)
     kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = [f.name for f in kept]
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for p in parts:
-            texts = list(p["__text"])
-            lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
-            if m is not None:
-                for first in range(0, len(texts), 512):
-                    rows = [i for i in range(first, min(first + 512, len(texts))) if isinstance(texts[i], str) and _letter(texts[i])]
-                    if rows:
-                        lang[rows], score[rows] = m.predict(np.stack([features(texts[i]) for i in rows]))
-            yield p.drop(columns="__text").assign(lang_pred=lang, score=score)
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index("__text"))
+            lang, score = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
+            for first in range(0, batch.num_rows if m is not None else 0, 256):
+                texts = column.slice(first, 256).to_pylist()
+                rows = [i for i, t in enumerate(texts) if t is not None and _letter(t)]
+                if rows:
+                    found, sure = m.predict(np.stack([features(texts[i]) for i in rows]))
+                    at = np.array(rows) + first
+                    lang[at], score[at] = found, sure
+            arrays = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(lang, pa.string()), pa.array(score)], [*names, "lang_pred", "score"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["lang_pred string", "score double"])
-    return docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`").alias("__text")).mapInPandas(run, schema)
+    return docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Union, bitmap, components, cut, mix, slices, slot, small_batches, weights, words
+from .common import Union, as_ids, as_text, bitmap, components, cut, mix, slices, slot, small_batches, weights, words
 
 BANDS, BAND_ROWS = 3, 3
 #: Rows of one side that meet in a task at once.
@@ -94,10 +94,10 @@ def _describe(docs: DataFrame, n: int) -> DataFrame:
         rows = 0
         for p in parts:
             out, fresh = [], []
-            ids = p["doc_id"].tolist()
+            ids = as_ids(p["doc_id"])
             for i, s in _sets(p, n):
                 d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                out.append((None if pd.isna(ids[i]) else int(ids[i]), len(s), d.hex(), _bands(s) if len(s) else [0] * BANDS))
+                out.append((ids[i], len(s), d.hex(), _bands(s) if len(s) else [0] * BANDS))
                 if d not in seen:
                     seen.add(d)
                     fresh.append(s)
@@ -111,14 +111,15 @@ def _describe(docs: DataFrame, n: int) -> DataFrame:
                 if len(count) > 2_000_000:
                     count = {k: v for k, v in count.items() if v >= 16}
             f = pd.DataFrame(out, columns=["doc_id", "n", "digest", "bands"])
-            f["doc_id"], f["bands"] = f["doc_id"].astype("Int64"), f["bands"].astype(object)
+            f["doc_id"], f["bands"] = pd.array([r[0] for r in out], "Int64"), f["bands"].astype(object)
             yield f.assign(token=pd.array([pd.NA] * len(f), "Int64"), df=0)
         least = max(6, rows // 5000)
         often = [(k, v) for k, v in count.items() if v >= least]
         f = pd.DataFrame({"token": pd.array([k for k, _ in often], "Int64"), "df": [v for _, v in often]})
         yield f.assign(doc_id=pd.array([pd.NA] * len(f), "Int64"), n=0, digest="", bands=pd.Series([[]] * len(f), dtype=object, index=f.index))[["doc_id", "n", "digest", "bands", "token", "df"]]
 
-    return docs.mapInPandas(run, "doc_id long, n long, digest string, bands array<long>, token long, df long")
+    told = docs.select(as_text(F.col("doc_id")).alias("doc_id"), "text")
+    return told.mapInPandas(run, "doc_id long, n long, digest string, bands array<long>, token long, df long")
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int, order: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -131,7 +132,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, order: tuple[np.ndarray, np
             out = []
             ids = p["doc_id"].tolist()
             for i, s in _sets(p, n):
-                if len(s) and not pd.isna(ids[i]):
+                if len(s):
                     length = min(len(s), len(s) - -(-percent * len(s) // 100) + min(SHARED, 1 + len(s) // STEP))
                     w = np.zeros(len(s), np.int64)
                     if len(token):
@@ -140,7 +141,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, order: tuple[np.ndarray, np
                     out.append((int(ids[i]), len(s), s[np.lexsort((s, w))[:length]]))
             yield pd.DataFrame(out, columns=["doc_id", "n", "prefix"])
 
-    return docs.mapInPandas(run, "doc_id long, n long, prefix array<long>")
+    return docs.where("doc_id is not null").mapInPandas(run, "doc_id long, n long, prefix array<long>")
 
 
 def _pack(s: np.ndarray) -> bytes:

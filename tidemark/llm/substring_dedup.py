@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, cut, mix, slices, slot, small_batches, weights, words
+from .common import as_ids, as_text, bitmap, cut, mix, slices, slot, small_batches, weights, words
 from .fm_index import FmIndex
 
 WINDOW, GRAM = 13, 4
@@ -258,22 +258,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
 
     @F.pandas_udf("boolean")
     def loses(at: pd.Series) -> pd.Series:
-        s = at.fillna(0).to_numpy(np.int64)
+        s = at.to_numpy(np.int64)
         return pd.Series(((bits.value[s >> 3] >> (s & 7).astype(np.uint8)) & 1).astype(bool))
 
     def whole(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             out = pd.DataFrame(kept(p["text"], [None] * len(p)), columns=["n_words", "n_removed", "kept"])
-            yield out.assign(doc_id=p["doc_id"].astype("Int64").to_numpy())
+            yield out.assign(doc_id=pd.array(as_ids(p["doc_id"]), "Int64"))
 
     def finish(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             out = pd.DataFrame(kept(p["text"], p["spans"]), columns=["n_words", "n_removed", "kept"])
-            yield out.assign(doc_id=p["doc_id"].to_numpy())
+            yield out.assign(doc_id=pd.array(as_ids(p["doc_id"]), "Int64"))
 
     # two reads of the input, which cost less than a copy of all texts
     schema = "doc_id long, n_words long, n_removed long, kept string"
-    split = own.withColumn("loses", loses(slot(F.col("doc_id"))))
-    clear = split.where("not loses").select("doc_id", "text").mapInPandas(whole, schema)
+    split = own.withColumn("loses", F.coalesce(loses(F.coalesce(slot(F.col("doc_id")), F.lit(0))), F.lit(False)))
+    told = as_text(F.col("doc_id")).alias("doc_id")
+    clear = split.where("not loses").select(told, "text").mapInPandas(whole, schema)
     some = split.where("loses").select("doc_id", "text", F.xxhash64("text").alias("tid")).join(per, ["doc_id", "tid"], "left")
-    return clear.unionByName(some.select("doc_id", "text", "spans").mapInPandas(finish, schema))
+    return clear.unionByName(some.select(told, "text", "spans").mapInPandas(finish, schema))
