@@ -187,16 +187,64 @@ def test_language_sample_counts_repeated_rows_once(spark):
         langid.fit(docs(spark, rows), most=1)
 
 
-def test_html():
+def _main(spark, pages, host=lambda i: "a"):
+    rows = [(i, f"http://{host(i)}/{i}", p) for i, p in enumerate(pages)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    return [r.text for r in sorted(got.collect(), key=lambda r: r.page_id)]
+
+
+def test_html(spark):
     page = '<html><body><nav><a href=1>Home</a></nav><div class="cookie-notice">ok?</div><article><h1>T&amp;T</h1><p>a<br>b <i>c</i>d&nbsp;e<p>f<script>x</script><div class="share">s</div></article><div id=comments><p>me</div><footer>f</footer>'
-    assert html_text.main_texts([page, None, ""]) == ["T&T\na b cd e\nf", "", ""]
+    assert _main(spark, [page, None, ""]) == ["T&T\na b cd e\nf", "", ""]
     pages = [f"<div>Welcome to our great little site</div><p>Unique words number {i} {i * 7} {i * 13} here</p>" for i in range(5)]
-    assert html_text.main_texts(pages) == [f"Unique words number {i} {i * 7} {i * 13} here" for i in range(5)]
+    assert _main(spark, pages) == [f"Unique words number {i} {i * 7} {i * 13} here" for i in range(5)]
+
+
+def test_html_keeps_the_articles_own_headers_and_sections(spark):
+    page = '<nav>Menu</nav><article><header class="entry-header"><h1>Title</h1></header><div class="article-header">Lead</div><section id="social-history"><p>One</section><p id="share-prices">Two<section id="comment-by-the-author">Three</section><p class="notice">Four</p><p>five <math><mi>x</mi></math></p><noscript><p>Six</p></noscript><div class="share-buttons">tweet</div><div class="ad">buy</div><section id="comments">me</section></article><div class="site-header">Site</div>'
+    assert _main(spark, [page]) == ["Title\nLead\nOne\nTwo\nThree\nFour\nfive x\nSix"]
+    page = '<article>A teaser</article><div id="content"><p>The body of the page in plain words</div><div class="sidebar">more</div>'
+    assert _main(spark, [page]) == ["A teaser\nThe body of the page in plain words"]
+
+
+def _boilerplate(pages, need):
+    """Brute force: blocks outside articles whose words are covered by runs that `need` distinct pages hold."""
+    streams = [[w for t in html_text._undecided(html_text.blocks(p)) for w in t.split()] for p in pages]
+    holders = collections.defaultdict(set)
+    for p, s in zip(pages, streams, strict=True):
+        for k in range(len(s) - html_text.RUN + 1):
+            holders[tuple(s[k : k + html_text.RUN])].add(p)
+    out = []
+    for p, s in zip(pages, streams, strict=True):
+        gone = [False] * len(s)
+        for k in range(len(s) - html_text.RUN + 1):
+            if len(holders[tuple(s[k : k + html_text.RUN])]) >= need:
+                gone[k : k + html_text.RUN] = [True] * html_text.RUN
+        keep, at = [], 0
+        for text, away, main in html_text.blocks(p):
+            n = 0 if away or main else len(text.split())
+            if not away and (main or sum(gone[at : at + n]) < html_text.COVER * n):
+                keep.append(text)
+            at += n
+        out.append("\n".join(keep))
+    return out
 
 
-def test_html_keeps_the_articles_own_headers_and_sections():
-    page = '<nav>Menu</nav><article><header class="entry-header"><h1>Title</h1></header><div class="article-header">Lead</div><section id="social-history"><p>One</section><p id="share-prices">Two<section id="comment-by-the-author">Three</section><div class="share-buttons">tweet</div><div class="ad">buy</div><section id="comments">me</section></article><div class="site-header">Site</div>'
-    assert html_text.main_texts([page]) == ["Title\nLead\nOne\nTwo\nThree"]
+@pytest.mark.parametrize("size", [7, 40, 600])
+def test_html_suffixes_by_brute_force(spark, size):
+    """Pages with and without an article; what repeats on a host goes whatever the host's size."""
+    rng = random.Random(size)
+    word = lambda n: " ".join(f"w{rng.randint(0, 99999)}" for _ in range(n))
+    notes, copied = [word(9) for _ in range(3)], word(60)
+    pages = []
+    for i in range(size):
+        parts = [f"<div>{n}</div>" for n in notes if rng.random() < 0.6] + [f"<div>{word(12)}</div>"]
+        parts += [f"<article><p>{notes[0]}</p><p>{word(8)}</p></article>"] if i % 2 else [f"<p>{word(20)} {notes[1][:30]}</p>"]
+        parts += [f"<p>{copied}</p>"] if i in (1, 2) else []
+        pages.append("".join(parts))
+    got = _main(spark, pages)
+    assert got == _boilerplate(pages, max(3, -(-len(pages) // 5)))
+    assert all(notes[0] in t for t in got[1::2]) and copied in got[1] and any(len(html_text.blocks(p)) > t.count("\n") + 1 for p, t in zip(pages, got, strict=True))
 
 
 def test_html_tables(spark, empty):

@@ -1,41 +1,46 @@
 """Main text of web pages (operator 5).
 
-Pages are parsed into blocks. What structure marks as surroundings goes: menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles, hidden parts and reader comments. Beside that, a suffix array over the token streams
-of a host's pages finds long substrings that repeat across distinct pages: blocks that such runs cover are boilerplate
-and go, unless they stand in the page's article itself - there a repeat is a quotation or a copied article, not
-boilerplate, and the whole article is asked for.
+Pages are parsed into blocks. Structure decides two kinds of them: what it marks as surroundings goes - menus, headers,
+footers, sidebars, notices, adverts, forms, scripts, styles, hidden parts and reader comments -, and what stands in an
+article or main element stays. Repeats can't decide there: quotations and copied articles repeat across pages too.
 
-Pages of a host are dealt into groups of about GROUP pages, so that a host with a third of all pages is many tasks;
-boilerplate that a host repeats is repeated in each group.
+Of all other blocks the host's suffix array decides. The suffixes are those of each page's token stream of such
+blocks, ordered to the depth of RUN tokens: an exchange brings suffixes of one host with the same first RUN tokens
+together - one interval of the array -, however many pages the host has. Intervals that enough distinct pages share
+are boilerplate; blocks that these cover go, unique ones stay.
 
 Defined cases: null or empty html gives an empty text; null urls are one host; unclosed tags, stray ends and broken
 attributes are read as browsers do, roughly; repeated rows get equal results; an empty table gives an empty result;
-other columns are kept, but for `text`.
+other columns are kept, but for `text`, and 64-bit ids stay exact.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FEW, cut
+from .common import cut, mix, small_batches, weights, words
 
-GROUP = 256
-#: Words in a row, and the share of a group's pages (three at least), that make a repeat.
-RUN, SHARE = 5, 0.05
+#: Tokens in a row, and the share of a host's distinct pages with undecided blocks (three at least), that make a repeat.
+RUN, SHARE, PAGES = 5, 0.2, 3
+#: Share of a block's tokens that repeats must cover.
+COVER = 0.8
+_W = weights(RUN, 41)
+#: Parts into which copies of one page are dealt where pages meet their repeats.
+SALT = 8
 
 _tag = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>", re.S)
 _attribute = re.compile(r"(class|id|role|style|hidden|aria-hidden|aria-label)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _parts = re.compile(r"[a-z]+|[A-Z][a-z]*")
 # Element names of HTML and names that surroundings go by.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math object select canvas audio video head xmp".split())
+RAW = frozenset("script style textarea title iframe template svg select head xmp".split())
 AWAY = frozenset("nav header footer aside form button dialog menu fieldset".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -153,82 +158,77 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
     return out
 
 
-def repeated(streams: list[list[str]], run: int = RUN, share: float = SHARE) -> list[np.ndarray]:
-    """Which tokens of each stream lie in a substring of `run` tokens that several distinct streams hold.
-
-    A suffix array of the joined streams, ordered by prefix doubling as far as `run` needs; suffixes that share their
-    first `run` tokens are neighbours. Equal streams count once.
-    """
-    names: dict[str, int] = {}
-    sizes = np.array([len(s) for s in streams])
-    tokens = np.array([names.setdefault(t, len(names) + 1) for s in streams for t in [*s, ""]], np.int64)
-    tokens[np.cumsum(sizes + 1) - 1] = 0
-    page = np.repeat(np.arange(len(streams)), sizes + 1)
-    distinct: dict[tuple, int] = {}
-    same = np.array([distinct.setdefault(tuple(s), len(distinct)) for s in streams])
-    need = max(3, int(np.ceil(share * len(distinct))))
-    covered = np.zeros(len(tokens), bool)
-    if len(distinct) >= need and len(tokens) > run:
-        rank, depth = tokens, 1
-        while depth < run:
-            step = min(depth, run - depth)
-            after = np.zeros(len(rank), np.int64)
-            after[:-step] = rank[step:] + 1
-            _, rank = np.unique(rank * (len(rank) + len(names) + 2) + after, return_inverse=True)
-            depth += step
-        suffix = np.argsort(rank, kind="stable")
-        left = np.repeat(np.cumsum(sizes + 1) - 1, sizes + 1) - np.arange(len(tokens))
-        suffix = suffix[left[suffix] >= run]  # those that end within their page
-        key = rank[suffix]
-        pairs = np.unique(np.stack([key, same[page[suffix]]], 1), axis=0)
-        value, pages = np.unique(pairs[:, 0], return_counts=True)
-        common = np.zeros(int(rank.max()) + 1, bool)
-        common[value[pages >= need]] = True
-        start = np.sort(suffix[common[key]])
-        for k in range(run):
-            covered[start + k] = True
-    edge = np.cumsum(sizes + 1) - (sizes + 1)
-    return [covered[a : a + n] for a, n in zip(edge.tolist(), sizes.tolist(), strict=True)]
-
-
-def main_texts(pages: list[str | None]) -> list[str]:
-    """Main text of each page of one host."""
-    parsed = [blocks(p) if isinstance(p, str) else [] for p in pages]
-    streams = [[w for text, _, _ in b for w in text.split()] for b in parsed]
-    out = []
-    for found, mask in zip(parsed, repeated(streams) if len(pages) > 2 else [np.zeros(len(s), bool) for s in streams], strict=True):
-        has_main = any(main and not away for _, away, main in found)
-        keep, at = [], 0
-        for text, away, main in found:
-            n = len(text.split())
-            boilerplate = n and mask[at : at + n].mean() >= 0.8
-            at += n
-            if not away and (main if has_main else not boilerplate):
-                keep.append(text)
-        out.append("\n".join(keep))
-    return out
+def _undecided(found: list[tuple[str, bool, bool]]) -> list[str]:
+    return [text for text, away, main in found if not away and not main]
+
+
+def runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the stream's runs of RUN tokens, one a suffix that is long enough, and the tokens of each text."""
+    owner, _, _, h, _ = words([t.encode("utf-8", "surrogatepass") for t in texts], lower=False)
+    size = np.bincount(owner, minlength=len(texts))
+    out = np.zeros(max(0, len(h) - RUN + 1), np.uint64)
+    for k in range(RUN):
+        out += h[k : len(h) - RUN + 1 + k] * _W[k]
+    return mix(out).view(np.int64), size
+
 
+def main_text(page: str, repeats: np.ndarray) -> str:
+    """Main text of a page, given its host's repeated runs (or as many of them as this page has)."""
+    found = blocks(page)
+    away = [a for _, a, _ in found]
+    texts = _undecided(found)
+    if texts and len(repeats):
+        at, size = runs(texts)
+        mask = np.zeros(int(size.sum()), bool)
+        start = np.flatnonzero(np.isin(at, repeats))
+        for k in range(RUN):
+            mask[start + k] = True
+        edge = np.cumsum(size) - size
+        covered = iter([n > 0 and mask[a : a + n].mean() >= COVER for a, n in zip(edge.tolist(), size.tolist(), strict=True)])
+        away = [a or (not main and next(covered)) for _, a, main in found]
+    return "\n".join(text for (text, _, _), a in zip(found, away, strict=True) if not a)
 
-def extract(pages: DataFrame, url: str = "url", page: str = "html", page_id: str = "page_id") -> DataFrame:
+
+def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     """pages with `text`, the main text, instead of the html."""
+    small_batches(pages)
     kept = [f for f in pages.schema.fields if f.name not in (page, "text")]
-    host = F.coalesce(F.lower(F.regexp_extract(F.col(f"`{url}`"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
-    rows = pages.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{page}`").alias("__html"), host.alias("__host"))
-    # only hosts of more than a group need their size: pages / GROUP rows at most, counted before they are broadcast
-    sizes = cut(rows.groupBy("__host").agg(F.count("*").alias("__n")).where(F.col("__n") > GROUP))
-    sizes = F.broadcast(sizes) if sizes.count() <= FEW else sizes
-    groups = F.coalesce(F.ceil(F.col("__n") / GROUP), F.lit(1))
-    total = pages.count()
-    # a group stays whole; small hosts share a task
-    dealt = rows.join(sizes, "__host", "left").withColumn("__group", F.pmod(F.xxhash64(F.col(f"`{page_id}`"), F.col(f"`{url}`")), groups))
-    dealt = dealt.drop("__n").withColumn("__task", F.pmod(F.xxhash64("__host", "__group"), F.lit(max(1, -(-total // GROUP)))))
     names = [f.name for f in kept]
-
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        text = np.full(len(p), "", object)
-        for at in p.groupby(["__host", "__group"]).indices.values():
-            text[at] = main_texts([p["__html"].iat[i] for i in at])
-        return p[names].assign(text=text)
+    host = F.coalesce(F.lower(F.regexp_extract(F.col(f"`{url}`"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
+    rows = pages.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{page}`").alias("__html"), host.alias("__host"))
+
+    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hosts, keys, found = [], [], []
+            for h, k, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                texts = _undecided(blocks(t))
+                if texts:
+                    r = np.unique(runs(texts)[0]).tolist()
+                    hosts += [h] * len(r)
+                    keys += [k] * len(r)
+                    found += r
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(found, pa.int64())], ["host", "page", "run"])
+
+    asked = rows.where("__html is not null").select("__host", F.xxhash64("__html").alias("__page"), "__html")
+    held = cut(asked.mapInArrow(suffixes, "host string, page long, run long").distinct())
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
+        for batch in batches:
+            html_, runs_ = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("__html", "__runs"))
+            text = [main_text(t, np.array(r, np.int64) if r else none) if t else "" for t, r in zip(html_, runs_, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), pa.array(text, pa.string())], [*names, "text"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["text string"])
-    return dealt.groupBy("__task").applyInPandas(run, schema)
+    columns = [F.col(f"`{n}`") for n in [*names, "__html"]]
+    no_runs = F.lit(None).cast("array<long>").alias("__runs")
+    if held.isEmpty():  # structure decides every block of every page: no page needs an exchange
+        return rows.select(*columns, no_runs).mapInArrow(finish, schema)
+    need = held.groupBy("host").agg(F.greatest(F.lit(PAGES), F.ceil(F.count_distinct("page") * SHARE)).alias("need"))
+    often = held.groupBy("host", "run").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES).join(need, "host").where("n >= need")
+    marks = held.join(often.select("host", "run"), ["host", "run"]).groupBy("host", "page").agg(F.collect_list("run").alias("__runs"))
+    marks = marks.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    salted = rows.where("__html is not null").withColumns({"__page": F.xxhash64("__html"), "__salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALT)).cast("int")})
+    marked = salted.join(marks.withColumnsRenamed({"host": "__host", "page": "__page"}), ["__host", "__page", "__salt"], "left")
+    both = marked.select(*columns, "__runs").unionAll(rows.where("__html is null").select(*columns, no_runs))
+    return both.mapInArrow(finish, schema)
