@@ -266,6 +266,34 @@ def test_top_k_sql_and_odd_rows(spark):
     assert vectors.top_k(_embeddings(spark, [])).count() == 0
 
 
+def test_top_k_by_brute_force_with_ties_chunks_and_large_numbers(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = np.round(rng.standard_normal((700, 12)), 1)
+    x[300:400] = x[:100]  # ties
+    x[50] = 1e9  # products beyond doubles
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    monkeypatch.setattr(vectors, "CHUNK", 1200)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(5)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in vectors.top_k(table, every=20, k=7).collect()}
+    z = [[int(np.floor(1024 * c)) for c in v] for v in x]
+    dot = lambda a, b: sum(p * q for p, q in zip(a, b, strict=True))
+    want = {}
+    for q in range(0, 700, 20):
+        scores = sorted((-dot(z[q], z[i]), i) for i in range(700) if i != q)[:7]
+        want |= {(q, n): (i, -s if abs(s) < 2**63 else None) for n, (s, i) in enumerate(scores, 1)}
+    assert {k: v for k, v in got.items() if want[k][1] is not None} == {k: v for k, v in want.items() if v[1] is not None}
+
+
+def test_top_k_bounds_prune(spark):
+    """Segment statistics leave less than half of the pairs of the given vectors to the exact product."""
+    held = vectors.quantise(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"), 1024).orderBy("vec_id").collect()
+    ids, x = np.array([r.vec_id for r in held]), np.array([r.x for r in held])
+    search = vectors._searches([(int(i), v.tobytes()) for i, v in zip(ids, x, strict=True) if i % 100 == 0], 10)[x.shape[1]]
+    search.best(x, ids)
+    q, _ = search.survivors(x, ids)
+    assert len(q) < 0.5 * len(ids) * len(search.ids)
+
+
 def test_near_vectors_by_brute_force(spark):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((40, 16))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,13 +19,20 @@ from .common import Union, components, cut
 # ---------------------------------------------------------------------------------------------------------------
 # Exact top-k: multi-resolution segment statistics.
 #
-# A vector is cut into S = 1, 2, 4, ... segments with mean and deviation each. By Cauchy-Schwarz in every segment of
-# length L, the squared distance is at least the sum of L * ((difference of means)^2 + (difference of deviations)^2);
-# with both norms known, that is an upper bound of the inner product: the sum of L * (product of means + product of
-# deviations). Coarse bounds drop most candidates, finer ones more, and only survivors get the exact integer product.
-
-#: Candidates and queries that meet in a task.
-ROWS, ASKED = 8192, 2048
+# Vectors are turned by an orthogonal transform, which changes no inner product but gathers what varies in front, and
+# cut into segments: the first m components one by one, the rest into REST segments. A segment of length L has a mean
+# and a deviation. By Cauchy-Schwarz in every segment the squared distance of two vectors is at least the sum of
+# L * ((difference of means)^2 + (difference of deviations)^2); with both norms known, that is an upper bound of the
+# inner product: the sum of L * (product of means + product of deviations), where a segment of one component is its own
+# mean. From coarse to fine, m grows, and pairs whose bound is below the query's k-th best score so far drop out; only
+# survivors get the exact integer product.
+
+#: Bytes of queries that a pass over the rows carries at most; a broadcast of this bound.
+CHUNK = 32_000_000
+#: Queries among which first scores are looked for and the transform is found; rows that are scored at once.
+SEEDS, ROWS = 4096, 4096
+#: Shares of the components that stand one by one, coarse to fine; segments of the others.
+LEVELS, REST = (0.0, 0.125, 0.25, 0.5, 0.625, 0.75, 0.875), 4
 
 
 def quantise(vectors: DataFrame, scale: int, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -34,80 +43,150 @@ def quantise(vectors: DataFrame, scale: int, vec_id: str = "vec_id", embedding:
     return held.where(good & F.col("vec_id").isNotNull()).select("vec_id", F.transform(embedding, lambda c: F.floor(c * scale).cast("double")).alias("x"))
 
 
-def _statistics(x: np.ndarray, segments: int) -> np.ndarray:
-    """Rows whose products bound the inner products from above: sqrt(L) * mean and sqrt(L) * deviation a segment."""
-    edge = np.linspace(0, x.shape[1], segments + 1).astype(int)
-    out = []
+def _statistics(x: np.ndarray, single: int) -> np.ndarray:
+    """Columns whose products, beside those of the first `single` components, bound the inner products from above:
+    sqrt(L) * mean and sqrt(L) * deviation of each segment of the rest."""
+    edge = np.linspace(single, x.shape[1], REST + 1).astype(int)
+    out = [np.zeros((len(x), 0))]
     for a, b in zip(edge[:-1], edge[1:], strict=True):
         if b > a:
             part = x[:, a:b]
-            out += [part.mean(1) * np.sqrt(b - a), part.std(1) * np.sqrt(b - a)]
-    return np.stack(out, 1)
+            out += [part.mean(1, keepdims=True) * np.sqrt(b - a), part.std(1, keepdims=True) * np.sqrt(b - a)]
+    return np.concatenate(out, 1)
+
+
+def _levels(dim: int) -> list[int]:
+    return sorted({int(dim * share) for share in LEVELS})
+
+
+def _transform(x: np.ndarray) -> np.ndarray:
+    """Orthogonal directions of x, those with most energy first."""
+    return np.linalg.eigh(x.T @ x)[1][:, ::-1]
 
 
-def best(queries: np.ndarray, qid: np.ndarray, rows: np.ndarray, rid: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query id, row id, score) of each query's k best rows but itself: larger score, then smaller id."""
-    order = np.argsort(rid, kind="stable")
-    rows, rid = rows[order], rid[order]
+def _exact(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Inner products of pairs of rows of whole numbers: doubles where these hold them exactly, else Python's integers."""
     top = max(np.abs(queries).max(initial=0), np.abs(rows).max(initial=0))
-    whole = top * top * max(1, rows.shape[1]) < 2**53  # then doubles hold every product exactly
-    levels = [s for s in (1, 2, 4, 8, 16) if s <= max(1, rows.shape[1])]
-    stats = [(_statistics(queries, s), _statistics(rows, s)) for s in levels] if rows.shape[1] else []
-    coarse = stats[0][0] @ stats[0][1].T if stats else np.zeros((len(queries), len(rows)))
-    out = []
-    for i, q in enumerate(queries):
-        self_ = rid == qid[i]
-
-        def exact(at: np.ndarray, q: np.ndarray = q) -> np.ndarray:
-            if whole:
-                return rows[at] @ q
-            return np.array([sum(int(a) * int(b) for a, b in zip(rows[j], q, strict=True)) for j in at], object)
-
-        bound = np.where(self_, -np.inf, coarse[i] * (1 + np.sign(coarse[i]) * 1e-9) + 1)
-        first = np.argpartition(-bound, k)[:k] if len(bound) > k else np.arange(len(bound))
-        first = first[~self_[first]]
-        least = float(min(exact(first))) if len(first) == k else -np.inf
-        left = np.flatnonzero(bound >= least)
-        for sq, sr in stats[1:]:
-            if len(left) <= 4 * k:
+    if top * top * max(1, rows.shape[1]) < 2**53:
+        return np.einsum("ij,ij->i", rows, queries)
+    return np.array([sum(int(a) * int(b) for a, b in zip(r, q, strict=True)) for r, q in zip(rows, queries, strict=True)], object)
+
+
+class Search:
+    """Queries of one length, with what bounds need of them and the k-th best score that each is known to reach."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
+        self.ids, self.x, self.k = ids, x, k
+        self.turn = _transform(x[:SEEDS]) if x.shape[1] else np.zeros((0, 0))
+        self.y = x @ self.turn
+        self.levels = [(m, _statistics(self.y, m)) for m in _levels(x.shape[1])]
+        self.norm = np.sqrt((x * x).sum(1))
+        self.least = np.full(len(ids), -np.inf)
+
+    def survivors(self, rows: np.ndarray, rid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, row) that may be among a query's k best; every pair that is, is here."""
+        y = rows @ self.turn
+        slack = 1e-9 * (1 + np.sqrt((rows * rows).sum(1))[:, None] * self.norm[None, :])
+        held, done, open_ = np.zeros((len(rows), len(self.ids))), 0, rid[:, None] != self.ids[None, :]
+        for m, stats in self.levels:
+            held += y[:, done:m] @ self.y[:, done:m].T
+            done = m
+            open_ &= held + _statistics(y, m) @ stats.T + slack >= self.least
+            if not open_.any():
                 break
-            b = sr[left] @ sq[i]
-            left = left[b * (1 + np.sign(b) * 1e-9) + 1 >= least]
-        left = left[~self_[left]]
-        score = exact(left)
-        keep = sorted(zip((-score).tolist(), rid[left].tolist(), strict=True))[:k]
-        out += [(int(qid[i]), int(r), int(-s)) for s, r in keep]
+        at = np.nonzero(open_)
+        return at[1], at[0]
+
+    def best(self, rows: np.ndarray, rid: np.ndarray) -> list[tuple[int, int, int]]:
+        """(query number, row id, score) of each query's k best rows but itself, fewer where others are known to be
+        better: larger score, then smaller id. What is found raises the bar for the rows that follow."""
+        out: list[tuple[int, int, int]] = []
+        for a in range(0, len(rows), ROWS):
+            part, ids = rows[a : a + ROWS], rid[a : a + ROWS]
+            q, r = self.survivors(part, ids)
+            score = np.concatenate([_exact(part[r[i : i + 65536]], self.x[q[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.zeros(0)])
+            order = np.lexsort((ids[r], -score, q)) if score.dtype != object else np.array(sorted(range(len(q)), key=lambda i: (q[i], -score[i], ids[r[i]])), int)
+            q, r, score = q[order], r[order], score[order]
+            first = np.searchsorted(q, q, "left")
+            keep = np.arange(len(q)) - first < self.k
+            out += zip(q[keep].tolist(), ids[r[keep]].tolist(), [int(v) for v in score[keep]], strict=True)
+            kth = np.flatnonzero(np.arange(len(q)) - first == self.k - 1)
+            for i, v in zip(q[kth].tolist(), score[kth].tolist(), strict=True):
+                self.least[i] = max(self.least[i], float(v) - 1e-6 * abs(float(v)) if score.dtype == object else v)
+        out.sort(key=lambda t: (t[0], -t[2], t[1]))
+        number = np.array([t[0] for t in out])
+        return [t for t, n in zip(out, np.arange(len(out)) - np.searchsorted(number, number, "left"), strict=True) if n < self.k]
+
+
+def _searches(rows: list[tuple[int, bytes]], k: int) -> dict[int, Search]:
+    """Of (id, vector as doubles): a search for each length, with first scores from among the queries themselves - they
+    are rows too, so what a query reaches there it reaches among all."""
+    by: dict[int, list] = {}
+    for i, b in rows:
+        by.setdefault(len(b) // 8, []).append((i, np.frombuffer(b)))
+    out = {}
+    for dim, some in by.items():
+        s = Search(np.array([i for i, _ in some]), np.stack([x for _, x in some]).reshape(len(some), dim), k)
+        seeds, ids = s.x[:SEEDS], s.ids[:SEEDS]
+        for a in range(0, len(s.ids), SEEDS):
+            score = s.x[a : a + SEEDS] @ seeds.T
+            score[s.ids[a : a + SEEDS, None] == ids[None, :]] = -np.inf
+            if len(seeds) > k:
+                kth = np.partition(score, -k, axis=1)[:, -k]
+                s.least[a : a + SEEDS] = np.where(np.isfinite(kth), kth - 1e-9 * (1 + np.abs(kth)), -np.inf)
+        out[dim] = s
     return out
 
 
 def top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024) -> DataFrame:
     """query_id, rank, vec_id, score of the k best rows of each query; queries: ids divisible by `every`.
 
-    Candidates are cut into blocks of about ROWS, queries into blocks of ASKED; each pair of blocks is one task's work
-    and returns k rows a query, which are ranked at last. Scores beyond 64 bits are null.
+    Queries are taken in chunks of CHUNK bytes. A pass over the rows carries one chunk to them, so rows are never
+    exchanged; each task returns at most k rows a query, and only those that beat the k-th score known, which are
+    ranked at last. Passes follow each other and write their finds, so a lost executor repeats tasks, not passes.
+    Scores beyond 64 bits are null.
 
     Defined cases: vectors of different length aren't compared; repeated ids are rows of their own as candidates (but
     for the query's own id) and one query; fewer than k candidates give all; empty tables give empty results.
     """
-    held = cut(quantise(vectors, scale).withColumn("dim", F.size("x")))
-    asked = held.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    blocks = max(1, -(-held.count() // ROWS))
-    parts = max(1, -(-asked.count() // ASKED))
-    row = F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks)).cast("int").alias("block")
-    part = F.pmod(F.xxhash64(F.lit(2), "vec_id"), F.lit(parts)).cast("int").alias("part")
-    rows = held.select("vec_id", "x", "dim", row, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    asks = asked.select("vec_id", "x", "dim", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), part)
-
-    def run(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(q) and len(r):
-            found = best(np.stack(q["x"].to_list()), q["vec_id"].to_numpy(), np.stack(r["x"].to_list()), r["vec_id"].to_numpy(), k)
-        out = pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
-        out["score"] = pd.array([s if abs(s) < 2**63 else None for s in out["score"].tolist()], "Int64")
-        return out
-
-    by = ("dim", "block", "part")
-    got = asks.groupBy(*by).cogroup(rows.groupBy(*by)).applyInPandas(run, "query_id long, vec_id long, score long")
+    held = cut(quantise(vectors, scale))
+    asked = held.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("x").alias("x"))
+    size = asked.agg(F.sum(8 * F.size("x") + 64)).first()[0] or 0
+    chunks = max(1, -(-size // (CHUNK // 2)))  # of half the bound on average; more than the bound raises
+    asked = cut(asked.withColumn("chunk", F.pmod(F.xxhash64(F.lit(2), "vec_id"), F.lit(chunks)).cast("int")))
+    schema = "query_id long, vec_id long, score long"
+    found = []
+    for c in range(chunks):
+        rows = [(r["vec_id"], np.array(r["x"]).tobytes()) for r in asked.where(F.col("chunk") == c).select("vec_id", "x").collect()]
+        if sum(len(b) for _, b in rows) > CHUNK:
+            raise RuntimeError("a chunk of queries is larger than its bound")
+        if not rows:
+            continue
+        shared = held.sparkSession.sparkContext.broadcast(sorted(rows))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            searches, out = _searches(shared.value, k), {}
+            for batch in batches:
+                ids, x = batch.column(0).to_numpy(), batch.column(1)
+                size = np.diff(x.offsets.to_numpy())
+                flat = x.flatten().to_numpy()
+                start = np.cumsum(size) - size
+                for dim in np.unique(size).tolist():
+                    if dim in searches:
+                        at = np.flatnonzero(size == dim)
+                        rows = flat[(start[at][:, None] + np.arange(dim)[None, :])].reshape(len(at), dim)
+                        for q, r, v in searches[dim].best(rows, ids[at]):
+                            out.setdefault((dim, q), []).append((-v, r))
+                for key in [key for key, v in out.items() if len(v) > 4 * k]:
+                    out[key] = sorted(out[key])[:k]
+            rows = [(int(searches[d].ids[q]), r, -v if abs(v) < 2**63 else None) for (d, q), vs in out.items() for v, r in sorted(vs)[:k]]
+            yield pa.RecordBatch.from_arrays([pa.array([t[i] for t in rows], pa.int64()) for i in range(3)], ["query_id", "vec_id", "score"])
+
+        part = held.mapInArrow(run, schema)
+        found.append(cut(part) if chunks > 1 else part)
+    if not found:
+        return held.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    got = reduce(DataFrame.unionAll, found)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = got.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
