@@ -399,6 +399,27 @@ def test_mixing_meets_its_targets(spark, odd, empty):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, queries.op9_mixing(spark, SF2).collect()))
 
 
+def test_mixing_rates_are_the_tilt_that_a_solver_finds(spark):
+    rng = random.Random(6)
+    rows = [(i, "w " * rng.randint(0, 400), "en", "abc"[i % 3] if i % 7 else None) for i in range(600)]
+    table = docs(spark, rows)
+    for name in ("s", "skip", "salt", "before", "miss", "n", "t", "x"):
+        table = table.withColumn(name, F.lit("own"))
+    got = mixing.mix_sources(table)
+    assert got.columns.count("miss") == 1 and {(r.skip, r.t, r.s, r.before) for r in got.collect()} == {("own",) * 4}
+    for _, part in itertools.groupby(sorted(got.collect(), key=lambda r: (r.source is None, r.source or "")), key=lambda r: r.source):
+        part = list(part)
+        size, goal = np.array([r.size for r in part], float), part[0].target
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            t = (low + high) / 2
+            rate = 2 / (1 + np.exp(-t * size / size.mean()))
+            low, high = (t, high) if (rate * size).sum() < goal else (low, t)
+        want = np.full(len(part), 2.0) if goal >= 2 * size.sum() * (1 - 1e-9) else rate
+        assert np.abs(np.array([r.rate for r in part]) - want).max() < 1e-5
+        assert abs(sum(r.taken for r in part) + part[0].miss - goal) < 1e-6
+
+
 def test_language_held_out(spark, odd, empty):
     got = queries.op10_langid(spark, SF2).join(spark.read.parquet(f"{SF2}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out and lang is not null and lang_pred <> 'und'").collect()
     assert sum(r.lang == r.lang_pred for r in got) >= 0.97 * len(got) > 100
@@ -423,6 +444,24 @@ def test_pipeline(spark):
     assert d.count() > 100
 
 
+def test_pipeline_stages_take_odd_rows(spark, odd, empty):
+    stages = dict(corpus_pipeline.STAGES)
+    rows = lambda df: sorted(((r.doc_id or 0, r.text) for r in df.collect()), key=repr)
+    kept = stages["language"](spark, odd, SF)
+    assert kept.columns == corpus_pipeline.COLUMNS and [i for i, _ in rows(kept)] == [0, 3, 3, 4, 5, 7]
+    assert all(r.lang is not None for r in kept.collect())
+    one = stages["near_duplicates"](spark, odd, SF)
+    assert [i for i, _ in rows(one)] == [0, 1, 2, 3, 4, 6, 7, 8]  # copies of an id or of a text are one row
+    private = stages["private_data"](spark, odd, SF)
+    assert rows(private) == rows(odd) and {r.doc_id: r.n_chars for r in private.collect()}[1] is None
+    mixed = stages["mixing"](spark, odd, SF)
+    count = collections.Counter(r.doc_id for r in mixed.collect())
+    assert max(count.values()) <= 4 and count[4] <= 2 and mixed.columns == corpus_pipeline.COLUMNS
+    assert stages["encoding"](spark, odd, SF).count() == 10
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0, name
+
+
 def test_pipeline_keeps_rows_of_null_and_repeated_ids(spark):
     rng = random.Random(9)
     text = lambda n: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(n))

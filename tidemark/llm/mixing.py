@@ -7,7 +7,8 @@ that the rates depend on. Rates become whole copies by cumulative rounding in or
 off is mended by single copies.
 
 Defined cases: null text has size 0; null is a source of its own, last in order; sources or tables without words take
-nothing; repeated rows are documents of their own; an empty table gives an empty result; other columns are kept.
+nothing; repeated rows are documents of their own; an empty table gives an empty result; other columns are kept, but
+for the text and those that the result names.
 """
 
 from __future__ import annotations
@@ -18,19 +19,18 @@ from pyspark.sql.window import Window
 
 from .common import WORD, cut
 
-#: Parts in which documents of one source and size are numbered.
-SALT = 64
+#: Parts, at least, in which documents of one source and size are numbered, and rows to a part where there are more.
+SALT, PART = 64, 500_000
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
     """sources(source, source_size) with target: `share` of all sizes split by weight, none above most * its size.
 
     Weights go to the sources in code-point order, null last, repeating. The water level at which the capped shares
-    use up the budget is found in order of cap / weight.
+    use up the budget is found in order of cap / weight. Sources are put in order in one task: a row each.
     """
     order = Window.orderBy(F.col("source").asc_nulls_last())
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.row_number().over(order) - 1) % len(weights) + 1)
-    level = Window.orderBy("ratio").rangeBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
     x = sources.withColumn("weight", w).withColumn("cap", F.col("source_size") * float(most))
     x = x.withColumn("ratio", F.col("cap") / F.col("weight")).withColumn("budget", F.sum("source_size").over(every) * float(share))
@@ -88,7 +88,10 @@ def tilt(sizes: DataFrame, goals: DataFrame, most: float = 2.0, steps: int = 60,
             F.when(live, high).otherwise(F.col("high")).alias("high"),
         ))
         if (now.agg(F.max("off")).first()[0] or 0) <= tolerance:
-            break
+            return now
+    off = now.agg(F.max("off")).first()[0]
+    if off > 1e-6:
+        raise RuntimeError(f"a source's rates are still {off:.1e} of its target away after {steps} steps")
     return now
 
 
@@ -96,14 +99,18 @@ def mix_sources(
     docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: int = 2,
     text: str = "text", source: str = "source", doc_id: str = "doc_id", mend: int = 6, near: float = 0.001,
 ) -> DataFrame:
-    """docs with size, source_size, target, rate, copies (0 .. most) and taken = copies * size.
+    """docs with size, source_size, target, rate, copies (0 .. most), taken = copies * size, and miss: the source's
+    target less all that it takes.
 
-    mend: rounds in which each source that is more than `near` off its target changes one document by a copy.
+    mend: rounds in which each source that is more than `near` off its target changes one document by a copy. What is
+    missed after these, as where single documents are larger than the miss, is told by `miss`.
     """
-    narrow = docs.withColumn("__size", F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long"))
-    own = [F.col(f"`{c}`") for c in docs.columns if c != text]
-    held = narrow.select(*own, F.col(f"`{source}`").alias("__source"), F.col(f"`{doc_id}`").alias("__id"), "__size")
-    held = cut(held.withColumn("__salt", F.pmod(F.xxhash64("__id"), F.lit(SALT)).cast("int")))
+    made = ("size", "source_size", "target", "rate", "copies", "taken", "miss")
+    kept = {f"__c{i}": c for i, c in enumerate(docs.columns) if c != text and c not in made}
+    size = F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long")
+    held = docs.select(*[F.col(f"`{c}`").alias(n) for n, c in kept.items()], F.col(f"`{source}`").alias("__source"), F.col(f"`{doc_id}`").alias("__id"), size.alias("__size"))
+    salts_ = max(SALT, -(-docs.count() // PART))
+    held = cut(held.withColumn("__salt", F.pmod(F.xxhash64("__id"), F.lit(salts_)).cast("int")))
     sizes = cut(held.groupBy(F.col("__source").alias("source"), F.col("__size").alias("size")).agg(F.count("*").alias("rows")))
     per = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.sum("rows").alias("docs"))
     goals = targets(per, weights, share, most).join(per.select(F.col("source").alias("s"), "docs"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -124,8 +131,7 @@ def mix_sources(
     end = F.col("before") + (F.col("skip") + F.col("__k")) * F.col("rate")
     copies = F.floor(end + 0.5 + 1e-9) - F.floor(end - F.col("rate") + 0.5 + 1e-9)
     copies = F.when(F.col("rate") >= most, F.lit(most)).otherwise(F.greatest(F.lit(0), F.least(F.lit(most), copies))).cast("int")
-    columns = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "size", "source_size", "target", "rate", "copies", "taken")]
-    out = cut(j.select(*columns, "__source", "__salt", "__k", "size", "source_size", "target", "rate", copies.alias("copies")))
+    out = cut(j.select(*kept, "__source", "__salt", "__k", "size", "source_size", "target", "rate", copies.alias("copies")))
     for _ in range(mend):
         off = out.groupBy("__source").agg(F.max("target").alias("goal"), (F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("miss"))
         off = off.where(F.abs("miss") > near * F.col("goal")).withColumnRenamed("__source", "s")
@@ -137,5 +143,8 @@ def mix_sources(
         if pick.isEmpty():
             break
         hit = F.col("__source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("__salt") == F.col("a")) & (F.col("__k") == F.col("k"))
-        out = cut(out.join(pick, hit, "left").select(*[F.col(f"`{c}`") for c in out.columns if c != "copies"], (F.col("copies") + F.coalesce(F.col("by"), F.lit(0))).cast("int").alias("copies")))
-    return out.withColumn("taken", (F.col("copies") * F.col("size")).cast("long")).drop("__source", "__salt", "__k")
+        out = cut(out.join(pick, hit, "left").select(*[c for c in out.columns if c != "copies"], (F.col("copies") + F.coalesce(F.col("by"), F.lit(0))).cast("int").alias("copies")))
+    taken = (F.col("copies") * F.col("size")).cast("long")
+    left = out.groupBy(F.col("__source").alias("s")).agg((F.max("target") - F.sum(taken)).alias("miss"))  # a row a source
+    told = out.join(left, F.col("__source").eqNullSafe(F.col("s")))
+    return told.select(*[F.col(n).alias(c) for n, c in kept.items()], "size", "source_size", "target", "rate", "copies", taken.alias("taken"), "miss")
