@@ -122,11 +122,37 @@ def test_pii_is_replaced_consistently(spark, odd, empty):
 
 
 def test_pii_surrogates_are_distinct(spark):
-    e = spark.range(300).select(F.lit("ssn").alias("kind"), F.lpad(F.col("id").cast("string"), 3, "0").alias("norm"), F.lit("").alias("gender"))
+    e = spark.range(300).select(F.lit("ssn").alias("kind"), F.lpad(F.col("id").cast("string"), 3, "0").alias("norm"), F.lit("").alias("gender"), F.lit(0).alias("lead"))
     got = pii.dictionary(e, "k").collect()
     assert len({r.surrogate for r in got}) == 300 and not {r.surrogate for r in got} & {r.norm for r in got}
 
 
+def test_pii_names_are_found_again_without_a_title(spark):
+    t = ["Mr John Miller called. Later John Miller left, and Mr Miller too. Dr Ada Lovelace Byron came.", "Yesterday Ada Lovelace Byron slept. Mary Jones did not. My name is Zo. The Big House stood.", "Big House, fe80:0:0:1::12, +1 (663) 555-6869, 1-663-555-6869 and +49 30 1234-5678"]
+    got = [r.text for r in pii.replace(docs(spark, list(enumerate(t))), "k").orderBy("doc_id").collect()]
+    for gone in ("John", "Miller", "Ada", "Lovelace", "Byron", "Mary", "Jones", "fe80", "6869", "5678"):
+        assert all(gone not in g for g in got)
+    m = re.match(r"Mr (\S+) (\S+) called\. Later (\S+) (\S+) left, and Mr (\S+) too\. Dr (\S+ \S+ \S+) came\.$", got[0])
+    assert m and m[1] == m[3] and m[2] == m[4] == m[5]
+    assert re.match(rf"Yesterday {m[6]} slept\. \S+na \S+ did not\. My name is (?!Zo)\S+\. The Big House stood\.$", got[1])
+    n = re.match(r"Big House, [0-9a-f]{4}:\w:\w:\w::\w\w, \+1 \((\d{3})\) (\d{3}-\d{4}), 1-(\d{3})-(\d{3}-\d{4}) and \+49 \d\d \d{4}-\d{4}$", got[2])
+    assert n and n[1] == n[3] and n[2] == n[4]
+
+
+def test_pii_texts_with_marks_nulls_and_repeats(spark):
+    t = ["a\u0001b 078-05-1120", None, "", "x " * 30_000 + "078-05-1120", "Mr John Smith", "Mr John Smith"]
+    got = {}
+    for r in pii.replace(docs(spark, list(enumerate(t))), "k").collect():
+        got[r.doc_id] = (r.text, r.n_private)
+    ssn = got[0][0][4:]
+    assert got[0] == (f"a\u0001b {ssn}", 1) and got[1] == (None, 0) and got[2] == ("", 0) and got[3] == ("x " * 30_000 + ssn, 1) and got[4] == got[5] != (t[4], 0)
+
+
+def test_pii_many_names_stay_distinct(spark):
+    e = spark.range(100_000).select(F.lit("name").alias("kind"), F.concat(F.lit("N"), F.hex("id")).alias("norm"), F.lit("").alias("gender"), F.lit(0).alias("lead"))
+    assert pii.dictionary(e, "k").select("surrogate").distinct().count() == 100_000
+
+
 @pytest.mark.parametrize("ids", [range(1000), [i**5 for i in range(1000)], [-(2**63), 0, 2**63 - 1]])
 def test_shards_have_near_equal_bytes(spark, ids):
     rng = random.Random(1)

@@ -1,14 +1,21 @@
 """Surrogates for private data (operator 3). DataFrame functions only.
 
-Entities are found by patterns and normalised (letter case, separators), so that all mentions of one entity share one
-surrogate everywhere: coreference. A surrogate comes from a keyed hash and keeps the entity's type, length and format:
-digits stay digits, letters stay letters of the same case and script, punctuation and country prefixes stay, card
-numbers that pass the check digit still do, and names keep script and gender (by their title). The dictionary of
-distinct entities is checked: two entities of a type never share a surrogate, and no surrogate is an entity that
-occurs; those that collide are drawn again with the next attempt number.
-
-Defined cases: null text stays null; texts without entities are returned unchanged; repeated rows get equal results;
-an empty table gives an empty result; other columns are kept, but for `n_private`, which is added.
+Entities are found by patterns in one search of each text, and normalised (letter case, separators), so that all
+mentions of one entity share one surrogate everywhere: coreference. Names are found after titles and after words that
+announce them, and where a common given name stands before another capitalised word; names of two or three words found
+anywhere are then looked up among the runs of capitalised words of all texts, so that mentions without a title are
+found as well. A name of one word is found only where something announces it.
+
+A surrogate comes from a keyed hash and keeps the entity's type, length and format: digits stay digits, letters stay
+letters of the same case and script, punctuation and country codes stay, card numbers that pass the check digit still
+do. Names are replaced word by word, each word by one of the same script, so that `Mr Smith` and `John Smith` still
+share a surname; given names end by gender (told by title or name; the more frequent one, m if equal). The dictionary of
+distinct entities is checked as it is rendered: two entities of a type never share a surrogate, and no surrogate is an
+entity that occurs; those that collide are drawn again with the next attempt number, which also makes names longer.
+
+Defined cases: null text stays null; texts without entities are returned unchanged; texts of any length are searched
+whole; repeated rows and entities that tie in any respect get equal results; an empty table gives an empty result; other
+columns are kept, but for `n_private`, which is added.
 """
 
 from __future__ import annotations
@@ -16,46 +23,79 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import FEW, cut
 
 # Types in order of precedence, and their patterns (Java regular expressions).
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
+IPV6 = r"(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])"
 CARD = r"(?<![\d-])(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}|3\d{3}([ -]?)\d{6}\2\d{5}|\d{13,19})(?![\d-])"
 IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"(?<![\d+.-])(?:\+\d{1,3}[ .-]?|\d{1,3}[ .-])?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|(?<![\w+])\+\d{8,15}(?!\d)"
-SECRET = r"(?<=(?:token|secret|password|passwd|api_key|apikey|api-key)\s{0,2}[:=]\s{0,2}[\"']?)[A-Za-z0-9+/_-]{16,}"
-MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "господин", "г-н")
-FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа", "г-жа")
-NAME = r"(?<=\b(?:" + "|".join([*MALE, *FEMALE]) + r")\.? )\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?"
-TYPES = {"email": EMAIL, "ip": IP, "iban": IBAN, "card": CARD, "ssn": SSN, "phone": PHONE, "secret": SECRET, "name": NAME}
+LABEL = r"(?:token|secret|password|passwd|api_key|apikey|api-key)\s{0,2}[:=]\s{0,2}[\"']?"
+SECRET = rf"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{{16}})(?<={LABEL})[A-Za-z0-9+/_-]+"
+MALE = ("Mr", "Mister", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Don", "господин", "г-н")
+FEMALE = ("Mrs", "Ms", "Miss", "Madam", "Lady", "Frau", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Sra", "Señorita", "Srta", "Doña", "госпожа", "г-жа")
+NEUTRAL = ("Dr", "Prof", "Doctor", "Professor", "Professeur", "Docteur", "Doktor", "Doctora", "Dra")
+ANNOUNCED = ("[Mm]y name is", "[Mm]ein Name ist", "[Ii]ch heiße", "[Jj]e m'appelle", "[Mm]e llamo", "[Mm]i nombre es")
+GIVEN_MALE = (
+    "James John Robert Michael William David Richard Joseph Thomas Charles Christopher Daniel Matthew Anthony Steven Paul Andrew Kevin Brian George Edward "
+    "Peter Hans Klaus Wolfgang Jürgen Stefan Andreas Matthias Uwe Jean Pierre Michel Philippe Nicolas Laurent José Juan Carlos Luis Miguel Antonio Javier Pedro "
+    "Иван Сергей Алексей Дмитрий Андрей Николай"
+).split()
+GIVEN_FEMALE = (
+    "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Margaret Lisa Betty Sandra Ashley Emily Donna Michelle Laura Anna Ursula "
+    "Monika Petra Sabine Renate Katrin Heike Marie Nathalie Isabelle Sylvie Catherine Françoise Carmen Josefa Dolores Pilar Lucía Isabel "
+    "Мария Елена Ольга Наталья Татьяна Ирина"
+).split()
+_CAP = r"\p{Lu}[\p{L}'-]+"
+_TITLES = "|".join([*MALE, *FEMALE, *NEUTRAL])
+#: What stands before an announced name; the longest is shorter than 20 characters.
+BEFORE = r"\b(?:(?:" + _TITLES + r")\.?|" + "|".join(ANNOUNCED) + r") "
+NAME = rf"(?=\p{{Lu}})(?<={BEFORE}){_CAP}(?: {_CAP}){{0,2}}"
+#: Two capitalised words or more, none of them a title, the start of an address or a part of a longer token.
+_PLAIN = rf"(?!(?:{_TITLES})\b|[\w.%+-]*@){_CAP}(?![\p{{L}}\p{{N}}'-])"
+SEQUENCE = rf"(?<![\p{{L}}\p{{N}}'-]){_PLAIN}(?: {_PLAIN})+"
+TYPES = {"email": EMAIL, "ip": IP, "ipv6": IPV6, "iban": IBAN, "card": CARD, "ssn": SSN, "phone": PHONE}
 LATIN = "ba be bi bo da de di do fa fe ga ge la le li lo ma me mi mo na ne ni no ra re ri ro sa se so ta te ti to va ve vi vo za".split()
 CYRILLIC = "ба бе би бо да де ди до га ле ли ло ма ме ми мо на не ни но ра ре ри ро са се со та те ти то ва ве ви во за".split()
 #: Only the card's pattern has capturing groups, so its back references hold in the joined pattern too.
-ANY = "|".join(f"(?:{p})" for p in TYPES.values())
-#: Words without which, and without a digit or @, a text has no entity; looking for them spares most texts the search.
-HINTS = ("token", "secret", "passw", "api", "Mr", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Sr", "господин", "г-н", "госпожа", "г-жа")
+#: What starts with a letter starts a word, which spares most places the patterns; order is that of precedence.
+ANY = "|".join(
+    f"{where}(?:" + "|".join(f"(?:{p})" for p in patterns) + ")"
+    for where, patterns in ((r"(?<![A-Za-z0-9])(?=\p{L})", (EMAIL, IPV6, IBAN, SECRET, NAME, SEQUENCE)), ("(?=[0-9+(])", (EMAIL, IP, IPV6, CARD, SSN, PHONE, SECRET)), ("(?=[/_-])", (SECRET,)))
+)
 _ROUNDS = 30
+_MARK = "\u0001"
+#: Parts into which copies of one text are dealt where texts meet their surrogates.
+SALT = 8
 
 
 def _hint(text: F.Column) -> F.Column:
-    found = text.rlike("[0-9@]")
-    for word in HINTS:
-        found = found | text.contains(word)
+    """False for texts that can't have an entity or a run of capitalised words, which spares them the search."""
+    found = text.rlike("[0-9@:=]") | text.rlike(rf"\p{{Lu}}[\p{{L}}'-]+ \p{{Lu}}")
+    short = [f"{t}. " for t in (*MALE, *FEMALE, *NEUTRAL) if t[0].isupper() and len(t) <= 4]
+    for words in (*short, *[t for t in (*MALE, *FEMALE) if t[0].islower()], *[a.split("]", 1)[1] for a in ANNOUNCED]):
+        found = found | text.contains(words)
     return F.coalesce(found, F.lit(False))
 
 
-def mentions(text: F.Column) -> F.Column:
-    """All entities of a text in order, as they stand there. Native; an empty array without any."""
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    return F.when(_hint(text), found).otherwise(F.array().cast("array<string>"))
+def pieces(text: F.Column) -> F.Column:
+    """A text cut at its entities and runs of capitalised words: these are the pieces of odd index (from 0).
 
+    One search marks them; texts that hold the mark themselves are searched twice instead.
+    """
+    marked = F.split(F.regexp_replace(text, ANY, f"{_MARK}$0{_MARK}"), _MARK, -1)
+    ends = F.concat(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), F.array(F.lit("")))
+    twice = F.slice(F.flatten(F.zip_with(F.split(text, ANY, -1), ends, lambda p, r: F.array(p, r))), 1, F.size(ends) * 2 - 1)
+    return F.when(text.contains(_MARK), twice).otherwise(marked)
 
-def kind(raw: F.Column) -> F.Column:
-    """Type of an entity by the first pattern that fits all of it; names and secrets stand in a context, so come last."""
-    out = F.when(raw.rlike(r"^\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?$") & ~raw.rlike("[0-9]"), "name").otherwise("secret")
-    for name, p in reversed([*TYPES.items()][:6]):
+
+def kind(raw: F.Column, before: F.Column) -> F.Column:
+    """Type of a piece by what stands before it or by the first pattern that fits all of it; else a sequence."""
+    out = F.when(before.rlike(rf"{BEFORE}$") & raw.rlike(rf"^{_CAP}(?: {_CAP}){{0,2}}$"), "name").when(before.rlike(f"{LABEL}$") & ~raw.contains(" "), "secret").otherwise("sequence")
+    for name, p in reversed(TYPES.items()):
         out = F.when(raw.rlike(f"^(?:{p})$"), name).otherwise(out)
     return out
 
@@ -63,7 +103,7 @@ def kind(raw: F.Column) -> F.Column:
 def _norm(raw: F.Column, kind_: F.Column) -> F.Column:
     return (
         F.when(kind_.isin("card", "ssn", "phone"), F.regexp_replace(raw, r"\D", ""))
-        .when(kind_ == "email", F.lower(raw))
+        .when(kind_.isin("email", "ipv6"), F.lower(raw))
         .when(kind_ == "iban", F.regexp_replace(raw, " ", ""))
         .otherwise(raw)
     )
@@ -76,11 +116,11 @@ def _pick(seed: F.Column, i: F.Column, n: int) -> F.Column:
 def _alike(norm: F.Column, seed: F.Column) -> F.Column:
     """Every digit and ASCII letter drawn anew, all else kept."""
 
-    hexadecimal = norm.rlike("^(?=.*[a-f])[0-9a-f]{16,}$")
+    hexadecimal = norm.rlike("^(?=.*[a-f])[0-9a-f]{16,}$") | norm.contains(":")
 
     def one(c: F.Column, i: F.Column) -> F.Column:
         return (
-            F.when(hexadecimal, F.lower(F.hex(_pick(seed, i, 16))))
+            F.when(hexadecimal & c.rlike("[0-9a-f]"), F.lower(F.hex(_pick(seed, i, 16))))
             .when(c.rlike("[0-9]"), _pick(seed, i, 10).cast("string"))
             .when(c.rlike("[a-z]"), F.char(_pick(seed, i, 26) + 97))
             .when(c.rlike("[A-Z]"), F.char(_pick(seed, i, 26) + 65))
@@ -96,22 +136,19 @@ def _luhn(digits: F.Column) -> F.Column:
     return F.aggregate(d, F.lit(0), lambda a, x: a + x) % 10
 
 
-def _name(norm: F.Column, gender: F.Column, seed: F.Column) -> F.Column:
-    """Syllables of the same script for each part; given names end by gender."""
-
-    def part(word: F.Column, i: F.Column) -> F.Column:
-        def build(pool: list[str], male: str, female: str) -> F.Column:
-            syllables = F.array(*[F.lit(s) for s in pool])
-            base = F.concat(*[F.element_at(syllables, _pick(seed, i * 8 + k, len(pool)) + 1) for k in range(3)])
-            return F.initcap(F.concat(base, F.when(gender == "f", female).when(gender == "m", male).otherwise("")))
+def _word(norm: F.Column, gender: F.Column, seed: F.Column, attempt: F.Column) -> F.Column:
+    """Syllables of the word's script, more of them with each attempt; given names end by gender."""
 
-        return F.when(word.rlike(r"\p{IsCyrillic}"), build(CYRILLIC, "н", "на")).otherwise(build(LATIN, "n", "na"))
+    def build(pool: list[str], male: str, female: str) -> F.Column:
+        syllables = F.array(*[F.lit(s) for s in pool])
+        drawn = F.transform(F.sequence(F.lit(0), F.lit(2) + F.least(attempt, F.lit(9))), lambda k: F.element_at(syllables, _pick(seed, k, len(pool)) + 1))
+        return F.initcap(F.concat(F.array_join(drawn, ""), F.when(gender == "f", female).when(gender == "m", male).otherwise("")))
 
-    return F.array_join(F.transform(F.split(norm, " "), part), " ")
+    return F.when(norm.rlike(r"\p{IsCyrillic}"), build(CYRILLIC, "н", "на")).otherwise(build(LATIN, "n", "na"))
 
 
 def _surrogate(key: str) -> F.Column:
-    """From the columns kind, norm, gender and attempt."""
+    """From the columns kind, norm, gender, lead and attempt."""
     k, norm = F.col("kind"), F.col("norm")
     seed = F.sha2(F.concat_ws("\x1f", F.lit(key), k, norm, F.col("attempt").cast("string")), 256)
     alike = _alike(norm, seed)
@@ -120,11 +157,11 @@ def _surrogate(key: str) -> F.Column:
     card = F.concat(F.substring(norm, 1, 1), F.expr("substring(alike, 2)"))
     body = F.expr("substring(card0, 1, length(card0) - 1)")
     check = ((F.lit(10) - _luhn(F.concat(body, F.lit("0")))) % 10).cast("string")
-    return F.when(k == "ip", octet).when(k == "name", _name(norm, F.col("gender"), seed)).when(k == "card", F.lit(None)).otherwise(alike), alike, card, body, check
+    return F.when(k == "ip", octet).when(k == "name", _word(norm, F.col("gender"), seed, F.col("attempt"))).when(k == "card", F.lit(None)).otherwise(alike), alike, card, body, check
 
 
 def _draw(entities: DataFrame, key: str) -> DataFrame:
-    """entities(kind, norm, gender, attempt) with surrogate."""
+    """entities(kind, norm, gender, lead, attempt) with surrogate."""
     other, alike, card, body, check = _surrogate(key)
     x = entities.withColumn("alike", alike).withColumn("card0", card)
     fixed = F.when(_luhn(F.col("norm")) == 0, F.concat(body, check)).otherwise(F.col("card0"))
@@ -134,12 +171,14 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
     # reserved example domains say nothing of a person and stay
     x = x.withColumn("surrogate", F.when((F.col("kind") == "email") & domain.rlike(r"(^|\.)example\.(com|net|org)$"), F.concat(shown, F.lit("@"), domain))
                      .when(F.col("kind") == "email", F.concat(F.regexp_extract("surrogate", r"^(.*)\.[^.]*$", 1), F.lit("."), F.regexp_extract("norm", r"([^.]*)$", 1)))
-                     .when(F.col("kind") == "iban", F.concat(F.substring("norm", 1, 2), F.expr("substring(surrogate, 3)"))).otherwise(F.col("surrogate")))
-    return x.select("kind", "norm", "gender", "attempt", "surrogate")
+                     .when(F.col("kind") == "iban", F.concat(F.substring("norm", 1, 2), F.expr("substring(surrogate, 3)")))
+                     .when(F.col("kind") == "phone", F.concat(F.expr("substring(norm, 1, lead)"), F.expr("substring(surrogate, lead + 1)"))).otherwise(F.col("surrogate")))
+    return x.select("kind", "norm", "gender", "lead", "attempt", "surrogate")
 
 
 def dictionary(entities: DataFrame, key: str) -> DataFrame:
-    """Distinct entities(kind, norm, gender) with their surrogates, free of collisions."""
+    """Distinct entities(kind, norm, gender, lead) with their surrogates, free of collisions. lead: digits of a phone
+    number's country code, which stay."""
     now = cut(_draw(entities.withColumn("attempt", F.lit(0)), key))
     for _ in range(_ROUNDS):
         first = now.groupBy("kind", "surrogate").agg(F.min("norm").alias("first"), F.count("*").alias("n"))
@@ -150,13 +189,13 @@ def dictionary(entities: DataFrame, key: str) -> DataFrame:
         if marked.where("again").isEmpty():
             return now
         held = marked.where("not again").select(*now.columns)
-        fresh = marked.where("again").select("kind", "norm", "gender", (F.col("attempt") + 1).alias("attempt"))
+        fresh = marked.where("again").select("kind", "norm", "gender", "lead", (F.col("attempt") + 1).alias("attempt"))
         now = cut(held.unionByName(_draw(fresh, key)))
     raise RuntimeError("surrogates still collide: the format leaves too few values")
 
 
-def _render(raw: F.Column, kind_: F.Column, surrogate: F.Column) -> F.Column:
-    """The surrogate in the mention's own format: separators and letter case."""
+def _render(raw: F.Column, surrogate: F.Column) -> tuple[F.Column, F.Column]:
+    """The surrogate in the mention's own format: its separators, or its letter case."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
 
     def fill(a: F.Column, c: F.Column) -> F.Column:
@@ -165,46 +204,91 @@ def _render(raw: F.Column, kind_: F.Column, surrogate: F.Column) -> F.Column:
 
     filled = F.aggregate(F.split(raw, ""), start, fill, lambda a: a["out"])
     cased = F.array_join(F.transform(F.split(raw, ""), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substring(surrogate, i + 1, F.lit(1)))).otherwise(F.substring(surrogate, i + 1, F.lit(1)))), "")
-    # an international prefix of a phone number stays
-    prefix = F.regexp_extract(raw, r"^\+\d{1,3}(?=[ .(-])", 0)
-    phone = F.concat(prefix, F.expr("substring(filled, length(prefix) + 1)"))
-    return filled, cased, prefix, phone
+    return filled, cased
+
+
+def _windows(words: F.Column, n: int) -> F.Column:
+    """All runs of n words."""
+    last = F.size(words) - n
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(0)) + 1), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if it was counted to be small."""
+    return F.broadcast(df) if df.count() <= FEW else df
+
+
+def _gender(before: F.Column) -> F.Column:
+    title = F.regexp_extract(F.regexp_replace(before, r"\.? $", ""), r"(\S+)$", 1)
+    return F.when(title.isin(*FEMALE), "f").when(title.isin(*MALE), "m").otherwise("")
+
+
+def find(hits: DataFrame) -> DataFrame:
+    """(doc, raw, kind, gender) of all mentions in hits(doc, pieces)."""
+    at = F.filter(F.sequence(F.lit(0), F.size("pieces") - 1), lambda i: i % 2 == 1)
+    each = F.transform(at, lambda i: F.struct(F.get("pieces", i).alias("raw"), F.substring(F.get("pieces", i - 1), -20, 20).alias("before")))
+    seen = hits.select("doc", F.explode(each).alias("m")).select("doc", "m.raw", "m.before").distinct()
+    typed = cut(seen.withColumn("kind", kind(F.col("raw"), F.col("before"))).withColumn("gender", F.when(F.col("kind") == "name", _gender(F.col("before"))).otherwise("")).drop("before").distinct())
+    direct = typed.where("kind <> 'sequence'")
+    words = F.split("raw", " ")
+    runs = typed.where("kind = 'sequence'").select("doc", F.explode(F.concat(_windows(words, 3), _windows(words, 2))).alias("raw")).distinct()
+    first, two = F.substring_index("raw", " ", 1), F.size(F.split("raw", " ")) == 2
+    given = runs.where(two & first.isin(*GIVEN_MALE, *GIVEN_FEMALE)).select("doc", "raw", F.lit("name").alias("kind"), F.when(first.isin(*GIVEN_FEMALE), "f").otherwise("m").alias("gender"))
+    known = cut(direct.where("kind = 'name' and raw like '% %'").select("raw").unionAll(given.select("raw")).distinct())
+    again = runs.join(_small(known), "raw").select("doc", "raw", F.lit("name").alias("kind"), F.lit("").alias("gender"))
+    return cut(direct.unionByName(given).unionByName(again).distinct())
 
 
 def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """docs with private data in `text` replaced, and n_private: how many mentions were."""
     columns = [c for c in docs.columns if c != "n_private"]
-    col = F.col(f"`{text}`")
-    own = docs.select(*[F.col(f"`{c}`") for c in columns])
-    found = own.where(_hint(col)).select(F.md5(col.cast("binary")).alias("__doc"), F.explode(F.regexp_extract_all(col, F.lit(ANY), F.lit(0))).alias("raw"), col.alias("__text"))
-    # the title before a name tells its gender; a name keeps the first gender seen
-    found = found.select("__doc", "raw", _gender(F.col("__text"), F.col("raw")).alias("gender")).distinct()
-    found = found.withColumn("kind", kind(F.col("raw")))
-    found = cut(found.withColumn("norm", _norm(F.col("raw"), F.col("kind"))))
-    entities = found.groupBy("kind", "norm").agg(F.max("gender").alias("gender"))
-    names = cut(dictionary(entities, key).select("kind", "norm", "surrogate"))
-    shown = found.select("raw", "kind", "norm").distinct().join(names, ["kind", "norm"])
-    filled, cased, prefix, phone = _render(F.col("raw"), F.col("kind"), F.col("surrogate"))
-    shown = shown.withColumn("filled", filled).withColumn("prefix", prefix)
-    out = F.when(F.col("kind").isin("card", "ssn", "iban"), F.col("filled")).when(F.col("kind") == "phone", phone).when(F.col("kind") == "email", cased).otherwise(F.col("surrogate"))
-    shown = shown.select("raw", out.alias("shown"))
-    maps = found.select("__doc", "raw").distinct().join(shown, "raw").groupBy("__doc").agg(F.map_from_entries(F.collect_list(F.struct("raw", "shown"))).alias("__map"))
-    names_ = [F.col(f"`{c}`") for c in columns if c != text]
-    # a generator, so that the search runs once a text and not once for each use of its result
-    hit = own.where(_hint(col)).select("*", F.explode(F.array(F.regexp_extract_all(col, F.lit(ANY), F.lit(0)))).alias("__raw"))
-    hit = hit.withColumn("__doc", F.md5(col.cast("binary"))).join(maps, "__doc", "left")
-    parts = F.split(col, ANY, -1)
-    new = F.transform(F.col("__raw"), lambda r: F.element_at(F.col("__map"), r))
-    joined = F.array_join(F.zip_with(parts, F.concat(new, F.array(F.lit(""))), lambda p, s: F.concat(p, s)), "")
-    some = hit.select(*names_, F.when(F.size("__raw") > 0, joined).otherwise(col).alias(text), F.size("__raw").alias("n_private"))
-    none = own.where(~_hint(col)).select(*names_, col, F.lit(0).alias("n_private"))
-    order = [F.col(f"`{c}`") for c in columns] + [F.col("n_private")]
-    return some.select(*order).unionAll(none.select(*order))
-
-
-def _gender(text: F.Column, raw: F.Column) -> F.Column:
-    """m or f by the title before the first mention of a name; '' if there is none."""
-    first = F.greatest(F.lit(1), F.instr(text, raw) - 12)
-    before = F.rtrim(F.substring(text, first, F.instr(text, raw) - first))
-    before = F.regexp_extract(F.regexp_replace(before, r"\.$", ""), r"(\S+)$", 1)
-    return F.when(~raw.rlike(r"^\p{Lu}\p{L}"), "").when(before.isin(*FEMALE), "f").when(before.isin(*MALE), "m").otherwise("")
+    names = {c: f"__c{i}" for i, c in enumerate(columns)}
+    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    body = F.col(names[text])
+    hint = _hint(body)
+    others = [n for c, n in names.items() if c != text]
+    cutted = own.where(hint).select(*others, F.md5(body.cast("binary")).alias("doc"), pieces(body).alias("pieces"))
+    hits = cut(cutted)
+    some = hits.where(F.size("pieces") > 1)
+    found = find(some.select("doc", "pieces"))
+    # entities: a name's words, all others whole
+    plain = found.where("kind <> 'name'").withColumn("norm", _norm(F.col("raw"), F.col("kind"))).withColumn("lead", F.length(F.regexp_replace(F.regexp_extract("raw", r"^\+\d{1,3}(?=[ .(-])", 0), r"\D", "")))
+    words = found.where("kind = 'name'").select("raw", "gender", F.posexplode(F.split("raw", " ")).alias("nth", "norm"))
+    lone = F.when(F.col("nth") == 0, F.col("gender")).otherwise("")
+    words_ = words.select(F.lit("name").alias("kind"), "norm", lone.alias("gender"), F.lit(0).alias("lead"))
+    sex = F.when(F.count_if(F.col("gender") == "f") > F.count_if(F.col("gender") == "m"), "f").when(F.count_if(F.col("gender") == "m") > 0, "m").otherwise("")
+    entities = plain.select("kind", "norm", "gender", "lead").unionAll(words_).groupBy("kind", "norm").agg(sex.alias("gender"), F.max("lead").alias("lead"))
+    drawn = cut(dictionary(entities, key).select("kind", "norm", "surrogate"))
+    filled, cased = _render(F.col("raw"), F.col("surrogate"))
+    out = F.when(F.col("kind").isin("card", "ssn", "iban", "phone"), filled).when(F.col("kind").isin("email", "ipv6"), cased).otherwise(F.col("surrogate"))
+    whole = plain.select("raw", "kind", "norm").distinct().join(drawn, ["kind", "norm"]).select("raw", out.alias("shown"))
+    parts = words.select("raw", "nth", F.lit("name").alias("kind"), "norm").distinct().join(drawn, ["kind", "norm"])
+    parts = parts.groupBy("raw").agg(F.sort_array(F.collect_list(F.struct("nth", "surrogate"))).alias("w")).select("raw", F.array_join(F.transform("w", lambda w: w["surrogate"]), " ").alias("shown"))
+    shown = cut(whole.unionAll(parts).groupBy("raw").agg(F.min("shown").alias("shown")))
+    told = found.select("doc", "raw").distinct().join(_small(shown), "raw").groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("raw", "shown"))).alias("map"))
+    told = told.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    j = some.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALT)).cast("int")).join(told, ["doc", "salt"], "left")
+
+    def sequence(piece: F.Column) -> F.Column:
+        ws = F.split(piece, " ")
+        start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("skip"))
+
+        def step(a: F.Column, i: F.Column) -> F.Column:
+            three, two = (F.when(i + n <= F.size(ws) + 1, F.element_at(F.col("map"), F.array_join(F.slice(ws, i, n), " "))) for n in (3, 2))
+            word = F.coalesce(three, two, F.get(ws, i - 1))
+            skip = F.when(three.isNotNull(), 2).when(two.isNotNull(), 1).otherwise(0)
+            return F.struct(F.when(a["skip"] > 0, a["out"]).otherwise(F.array_append(a["out"], word)).alias("out"), F.when(a["skip"] > 0, a["skip"] - 1).otherwise(skip).alias("skip"))
+
+        return F.array_join(F.aggregate(F.sequence(F.lit(1), F.size(ws)), start, step, lambda a: a["out"]), " ")
+
+    def one(piece: F.Column, i: F.Column) -> F.Column:
+        return F.when(i % 2 == 1, F.coalesce(F.element_at(F.col("map"), piece), F.when(piece.contains(" "), sequence(piece)), piece)).otherwise(piece)
+
+    new = j.withColumn("new", F.when(F.col("map").isNull(), F.col("pieces")).otherwise(F.transform("pieces", one)))
+    count = F.aggregate(F.zip_with("pieces", "new", lambda a, b: (a != b).cast("int")), F.lit(0), lambda a, x: a + x)
+    made = lambda n: names[text] == n
+    order = lambda body_, n: [(body_ if made(k) else F.col(k)).alias(c) for c, k in names.items()] + [n.alias("n_private")]
+    changed = new.select(*order(F.array_join("new", ""), count))
+    same = hits.where(F.size("pieces") <= 1).select(*order(F.array_join("pieces", ""), F.lit(0)))
+    none = own.where(~hint).select(*order(body, F.lit(0)))
+    return changed.unionAll(same).unionAll(none)
