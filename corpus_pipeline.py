@@ -13,7 +13,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language can be told (null or without a letter) go; null labels are filled in."""
+    """Documents in which no language can be told go; null labels are filled in with the language found.
+
+    Null and empty texts, and texts without a letter, go; texts of any length are read whole; null and repeated ids
+    and repeated rows stay as they are; an empty table gives an empty one; other columns than documents' go.
+    """
     found = langid.identify(docs.select(*COLUMNS), langid.fit(docs))
     return found.where("lang_pred <> 'und'").withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
@@ -21,7 +25,9 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document stays of each group linked by five-word shingles at a similarity of 0.8: the smallest doc_id.
 
-    Rows that repeat a doc_id are one document if their whole text is equal, else documents of their own.
+    Rows that repeat a doc_id are one document if their whole text is equal, else documents of their own; of equal ids
+    in a group the one with the smaller hash of its text stays, so reruns agree. Rows without an id, and null or empty
+    texts, link with nothing and stay; an empty table gives an empty one.
     """
     docs = docs.select(*COLUMNS)
     often = cut(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
@@ -39,13 +45,21 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Private data in the texts become surrogates."""
+    """Private data in the texts become surrogates, and n_chars follows.
+
+    Rows keep their number and ids, null or repeated; null texts stay null, with a null n_chars; texts without private
+    data, of any length, stay as they are; an empty table gives an empty one.
+    """
     done = pii.replace(docs.select(*COLUMNS), PII_KEY)
     return done.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as the mix takes it: 0, 1 or 2 rows. Copies go to rows, so ids may be null or repeated."""
+    """Each row as often as the mix takes it: 0, 1 or 2 rows. Copies go to rows, so ids may be null or repeated.
+
+    Null sources are a source of their own. Rows of null, empty or blank texts have size 0 and take part in no token
+    count: they stay as often as the rate of their source's smallest rows says. An empty table gives an empty one.
+    """
     rows = cut(docs.select(*COLUMNS).withColumn("at", F.monotonically_increasing_id()))
     sized = rows.select("at", "text", "source", F.struct("doc_id", F.xxhash64("text").alias("h")).alias("id"))
     copies = mixing.mix_sources(sized, doc_id="id").where("copies > 0").select("at", "copies")
@@ -54,7 +68,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded text of every row."""
+    """Token counts and digests of ids and decoded text of every row.
+
+    A row each, whatever its id; null texts count as empty, with no token; an empty table gives an empty one.
+    """
     return bpe.digests(docs.select("doc_id", "text"), VOCABULARY).drop("text")
 
 
