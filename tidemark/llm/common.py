@@ -122,6 +122,11 @@ def utf8(values) -> list[bytes]:
 FEW = 1_000_000
 
 
+def small(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if it was counted to be FEW rows at most; so a hot key of the other side stays in its tasks."""
+    return F.broadcast(df) if df.count() <= FEW else df
+
+
 def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of df whose key isn't in ids(key). Spares the exchange of df where the counted ids are few."""
     ids = cut(ids.select(key).where(F.col(key).isNotNull()).distinct())

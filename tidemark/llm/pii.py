@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FEW, cut
+from .common import cut, small
 
 # Types in order of precedence, and their patterns (Java regular expressions).
 EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
@@ -213,11 +213,6 @@ def _windows(words: F.Column, n: int) -> F.Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(0)) + 1), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """df, to be broadcast if it was counted to be small."""
-    return F.broadcast(df) if df.count() <= FEW else df
-
-
 def _gender(before: F.Column) -> F.Column:
     title = F.regexp_extract(F.regexp_replace(before, r"\.? $", ""), r"(\S+)$", 1)
     return F.when(title.isin(*FEMALE), "f").when(title.isin(*MALE), "m").otherwise("")
@@ -235,7 +230,7 @@ def find(hits: DataFrame) -> DataFrame:
     first, two = F.substring_index("raw", " ", 1), F.size(F.split("raw", " ")) == 2
     given = runs.where(two & first.isin(*GIVEN_MALE, *GIVEN_FEMALE)).select("doc", "raw", F.lit("name").alias("kind"), F.when(first.isin(*GIVEN_FEMALE), "f").otherwise("m").alias("gender"))
     known = cut(direct.where("kind = 'name' and raw like '% %'").select("raw").unionAll(given.select("raw")).distinct())
-    again = runs.join(_small(known), "raw").select("doc", "raw", F.lit("name").alias("kind"), F.lit("").alias("gender"))
+    again = runs.join(small(known), "raw").select("doc", "raw", F.lit("name").alias("kind"), F.lit("").alias("gender"))
     return cut(direct.unionByName(given).unionByName(again).distinct())
 
 
@@ -265,7 +260,7 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     parts = words.select("raw", "nth", F.lit("name").alias("kind"), "norm").distinct().join(drawn, ["kind", "norm"])
     parts = parts.groupBy("raw").agg(F.sort_array(F.collect_list(F.struct("nth", "surrogate"))).alias("w")).select("raw", F.array_join(F.transform("w", lambda w: w["surrogate"]), " ").alias("shown"))
     shown = cut(whole.unionAll(parts).groupBy("raw").agg(F.min("shown").alias("shown")))
-    told = found.select("doc", "raw").distinct().join(_small(shown), "raw").groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("raw", "shown"))).alias("map"))
+    told = found.select("doc", "raw").distinct().join(small(shown), "raw").groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("raw", "shown"))).alias("map"))
     told = told.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     j = some.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALT)).cast("int")).join(told, ["doc", "salt"], "left")
 
