@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Union, as_ids, as_text, bitmap, components, cut, mix, slices, slot, small_batches, weights, words
+from .common import Union, as_ids, as_text, bitmap, components, cut, mix, slices, slot, small, small_batches, weights, words
 
 BANDS, BAND_ROWS = 3, 3
 #: Rows of one side that meet in a task at once.
@@ -295,16 +295,22 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "
     # step 4: the larger group is opened for the documents of the smaller one, and for its own outside its largest star
     stars = member.groupBy("cluster", "comp").agg(F.countDistinct("node").alias("k"))
     size = cut(stars.groupBy("cluster").agg(F.sum("k").alias("size"), F.max(F.struct("k", "comp")).alias("top")).select("cluster", "size", "top.comp", (F.col("size") - F.col("top.k")).alias("rest")).withColumnRenamed("comp", "main"))
-    sided = pairs.join(size.select(F.col("cluster").alias("a"), F.col("size").alias("sa")), "a").join(size.select(F.col("cluster").alias("b"), F.col("size").alias("sb")), "b")
+    held = cut(size.join(pairs.select(F.col("a").alias("cluster")).unionAll(pairs.select(F.col("b").alias("cluster"))).distinct(), "cluster", "left_semi").select("cluster", "size"))
+    of = lambda c, n: small(held).select(F.col("cluster").alias(c), F.col("size").alias(n))
+    sided = pairs.join(of("a", "sa"), "a").join(of("b", "sb"), "b")
     sided = sided.select(F.when(F.col("sa") >= F.col("sb"), F.col("a")).otherwise(F.col("b")).alias("host"), F.when(F.col("sa") >= F.col("sb"), F.col("b")).otherwise(F.col("a")).alias("guest"), F.greatest("sa", "sb").alias("hosts"), F.least("sa", "sb").alias("guests"))
     sided = cut(sided.unionByName(size.where("rest > 0").select(F.col("cluster").alias("host"), F.col("cluster").alias("guest"), F.col("size").alias("hosts"), F.col("rest").alias("guests"))))
     needed = sided.select(F.col("host").alias("cluster")).unionAll(sided.select(F.col("guest").alias("cluster"))).distinct()
-    ids = cut(member.select("node", "comp", "cluster").distinct().join(size.join(needed, "cluster", "left_semi").select("cluster", "main"), "cluster"))
+    # what is unique by group is broadcast where it was counted to be small, so that a large group's rows stay apart
+    main = cut(size.join(needed, "cluster", "left_semi").select("cluster", "main"))
+    ids = cut(member.select("node", "comp", "cluster").distinct().join(small(main), "cluster"))
     hosts = sided.groupBy("host").agg(F.ceil(F.max("hosts") / BLOCK).cast("int").alias("nm"), F.ceil(F.sum("guests") / BLOCK).cast("int").alias("nq"))
+    hosts = cut(hosts)
     block = lambda of: F.pmod(F.xxhash64(F.col("node")), F.col(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    inside = ids.join(hosts, F.col("cluster") == F.col("host")).select("host", F.lit(0).alias("side"), "node", "comp", block("nm").alias("mb"), every("nq").alias("qb"))
-    asked = sided.select("host", "guest").join(hosts, "host").join(ids, F.col("guest") == F.col("cluster")).where("host <> guest or comp <> main")
+    inside = ids.join(small(hosts), F.col("cluster") == F.col("host")).select("host", F.lit(0).alias("side"), "node", "comp", block("nm").alias("mb"), every("nq").alias("qb"))
+    asking_ = cut(sided.select("host", "guest").join(small(hosts), "host"))
+    asked = ids.join(small(asking_), F.col("guest") == F.col("cluster")).where("host <> guest or comp <> main")
     asking = asked.select("host", F.lit(1).alias("side"), "node", "comp", every("nm").alias("mb"), block("nq").alias("qb"))
     both = _fetch(docs, cut(inside.unionByName(asking)), n)
     parts = max(1, -(-sided.count() // 250))
