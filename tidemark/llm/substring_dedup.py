@@ -234,7 +234,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
                 found.append(_search(packed, window)[columns])
         return pd.concat(found)
 
-    spans = _deal(named, teams, window).groupBy("team").applyInPandas(run, "doc_id long, tid long, low int, high int")
+    # as many tasks as groups, so that the largest one doesn't grow with the input
+    dealt = _deal(named, teams, window).repartition(int(min(teams, 100_000)), "team")
+    spans = dealt.groupBy("team").applyInPandas(run, "doc_id long, tid long, low int, high int")
     per = cut(spans.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("low", "high")).alias("spans")))
     # most documents lose nothing and need no exchange; the bitmap has a fixed size and may only err on the safe side
     bits = own.sparkSession.sparkContext.broadcast(bitmap(per.select(F.col("doc_id").alias("id"))))
