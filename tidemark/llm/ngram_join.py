@@ -238,6 +238,7 @@ def _group(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame
     full = keys.groupBy("band", "key").agg(F.count("*").alias("c")).where("c > 1")
     shared = cut(keys.join(full.select("band", "key"), ["band", "key"], "left_semi"))
     tokens = cut(_fetch(docs, shared.select("node").distinct(), n))
+    rows_of = {r["band"]: r["c"] for r in shared.groupBy("band").agg(F.count("*").alias("c")).collect()}  # BANDS rows
 
     def gather(now: DataFrame, band: int, least: int) -> DataFrame:
         """now(node, lead) after the leaders that share a key of the band have been compared."""
@@ -253,8 +254,7 @@ def _group(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame
         own = shared.where(F.col("band") == band).join(leads, "node", "left_semi").select("node", "key")
         sized = own.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
         dealt = own.join(sized, "key").withColumn("sub", F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / BLOCK)))
-        total = own.count()
-        bucket = F.pmod(F.xxhash64("key", "sub"), F.lit(max(1, -(-total // 500))))
+        bucket = F.pmod(F.xxhash64("key", "sub"), F.lit(max(1, -(-rows_of.get(band, 0) // 500))))
         rows = dealt.join(tokens, "node").select("key", "sub", "node", "tokens", bucket.alias("bucket"))
         moved = rows.groupBy("bucket").applyInPandas(run, "node long, lead long").withColumnRenamed("node", "lead0").withColumnRenamed("lead", "lead1").groupBy("lead0").agg(F.min("lead1").alias("lead1"))
         return cut(now.join(moved, F.col("lead") == F.col("lead0"), "left").select("node", F.coalesce("lead1", "lead").alias("lead")))
