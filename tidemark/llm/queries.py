@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, langid, mixing, ngram_join, pii, sharding, substring_dedup, vectors
+from . import bpe, html_text, langid, merkle, mixing, ngram_join, pii, sharding, substring_dedup, vectors
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -67,8 +67,24 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
+#: Columns of documents that make up a leaf, in order.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*LEAF)
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    other = {"other": F.when(changed, merkle.leaves(docs, LEAF, lower=True))}
+    found = merkle.manifest(docs, LEAF, carried=other)
+    proof = F.sha2(F.array_join(F.transform("witness", lambda w: w["siblings"]), "").cast("binary"), 256)
+    found = found.withColumn("folded_root", merkle.fold(F.coalesce("other", "leaf"), F.col("witness")))
+    return found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_pii, op4_sharding, op5_html_text, op6_topk, op7_ngram_join, op8_near_vectors, op9_mixing, op10_langid)}
+    return {f.__name__: f for f in (
+        op1_bpe, op2_substring_dedup, op3_pii, op4_sharding, op5_html_text, op6_topk, op7_ngram_join, op8_near_vectors, op9_mixing, op10_langid, op11_merkle,
+    )}
 
 
 TOPK_SQL = """
