@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, langid, merkle, mixing, ngram_join, pii, sharding, substring_dedup, vectors
+from . import bpe, html_text, langid, merkle, mixing, ngram_join, pii, secret_scan, sharding, substring_dedup, vectors
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -81,9 +81,16 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owners are the sources; each document is a repository of its own."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secret_scan.spans(*secret_scan.scan(docs))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_bpe, op2_substring_dedup, op3_pii, op4_sharding, op5_html_text, op6_topk, op7_ngram_join, op8_near_vectors, op9_mixing, op10_langid, op11_merkle,
+        op1_bpe, op2_substring_dedup, op3_pii, op4_sharding, op5_html_text, op6_topk, op7_ngram_join, op8_near_vectors, op9_mixing, op10_langid, op11_merkle, op13_secrets,
     )}
 
 
