@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, langid, merkle, mixing, ngram_join, pii, secret_scan, sharding, substring_dedup, vectors
+from . import bpe, html_text, langid, merkle, mixing, ngram_join, pii, secret_scan, sharding, substring_dedup, token_align, vectors
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -81,6 +81,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = token_align.alignments(table(spark, sf_dir, "documents").select("doc_id", "text"), a, b)
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    rows, _ = token_align.linked(aligned.withColumn("groups_sha256", digest), token_align.size(b))
+    return rows
+
+
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Owners are the sources; each document is a repository of its own."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -90,7 +98,7 @@ def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_bpe, op2_substring_dedup, op3_pii, op4_sharding, op5_html_text, op6_topk, op7_ngram_join, op8_near_vectors, op9_mixing, op10_langid, op11_merkle, op13_secrets,
+        op1_bpe, op2_substring_dedup, op3_pii, op4_sharding, op5_html_text, op6_topk, op7_ngram_join, op8_near_vectors, op9_mixing, op10_langid, op11_merkle, op12_align, op13_secrets,
     )}
 
 
