@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, langid, merkle, mixing, ngram_join, pii, secret_scan, sharding, substring_dedup, token_align, vectors
+from . import bpe, html_text, langid, merkle, mixing, ngram_join, pii, secret_scan, sharding, sql, substring_dedup, token_align, vectors
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -121,4 +121,4 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_topk": TOPK_SQL}
+    return {"op6_topk": TOPK_SQL, "op11_merkle": sql.merkle(), "op13_secrets": sql.secrets()}

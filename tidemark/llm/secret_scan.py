@@ -46,8 +46,8 @@ SALTS = 16
 
 
 def random_looking(v: Column) -> Column:
-    """Upper case, lower case, three digits, and a change of class in every fourth character at least."""
-    return v.rlike("[A-Z]") & v.rlike("[a-z]") & (F.regexp_count(v, F.lit("[0-9]")) >= 3) & (F.regexp_count(v, F.lit(_TURN)) * 4 >= F.length(v))
+    """Upper case, lower case, three digits, not all in one place, and a change of class in every fourth character."""
+    return v.rlike("[A-Z]") & v.rlike("[a-z]") & (F.regexp_count(v, F.lit("[0-9]")) >= 3) & v.rlike("[0-9][^0-9]+[0-9]") & (F.regexp_count(v, F.lit(_TURN)) * 4 >= F.length(v))
 
 
 def _found(text: Column, kind: Kind, place: int) -> Column:
