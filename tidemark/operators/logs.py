@@ -60,18 +60,20 @@ def cumulative_yield(batches: DataFrame) -> DataFrame:
 
 def checklist(
     files: DataFrame, logs: DataFrame, obs: DataFrame, src: DataFrame, places: DataFrame, previous: DataFrame,
-    protocol: str = "search_protocol.txt", tools: str = TOOLS, adds: str = ADDS,
+    protocol: str = "search_protocol_", tools: str = TOOLS, adds: str = ADDS,
 ) -> DataFrame:
     """The progress row of each of the places(iso, country), with notes carried over from the previous one.
 
-    files(iso, name, rows, modified) tell the status, the last update, whether the audit is done and whether the
-    protocol is there; logs and tables tell the rest. A place without files has not started.
+    files(iso, name, modified), as read_inventory lists them, tell the status, the last update, whether the audit is done
+    and whether a file whose name starts with `protocol` is there; logs and tables tell the rest. A place without files
+    has not started.
     """
+    summary = metrics.observation_summary(obs).select("iso", "row_count", "date_range")
     agents = agent_status(logs).groupBy("iso").agg(F.count_distinct("agent").alias("agents"), F.max(F.when(F.col("status") == "completed", F.col("agent"))).alias("last_done"))
-    held = files.groupBy("iso").agg(F.bool_or(F.col("name") == metrics.AUDIT).alias("audit"), F.bool_or(F.col("name") == protocol).alias("protocol"))
+    held = files.groupBy("iso").agg(F.bool_or(F.col("name") == metrics.AUDIT).alias("audit"), F.bool_or(F.col("name").startswith(protocol)).alias("protocol"))
     out = places.select("iso", "country")
     for part in (
-        metrics.status_from_files(files), metrics.latest_update(files).withColumnRenamed("latest", "datetime"), held, metrics.observation_summary(obs).select("iso", "row_count", "date_range"),
+        metrics.status_from_files(files, summary), metrics.latest_update(files).withColumnRenamed("latest", "datetime"), held, summary,
         metrics.source_counts(src), execution_metrics(logs, tools, adds), agents,
     ):
         out = out.join(part, "iso", "left")

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 
-# The file that an audit leaves; scores of reliability levels.
-AUDIT = "search_log_agent_6.txt"
+# The report that an audit leaves; logs whose changes count as an update; scores of reliability levels.
+AUDIT = "quality_audit_report_agent_6.txt"
+LOGS = [f"search_log_agent_{i}.txt" for i in range(1, 7)]
 SCORES = {"Level_1": 4, "Level_2": 3, "Level_3": 2, "Level_4": 1}
 
 
@@ -107,16 +108,21 @@ def hierarchy_check(obs: DataFrame) -> DataFrame:
     return x.withColumn("double_count", F.coalesce((F.col("national") > 0) & (F.col("subnational") > 0), F.lit(False)))
 
 
-def status_from_files(files: DataFrame, data: str = "observations.csv", meta: str = "metadata.csv", log: str = "search_log_agent_", audit: str = AUDIT) -> DataFrame:
-    """files(iso, name, rows): COMPLETED with both tables and the audit, or six logs and rows; PENDING once work began."""
+def status_from_files(files: DataFrame, counts: DataFrame, data: str = "observations.csv", meta: str = "metadata.csv", log: str = "search_log_agent_", audit: str = AUDIT) -> DataFrame:
+    """Status of each place in files(iso, name), given counts(iso, row_count) of the observations in them.
+
+    COMPLETED with both tables and the audit's report, or with both tables, six logs of whatever number and at least one
+    observation; PENDING once there is a log or the observations' file; else NOT_STARTED.
+    """
     name = F.col("name")
+    is_log = name.startswith(log) & name.endswith(".txt")
     x = files.groupBy("iso").agg(
-        F.bool_or(name == data).alias("d"), F.bool_or(name == meta).alias("m"), F.bool_or(name == audit).alias("a"),
-        F.count_distinct(F.when(name.startswith(log), name)).alias("logs"), F.coalesce(F.max(F.when(name == data, F.col("rows"))), F.lit(0)).alias("n"),
-    )
-    done = F.col("d") & F.col("m") & (F.col("a") | ((F.col("logs") >= 6) & (F.col("n") > 0)))
+        F.bool_or(name == data).alias("d"), F.bool_or(name == meta).alias("m"), F.bool_or(name == audit).alias("a"), F.count_distinct(F.when(is_log, name)).alias("logs"),
+    ).join(counts.select("iso", F.col("row_count").alias("n")), "iso", "left")
+    done = F.col("d") & F.col("m") & (F.col("a") | ((F.col("logs") >= 6) & (F.coalesce("n", F.lit(0)) > 0)))
     return x.select("iso", F.when(done, "COMPLETED").when((F.col("logs") > 0) | F.col("d"), "PENDING").otherwise("NOT_STARTED").alias("status"))
 
 
-def latest_update(files: DataFrame) -> DataFrame:
-    return files.groupBy("iso").agg(F.max("modified").alias("latest"))
+def latest_update(files: DataFrame, data: str = "observations.csv", meta: str = "metadata.csv", audit: str = AUDIT) -> DataFrame:
+    """Last modification of each place's key files(iso, name, modified): both tables, the audit's report and logs 1 to 6."""
+    return files.where(F.col("name").isin(data, meta, audit, *LOGS)).groupBy("iso").agg(F.max("modified").alias("latest"))

@@ -14,7 +14,9 @@ from ..operators import presence as R
 from ..operators import quality as Q
 from ..sources import io
 from ..streaming import jobs
+from . import workspace
 from .views import Views, oracle
+from .workspace import Workspace
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -119,8 +121,7 @@ for _rule, _cond in {"any": "(cases is not null or deaths is not null or source
 _MAP = "case source when 'WHO' then 'WHO' when 'JHU' then 'JHU' when 'SUPP' then 'WHO' end"
 _add("map_source", lambda v: S.map_source(v.base).groupBy("iso", "source").agg(F.count("*").alias("n")), f"select iso, {_MAP} as source, count(*) as n from v_base where source is not null group by 1, 2")
 _add("restrict_places", lambda v: J.restrict_places(v.base, v.place, "flag").select("iso", "date_start", "cases"), "select iso, date_start, cases from v_base where iso in (select iso from v_place where flag)")
-_add("completed_only", lambda v: J.completed_only(v.base, M.status_from_files(v.files)).groupBy("iso").agg(F.count("*").alias("n")), """with st as (select iso, bool_or(name = 'observations.csv') as d, bool_or(name = 'metadata.csv') as m, bool_or(name = 'search_log_agent_6.txt') as a, count(distinct case when name like 'search_log_agent_%' then name end) as logs, coalesce(max(case when name = 'observations.csv' then rows end), 0) as n from v_files group by iso)
- select iso, count(*) as n from v_base where iso in (select iso from st where d and m and (a or (logs >= 6 and n > 0))) group by iso""")
+_add("completed_only", lambda v: Workspace(v).completed_observations(), workspace.COMPLETED_SQL)
 _PI = "select idx, iso, location, tl, coalesce(tr, tl) as tr, scases, deaths, source from v_obs where coalesce(tr, tl) >= tl"
 _add("parse_interval", lambda v: S.parse_interval(v.obs).select("idx", "iso", "location", "tl", "tr", "scases", "deaths", "source"), _PI)
 _add("search_any_column", lambda v: S.search_any_column(v.src.select("idx", "source", "url", "status"), "site3"), "select idx, source, url, status from v_src where contains(upper(url), 'SITE3')")
@@ -231,10 +232,9 @@ _add("coverage_approx", lambda v: M.coverage_approx(_counts(v)), f"{_WC} select
 _SP = f"select iso, cast(split_part(date_range, '-', 2) as int) - cast(split_part(date_range, '-', 1) as int) + 1 as span_years, cast(split_part(date_range, '-', 1) as int) as first_year, cast(split_part(date_range, '-', 2) as int) as last_year from ({_SUM}) s"
 _add("span_metrics", lambda v: M.span_metrics(M.observation_summary(v.obs)), _SP)
 _add("country_metrics", lambda v: M.country_metrics(v.obs, v.src, v.place, _counts(v)), f"{_WC} select p.iso, s.date_range, coalesce(cast(floor((w.ai_weeks + w.who_weeks + w.jhu_weeks) * 100.0 / 2860 + 0.5) as bigint), 0) as coverage_pct, coalesce(s.row_count, 0) as row_count, coalesce(c.sources, 0) as sources, coalesce(t.total_cases, 0) as total_cases, coalesce(t.total_deaths, 0) as total_deaths, pk.peak_year, r.reliability_class, coalesce(st.source_types, 0) as source_types, sp.span_years, sp.first_year, sp.last_year from v_place p left join wc w on p.iso = w.iso left join ({_SUM}) s on p.iso = s.iso left join (select iso, count(*) as sources from v_src group by iso) c on p.iso = c.iso left join (select iso, cast(sum(scases) as bigint) as total_cases, cast(sum(deaths) as bigint) as total_deaths from v_obs group by iso) t on p.iso = t.iso left join ({_PK}) pk on p.iso = pk.iso left join ({_RC.format(_SC.format('reliability'))}) r on p.iso = r.iso left join ({_ST}) st on p.iso = st.iso left join ({_SP}) sp on p.iso = sp.iso")
-_STATUS = "(select iso, case when d and m and (a or (logs >= 6 and n > 0)) then 'COMPLETED' when logs > 0 or d then 'PENDING' else 'NOT_STARTED' end as status from (select iso, bool_or(name = 'observations.csv') as d, bool_or(name = 'metadata.csv') as m, bool_or(name = 'search_log_agent_6.txt') as a, count(distinct case when name like 'search_log_agent_%' then name end) as logs, coalesce(max(case when name = 'observations.csv' then rows end), 0) as n from v_files group by iso) t)"
-_add("status_from_files", lambda v: M.status_from_files(v.files), f"select * from {_STATUS} s")
-_add("status_progress", lambda v: M.status_progress(M.status_from_files(v.files)), f"select count(*) as places, count(*) filter (status = 'COMPLETED') as completed, count(*) filter (status = 'PENDING') as pending, count(*) filter (status = 'NOT_STARTED') as not_started, round(count(*) filter (status = 'COMPLETED') * 100.0 / count(*), 1) as pct_complete from {_STATUS} s")
-_add("latest_update", lambda v: M.latest_update(v.files), "select iso, max(modified) as latest from v_files group by iso")
+_add("status_from_files", lambda v: Workspace(v).status(), workspace.STATUS_SQL)
+_add("status_progress", lambda v: M.status_progress(Workspace(v).status()), workspace.PROGRESS_SQL)
+_add("latest_update", lambda v: Workspace(v).latest(), workspace.LATEST_SQL)
 _add("week_count_totals", lambda v: M.week_count_totals(_counts(v)), f"{_WC} select cast(sum(ai_weeks) as bigint) as ai_weeks, cast(sum(who_weeks) as bigint) as who_weeks, cast(sum(jhu_weeks) as bigint) as jhu_weeks, count(*) filter (ai_weeks > 0) as ai_places, count(*) filter (who_weeks > 0) as who_places, count(*) filter (jhu_weeks > 0) as jhu_places from wc")
 _add("monthly_coverage_summary", lambda v: R.monthly_coverage_summary(_matrix(v)), f"{_MP} select count(*) as months, count(*) filter (surveillance_orig = 1) as base, count(*) filter (surveillance_ai = 1) as mined, count(*) filter (surveillance_orig = 1 or surveillance_ai = 1) as any_source, count(*) filter (surveillance_orig = 0 and surveillance_ai = 1) as mined_only, count(distinct iso) as places, round(count(*) filter (surveillance_orig = 1) * 100.0 / count(*), 1) as base_pct, round(count(*) filter (surveillance_ai = 1) * 100.0 / count(*), 1) as mined_pct, round(count(*) filter (surveillance_orig = 1 or surveillance_ai = 1) * 100.0 / count(*), 1) as any_source_pct, round(count(*) filter (surveillance_orig = 0 and surveillance_ai = 1) * 100.0 / count(*), 1) as mined_only_pct from mx")
 _add("source_coverage", lambda v: R.source_coverage(_weekly(v)), f"{_WP} select source, cast(sum(present) as bigint) as present, count(*) as total, round(sum(present) * 100.0 / count(*), 1) as pct from weekly group by source")
@@ -276,7 +276,7 @@ _add("rank_places", lambda v: R.rank_places(v.base.groupBy("iso").agg(F.count("*
 _add("gaps_by_days", lambda v: P.major_gaps(_periods_cust(v)).orderBy(F.desc("gap_days"), "iso", "gap_start"), f"{_PER} select *, round(gap_days / 365.25, 1) as gap_years from gaps order by gap_days desc, iso, gap_start")
 _add("summary_by_coverage", lambda v: P.coverage_summary(_periods_cust(v)).orderBy("coverage_percentage", "iso").select("iso", "coverage_percentage"), f"{_SY} select iso, coverage_percentage from sy")
 _add("rows_by_week", lambda v: S.week_key(v.base, "date_start").groupBy("iso").agg(F.sort_array(F.collect_set(F.struct("year", "week"))).alias("w")).select("iso", F.array_join(F.transform("w", lambda x: F.concat_ws("-", x["year"], x["week"])), ",").alias("weeks")), f"select iso, string_agg(concat(year, '-', week), ',' order by year, week) as weeks from (select distinct iso, {_WEEK.format('date_start')} from v_base) t group by iso")
-_add("completed_first", lambda v: v.place.join(M.status_from_files(v.files), "iso", "left").orderBy(F.when(F.col("status") == "COMPLETED", 0).otherwise(1), "country").select("iso", "country", "status"), f"select p.iso, p.country, s.status from v_place p left join {_STATUS} s on p.iso = s.iso")
+_add("completed_first", lambda v: Workspace(v).completed_first(), workspace.FIRST_SQL)
 
 # ---- 2.7 sets, 2.8 expansion and scalars
 _add("combine_sources", lambda v: R.combine_sources(_base_keys(v), _mined_keys(v)).groupBy("source").agg(F.count("*").alias("n")), f"select source, count(*) as n from ({_BK} union all {_MK}) t group by source")
@@ -388,11 +388,7 @@ def _yield_logs(v: Views):
 
 
 _add("batch_yields", lambda v: L.batch_yields(_yield_logs(v)).select("iso", "batch", "ok", "asked", "yield_pct"), "select iso, cast(batch as int) as batch, cast(yield as int) as ok, 20 as asked, round(yield * 100.0 / 20, 1) as yield_pct from v_batch")
-_add("checklist", lambda v: L.checklist(v.files, v.log, v.obs, v.src, v.place, v.place.select("iso", F.concat(F.lit("old | Manual: "), "country").alias("notes")), protocol="metadata.csv", tools=r"(?i)(tion|ment)", adds="(?i)(new|the )"), f"""select p.country, p.iso, coalesce(f.status, 'NOT_STARTED') as status, u.latest as datetime, coalesce(c.sources, 0) as sources, coalesce(s.row_count, 0) as observations, s.date_range, case when coalesce(s.row_count, 0) = 0 then '' when s.row_count < 15 then 'HIGH' when s.row_count < 30 then 'MEDIUM' else 'LOW' end as priority,
- coalesce(e.minutes, 0) as execution_time, coalesce(e.queries, 0) as queries, round(coalesce(e.yield_pct, 0), 1) as yield_pct,
- concat(coalesce(nullif(concat_ws('; ', case when h.audit then 'Quality audit completed' when coalesce(a.agents, 0) >= 6 then 'All agents executed' when a.agents > 0 then concat('Agent ', a.last_done, ' completed') end, case when s.row_count > 0 then concat(s.row_count, ' data observations') end, case when not coalesce(h.protocol, false) then 'Setup incomplete' end), ''), 'No activity detected'), ' | Manual: ', p.country) as notes
- from v_place p left join {_STATUS} f on f.iso = p.iso left join ({_SUM}) s on p.iso = s.iso left join (select iso, count(*) as sources from v_src group by iso) c on p.iso = c.iso left join (select iso, count(distinct agent) as agents, max(agent) as last_done from v_log group by iso) a on p.iso = a.iso
- left join (select iso, max(modified) as latest, bool_or(name = 'search_log_agent_6.txt') as audit, bool_or(name = 'metadata.csv') as protocol from v_files group by iso) h on p.iso = h.iso left join (select iso, max(modified) as latest from v_files group by iso) u on p.iso = u.iso left join ({_EMX}) e on p.iso = e.iso""")
+_add("checklist", lambda v: Workspace(v).checklist(), workspace.CHECKLIST_SQL)
 
 # ---- 2.11 two datasets
 _YC = f"with ya as ({_ys(_A)}), yb as ({_ys(_B)}), fr as (select iso, cast(y as int) as year from (select iso from ya union select iso from yb) p, unnest(generate_series(1995, 2005)) t(y)), yc as (select fr.iso, fr.year, case when ya.iso is not null and yb.iso is not null then 'Both' when ya.iso is not null then 'A' when yb.iso is not null then 'B' else 'Neither' end as code from fr left join ya on fr.iso = ya.iso and fr.year = ya.year left join yb on fr.iso = yb.iso and fr.year = yb.year)"

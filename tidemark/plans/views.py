@@ -15,7 +15,8 @@ SQL = {
     "v_src": "select s_suppkey as idx, concat('N', s_nationkey) as iso, case when s_suppkey % 10 = 0 then 'S0' else concat('S', s_suppkey) end as source, concat('https://www.site', s_suppkey % 5, '.org/x') as url, case when s_suppkey % 7 = 0 then '' else concat('T', s_suppkey % 3) end as data_type, case when s_suppkey % 2 = 0 then 'Active' else 'Archived' end as status, case s_suppkey % 4 when 0 then 'Level_1' when 1 then 'Level 2' when 2 then '3' else 'Level_4' end as reliability from supplier where s_acctbal > 0",
     "v_batch": "select conv_id as iso, turn as batch, cast(length(text) % 20 as bigint) as yield from (select conv_id, turn, max(text) as text from conversations where text is not null group by conv_id, turn) t",
     "v_log": "select concat('N', doc_id % 25) as iso, cast(doc_id % 6 + 1 as bigint) as agent, coalesce(text, '') as content from documents",
-    "v_files": "select concat('N', n_nationkey) as iso, 'observations.csv' as name, cast(n_nationkey as bigint) as rows, cast(n_nationkey * 7 % 11 as bigint) as modified from nation where n_nationkey % 3 > 0 union all select concat('N', n_nationkey), 'metadata.csv', 5, n_nationkey from nation where n_nationkey % 4 > 0 union all select concat('N', n_nationkey), concat('search_log_agent_', s_suppkey % 7, '.txt'), 1, s_suppkey from nation join supplier on s_nationkey = n_nationkey",
+    "v_held": "select concat('S', s_suppkey) as iso, s_name as country, cast(s_suppkey as bigint) as num from supplier",
+    "v_slog": "select concat('S', cast(floor(doc_id / 10) as bigint) + 1) as iso, cast(doc_id % 6 + 1 as bigint) as agent, coalesce(text, '') as content from documents",
 }
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations")
 

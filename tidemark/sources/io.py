@@ -12,9 +12,10 @@ OBSERVATIONS = "Index int, Location string, TL date, TR date, deaths long, sCh l
 SOURCES = "Index int, Source string, URL string, Description string, Date_Range string, Data_Type string, Status string, Reliability_Level string, Validation_Status string, Search_Technique string, Language_Original string, Citation_Depth string, Cross_References string, Discovery_Method string"
 SURVEILLANCE = "country string, iso_code string, year int, week int, date_start date, date_stop date, cases long, deaths long, source string"
 PLACES = "iso_code string, country_name string, region string, subregion string, mosaic_framework boolean, who_afro boolean, ssa boolean, ai_cholera_coverage boolean"
-#: The place of a file: the folder that it stands in, as name or as name=value; a folder agent=n may stand between.
-_PLACE = r"/(?:[^/=]+=)?([^/=]+)(?:/agent=\d+)?/[^/]+$"
-_AGENT = r"agent[_=](\d+)(?:\.txt$|/)"
+#: The place of a file: the folder that it stands in, as name or as name=value; agent=n or name=file may stand between.
+_PLACE = r"/(?:[^/=]+=)?([^/=]+)(?:/(?:agent|name)=[^/]+)?/[^/]+$"
+_AGENT = r"agent[_=](\d+)(?:\.txt)?(?:$|/)"
+_NAME = r"/(?:name=)?([^/=]+)(?:/part-[^/]+)?$"
 
 
 def _csv(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame:
@@ -49,6 +50,16 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     return x.select(F.regexp_extract("p", _PLACE, 1).alias("iso"), F.regexp_extract("p", _AGENT, 1).try_cast("int").alias("agent"), F.col("value").alias("content"))
 
 
+def read_inventory(spark: SparkSession, path: str) -> DataFrame:
+    """The files below a folder of places: iso, name, bytes, modified. Files are listed, their contents aren't read.
+
+    A folder name=... with parts, as Spark writes it, is one file of that name.
+    """
+    x = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
+    x = x.select(F.regexp_extract("path", _PLACE, 1).alias("iso"), F.regexp_extract("path", _NAME, 1).alias("name"), "length", "modificationTime")
+    return x.groupBy("iso", "name").agg(F.sum("length").alias("bytes"), F.max("modificationTime").alias("modified"))
+
+
 def read_text_safe(spark: SparkSession, path: str) -> DataFrame:
     """Files as text: UTF-8, else Latin-1."""
     x = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
