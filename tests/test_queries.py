@@ -24,18 +24,6 @@ def test_query_equals_sql(spark, con, name):
     assert same(registry.queries()[name](spark, SF), con, registry.oracle_sql()[name]) == ""
 
 
-def test_stream_stop_rule_equals_the_batch_form_in_any_order(spark):
-    rows = [(i, b, (i * 7 + b * b * (i + 3)) % 20) for i in range(40) for b in range(12)]
-    at = jobs.scratch(spark)
-    for late in range(4):  # later turns arrive first, and runs are spread over the files
-        part = [r for r in rows if (r[0] + r[1]) % 4 == 3 - late]
-        spark.createDataFrame(part, "iso long, batch long, yield long").coalesce(1).write.mode("append").parquet(at)
-    arriving = spark.readStream.schema("iso long, batch long, yield long").option("maxFilesPerTrigger", 1).parquet(at)
-    got = jobs.stream_stop_rule(arriving, 10, 2, 2)
-    want = logs.stop_batches(spark.createDataFrame(rows, "iso long, batch long, yield long"), 10, 2, 2)
-    assert sorted((r.iso, r.stop_batch) for r in got.collect()) == sorted((r.iso, r.stop_batch) for r in want.collect()) != []
-
-
 def _days(spark, *pairs):
     d = dt.date(2020, 1, 1)
     return spark.createDataFrame([("X", d + dt.timedelta(a), d + dt.timedelta(b)) for a, b in pairs], "iso string, date_start date, date_stop date")
@@ -103,13 +91,6 @@ def test_late_rows_are_dropped_and_open_windows_wait(spark):
     assert sorted((str(r.week_start), r.n, r.total) for r in got.collect()) == [("2019-12-30", 1, 1), ("2020-02-03", 1, 3), ("2020-02-10", 1, 2), ("2020-04-06", 1, 1)]
 
 
-def test_week_counts_share_a_number_of_first_and_last_week(spark):
-    days = [dt.datetime(2018, 1, 3), dt.datetime(2018, 12, 31), dt.datetime(2019, 1, 2), dt.datetime(2021, 1, 1)]
-    at = jobs.scratch(spark)
-    got = jobs.stream_week_counts(_slices(spark, at, [[("x", "s", d)] for d in days], "iso string, source string, ts timestamp"), "iso", "source", "ts")
-    assert [tuple(r) for r in got.collect()] == [("x", "s", 2)]  # (2018, 1) twice, (2019, 1); the last one is open
-
-
 def test_refresh_goes_on_from_its_folder(spark):
     source, at = jobs.scratch(spark), jobs.scratch(spark)
     schema = "iso string, n long, notes string"
@@ -120,8 +101,8 @@ def test_refresh_goes_on_from_its_folder(spark):
     stream = _slices(spark, source, [[("a", 3, "new 3"), ("b", 4, "late 4"), ("c", 1, "auto 1")], [("a", 2, "late 2")]], schema)
     again = jobs.stream_refresh(stream, "iso", "n", old, at)
     assert sorted(map(tuple, again.collect())) == [("a", 3, "new 3 | Manual: by hand"), ("b", 5, "auto 5"), ("c", 1, "auto 1")]
-    # versions before a batch are what that batch read, so it may run again
-    assert sorted(map(tuple, jobs.read_versions(spark, at, spark.createDataFrame([], schema).schema, 1).collect())) == sorted(map(tuple, first.collect()))
+    # the table before a batch is what that batch read, so it may run again
+    assert sorted(map(tuple, jobs.read_merged(spark, at, spark.createDataFrame([], schema).schema, ["iso"], 1).collect())) == sorted(map(tuple, first.collect()))
 
 
 def test_malformed_lines_are_kept_apart(spark):

@@ -405,9 +405,9 @@ _add("dataset_overview", lambda v: C.dataset_overview(*_ab(v)), f"with x as (sel
 
 
 # ---- 2.12 streaming
-def _stream(v: Views, df, ts: str | None = None):
+def _stream(v: Views, df, ts: str | None = None, close: bool = True):
     """A table as arriving files: four slices written one after the other, each a micro-batch. With ts, slices follow
-    time, and a last row without anything but a far later time closes the windows of the last slice."""
+    time, and unless close is false a last row with nothing but a far later time closes the windows of the last slice."""
     df = df.select(*[F.col(c).cast("timestamp").alias(c) if k == "timestamp_ntz" else F.col(c) for c, k in df.dtypes])
     at = jobs.scratch(v.spark) + "/t"
     nth = F.pmod(F.xxhash64(*df.columns), F.lit(4))
@@ -417,13 +417,13 @@ def _stream(v: Views, df, ts: str | None = None):
         nth = F.coalesce(F.least(F.floor(share * 4), F.lit(3)), F.lit(0))
     for k in range(4):
         df.where(nth == k).repartition(2).write.mode("append").parquet(at)
-    if ts:
+    if ts and close:
         last = df.agg((F.max(ts) + F.expr("interval 400 days")).alias(ts))
         last.select(*[F.col(c) if c == ts else F.lit(None).cast(k).alias(c) for c, k in df.dtypes]).write.mode("append").parquet(at)
     return v.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(at)
 
 
-_add("stream_week_counts", lambda v: jobs.stream_week_counts(_stream(v, v.table("events"), "ts"), "user_id", "event_type", "ts"), "select user_id as iso, event_type as source, count(distinct concat(year(ts), '-', week(ts))) as weeks from events where ts is not null group by 1, 2")
+_add("stream_week_counts", lambda v: jobs.stream_week_counts(_stream(v, v.table("events"), "ts", close=False), "user_id", "event_type", "ts"), "select user_id as iso, event_type as source, count(distinct concat(year(ts), '-', week(ts))) as weeks from events where ts is not null group by 1, 2")
 _add("stream_data_blocks", lambda v: jobs.stream_data_blocks(_stream(v, v.table("orders"), "o_orderdate"), "o_custkey", "o_orderdate"), "with d as (select distinct o_custkey as iso, cast(o_orderdate as date) as d from orders), f as (select *, case when d - lag(d) over (partition by iso order by d) <= 14 then 0 else 1 end as new from d), g as (select *, sum(new) over (partition by iso order by d) as block from f) select iso, min(d) as block_start, max(d) as block_end from g group by iso, block")
 _add("stream_weekly_totals", lambda v: jobs.stream_weekly_totals(_stream(v, v.table("events").withColumn("value", F.col("value").cast("decimal(18,2)")), "ts"), "ts", "value").withColumn("total", F.col("total").cast("double")), "select cast(date_trunc('week', ts) as date) as week_start, count(*) as n, cast(sum(cast(value as decimal(18,2))) as double) as total from events where ts is not null group by 1")
 _add("stream_stop_rule", lambda v: jobs.stream_stop_rule(_stream(v, v.batch), 10, 2, 2), _STOP)
