@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from . import joins, metrics
+from .scan import ordered
 
 # What counts as a tool call and as an addition.
 TOOLS, ADDS = r"(?i)(WebSearch|WebFetch)", r"(?i)(added|new[^\n]*row|observations\.csv)"
@@ -47,15 +48,21 @@ def batch_yields(logs: DataFrame) -> DataFrame:
 
 
 def stop_batches(batches: DataFrame, threshold: float, n_low: int, min_batches: int) -> DataFrame:
-    """The first batch with n_low yields in a row below the threshold, at least min_batches in."""
-    by = W.partitionBy("iso").orderBy("batch")
-    low = F.sum(F.when(F.col("yield") < threshold, 1).otherwise(0)).over(by.rowsBetween(-(n_low - 1), 0))
-    x = batches.withColumns({"low": low, "k": F.row_number().over(by)})
-    return x.where((F.col("low") >= n_low) & (F.col("k") >= min_batches)).groupBy("iso").agg(F.min("batch").alias("stop_batch"))
+    """The first batch with n_low yields in a row below the threshold, at least min_batches in.
+
+    A row ends such a streak if the last row that wasn't low stands n_low or more before it. A key may have any number of
+    batches; a null yield isn't low.
+    """
+    held = ordered(batches.select("iso", "batch", "yield"), "iso", ["batch"]).numbered("k")
+    high = F.when(F.coalesce(F.col("yield") >= threshold, F.lit(True)), F.col("k"))
+    x = held.running("high", high, "max").done()
+    stops = (F.col("k") - F.coalesce("high", F.lit(0)) >= n_low) & (F.col("k") >= min_batches)
+    return x.where(stops).groupBy("iso").agg(F.min("batch").alias("stop_batch"))
 
 
 def cumulative_yield(batches: DataFrame) -> DataFrame:
-    return batches.withColumn("total", F.sum("yield").over(W.partitionBy("iso").orderBy("batch").rowsBetween(W.unboundedPreceding, 0)))
+    """Running yield of each key's batches, of which it may have any number."""
+    return ordered(batches, "iso", ["batch"]).running("total", F.col("yield")).done()
 
 
 def checklist(

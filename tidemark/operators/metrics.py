@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .scan import ordered
 
 # The report that an audit leaves; logs whose changes count as an update; scores of reliability levels.
 AUDIT = "quality_audit_report_agent_6.txt"
@@ -81,8 +82,15 @@ def week_count_totals(wc: DataFrame) -> DataFrame:
     return wc.agg(*[F.sum(c).alias(c) for c in cols], *[F.count_if(F.col(c) > 0).alias(c.replace("_weeks", "_places")) for c in cols])
 
 
-def subregion_breakdown(places: DataFrame) -> DataFrame:
-    return places.groupBy("subregion").agg(F.count("*").alias("places"), F.array_join(F.sort_array(F.collect_list("iso")), ",").alias("members"), F.count_if("flag").alias("framework"))
+def subregion_breakdown(places: DataFrame, most: int = 100_000) -> DataFrame:
+    """(subregion, part, members, places, framework): members by name in numbered parts of `most` at most, each with the
+    subregion's number of places and of those with the flag. A subregion may have any number of members."""
+    sums = places.groupBy("subregion").agg(F.count("*").alias("places"), F.count_if("flag").alias("framework"))
+    held = ordered(places.select("subregion", "iso"), "subregion", ["iso"]).numbered("n").done()
+    part = F.floor((F.col("n") - 1) / most).cast("long").alias("part")
+    parts = held.groupBy("subregion", part).agg(F.array_join(F.sort_array(F.collect_list("iso")), ",").alias("members"))
+    sums = sums.withColumnRenamed("subregion", "__s")
+    return parts.join(sums, F.col("subregion").eqNullSafe(F.col("__s"))).drop("__s")
 
 
 def source_quality_counts(src: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .scan import ordered
 
 # Columns of the two files of a place; bands of confidence weights by reliability level.
 WIDTHS = {"data": 13, "meta": 14}
@@ -108,6 +109,6 @@ def domain_tier(src: DataFrame, tiers: DataFrame) -> DataFrame:
 
 
 def index_sequence_gaps(df: DataFrame, key: str = "iso", index: str = "idx") -> DataFrame:
-    """Rows whose index isn't its rank from 1."""
-    x = df.select(key, index).withColumn("expected", F.row_number().over(W.partitionBy(key).orderBy(index)))
+    """Rows whose index isn't its rank from 1. A place may be of any size."""
+    x = ordered(df.select(key, index), key, [index]).numbered("expected").done()
     return x.where(F.col(index) != F.col("expected"))

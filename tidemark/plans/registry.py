@@ -107,12 +107,26 @@ def _write_table(v: Views):
 
 
 _add("write_table", _write_table, "select iso, count(*) as n, cast(sum(cases) as bigint) as n_cases, count(*) as n_csv, cast(sum(cases) as bigint) as n_csv_cases from v_base group by iso")
-_add("csv_payload_per_key", lambda v: io.csv_payload_per_key(v.src.select("iso", "idx", F.concat("source", F.lit(", `a` ${b} \\c")).alias("source")), "iso", ["idx", "source"]), """select iso, concat('idx,source', chr(10), string_agg(concat(idx, ',"', source, ', ', chr(92), '`a', chr(92), '` ', chr(92), '${b} ', chr(92), chr(92), chr(92), chr(92), 'c"'), chr(10) order by idx, source)) as payload from v_src group by iso""")
+_ROW = """concat(idx, ',"', source, ', ', chr(92), '`a', chr(92), '` ', chr(92), '${b} ', chr(92), chr(92), chr(92), chr(92), 'c"')"""
+#: Rows n.. of a key with their text r: what `in_parts` makes of them, with a glue of one byte and parts of 500 bytes.
+_PARTS = """select {key}, cast(floor(cast(start as double) / 500) as bigint) as part, string_agg(case when n > 1 then concat('{glue}', r) else r end, '' order by n) as text
+ from (select {key}, r, n, sum(strlen(r) + 1) over (partition by {key} order by n) - strlen(r) - 1 as start from ({rows}) x) y group by 1, 2"""
+_add(
+    "csv_payload_per_key",
+    lambda v: io.csv_payload_per_key(v.src.select("iso", "idx", F.concat("source", F.lit(", `a` ${b} \\c")).alias("source")), "iso", ["idx", "source"], bound=500),
+    f"""select iso, part, text as payload from ({_PARTS.format(key="iso", glue=chr(10), rows=f"select iso, {_ROW} as r, row_number() over (partition by iso order by idx, source) as n from v_src")}) p
+    union all select distinct iso, -1, concat('idx,source', chr(10)) from v_src""",
+)
 _add("json_rows", lambda v: io.json_rows(v.src.select("idx", "source", F.nullif("data_type", F.lit("")).alias("kind"), F.expr("case when idx % 3 = 0 then '' else concat(' ', idx * 2) end").alias("rows"), F.expr("case when idx % 4 > 0 then idx % 8 / 4 end").alias("share")), ["rows"], ["share"]), """select idx as "key", concat('{"idx":"', idx, '","source":"', source, '","kind":"', coalesce(nullif(data_type, ''), ''), '","rows":', case when idx % 3 = 0 then 0 else idx * 2 end, ',"share":', case when idx % 4 > 0 then cast(idx % 8 as double) / 4 else cast(0 as double) end, '}') as json from v_src""")
-_add("place_groups_json", lambda v: io.place_groups_json(v.site, ["flag", "flag2"], ["country", "region", "subregion", "flag", "flag2"]), """with g as (select iso, 'all' as name from v_site union all select iso, 'flag' from v_site where flag union all select iso, 'flag2' from v_site where flag2 union all select iso, subregion from v_site)
- select 'groups' as section, name, concat('["', string_agg(iso, '","' order by iso), '"]') as json from g group by name
- union all select 'places', iso, concat('{"country":"', country, '","region":"', region, '","subregion":"', subregion, '","flag":', flag, ',"flag2":', flag2, '}') from v_site
- union all select 'breakdown', subregion, concat('{"count":', count(*), ',"places":["', string_agg(iso, '","' order by iso), '"],"main":', count(*) filter (flag), '}') from v_site group by subregion""")
+_GROUPS = """select iso, 'all' as name from v_site union all select iso, 'flag' from v_site where flag union all select iso, 'flag2' from v_site where flag2 union all select iso, subregion from v_site"""
+_add(
+    "place_groups_json",
+    lambda v: io.place_groups_json(v.site, ["flag", "flag2"], ["country", "region", "subregion", "flag", "flag2"], bound=500),
+    f"""with p as ({_PARTS.format(key="name", glue=",", rows=f"select name, concat(chr(34), iso, chr(34)) as r, row_number() over (partition by name order by iso) as n from ({_GROUPS}) g")})
+    select 'groups' as section, name, part, concat(case when part = 0 then '[' else '' end, text, case when part = max(part) over (partition by name) then ']' else '' end) as json from p
+    union all select 'places', iso, 0, concat('{{"country":"', country, '","region":"', region, '","subregion":"', subregion, '","flag":', flag, ',"flag2":', flag2, '}}') from v_site
+    union all select 'breakdown', subregion, 0, concat('{{"count":', count(*), ',"main":', count(*) filter (flag), '}}') from v_site group by subregion""",
+)
 
 # ---- 2.2 filters and predicates
 _O = "iso, cust, date_start, cases, deaths, source"
@@ -255,7 +269,13 @@ _QL = f"""{_SY}, yr as (select distinct iso, unnest(generate_series(year(first_d
  ql as (select sy.iso, coverage_percentage as coverage_pct, concat(year(first_data), '-', year(last_data)) as data_span, case when coverage_percentage < 70 then 'HIGH' when coverage_percentage < 90 then 'MEDIUM' else 'LOW' end as search_priority, coalesce(ms.m, 'None') as missing_recent_years, priority_search_periods as priority_periods from sy left join ms on sy.iso = ms.iso)"""
 _add("quick_lookup", _lookup, f"{_QL} select *, search_priority as sort_key from ql")
 _add("quick_lookup_top", lambda v: _lookup(v).orderBy("sort_key", "coverage_pct", "iso").limit(5).select("iso", "search_priority", "coverage_pct"), f"{_QL} select iso, search_priority, coverage_pct from ql order by search_priority, coverage_pct, iso limit 5")
-_add("subregion_breakdown", lambda v: M.subregion_breakdown(v.site), "select subregion, count(*) as places, string_agg(iso, ',' order by iso) as members, count(*) filter (flag) as framework from v_site group by subregion")
+_add(
+    "subregion_breakdown",
+    lambda v: M.subregion_breakdown(v.site, most=50),
+    """select subregion, cast(floor((n - 1) / 50) as bigint) as part, string_agg(iso, ',' order by iso) as members, max(places) as places, max(framework) as framework
+    from (select subregion, iso, row_number() over (partition by subregion order by iso) as n, count(*) over (partition by subregion) as places, count(*) filter (flag) over (partition by subregion) as framework from v_site) t
+    group by 1, 2""",
+)
 _add("source_quality_counts", lambda v: M.source_quality_counts(v.src), "select iso, count(*) as total, count(*) filter (reliability = 'Level_1') as level_1, count(*) filter (status = 'Active') as active from v_src group by iso")
 _add("level_distribution", lambda v: M.level_distribution(v.src), f"select {_LV} as level, count(*) as n, cast(sum(count(*)) over () as bigint) as total, round(count(*) * 100.0 / sum(count(*)) over (), 1) as pct from v_src group by 1")
 _add("weight_stats", lambda v: M.weight_stats(v.obs), "select iso, round(avg(weight), 6) as mean_weight, round(avg(cfr), 6) as mean_cfr, min(cfr) as min_cfr, max(cfr) as max_cfr from v_obs group by iso")

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.scan import FEW, ordered
+
 # Layouts of the files.
 OBSERVATIONS = "Index int, Location string, TL date, TR date, deaths long, sCh long, cCh long, CFR double, reporting_date date, source_index int, source string, confidence_weight double, processing_notes string"
 SOURCES = "Index int, Source string, URL string, Description string, Date_Range string, Data_Type string, Status string, Reliability_Level string, Validation_Status string, Search_Technique string, Language_Original string, Citation_Depth string, Cross_References string, Discovery_Method string"
@@ -86,15 +88,38 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     w.option("header", True).csv(path) if fmt == "csv" else w.format(fmt).save(path)
 
 
-def csv_payload_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """CSV text of each key's rows in order, escaped for a template literal. A key's rows make one value."""
+def in_parts(rows: DataFrame, key: str, order: list[str], text: str, glue: str, bound: int) -> DataFrame:
+    """(key, part, text) of rows(key, order.., text): the texts of a key in order, glued, as parts that join up.
+
+    Part p holds the rows whose bytes begin between p and p + 1 times `bound`, with the glue before each row but the key's
+    first; so a part has fewer than `bound` bytes and its last row. Where rows begin is a running sum over ranges of a
+    key, so no task or value holds a key whole.
+    """
+    size = F.octet_length(text) + len(glue.encode())
+    held = ordered(rows.select(key, *order, text), key, [*order, text]).numbered("__n").running("__end", size.cast("long")).done()
+    start = F.col("__end") - size
+    body = F.when(F.col("__n") > 1, F.concat(F.lit(glue), text)).otherwise(F.col(text))
+    held = held.select(key, F.floor(start / bound).cast("long").alias("part"), "__n", body.alias("__body"))
+    gathered = F.array_sort(F.collect_list(F.struct("__n", "__body")))
+    return held.groupBy(key, "part").agg(gathered.alias("__r")).select(key, "part", F.array_join(F.transform("__r", lambda r: r["__body"]), "").alias(text))
+
+
+#: Bytes of a payload's part.
+PART = 4_000_000
+
+
+def csv_payload_per_key(df: DataFrame, key: str, order: list[str], bound: int = PART) -> DataFrame:
+    """(key, part, payload): CSV text of each key's rows in order, escaped for a template literal, in numbered parts.
+
+    Part -1 is the line of names; the parts of a key, one after the other, are its whole text. A part has fewer than
+    `bound` bytes and one row.
+    """
     cols = [c for c in df.columns if c != key]
-    row = F.to_csv(F.struct(*cols))
-    x = df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order, row.alias("__row")))).alias("r"))
-    text = F.array_join(F.concat(F.array(F.lit(",".join(cols))), F.transform("r", lambda v: v["__row"])), "\n")
+    text = F.to_csv(F.struct(*cols))
     for a, b in (("\\", "\\\\"), ("`", "\\`"), ("${", "\\${")):
         text = F.replace(text, F.lit(a), F.lit(b))
-    return x.select(key, text.alias("payload"))
+    names = df.select(key).distinct().select(key, F.lit(-1).cast("long").alias("part"), F.lit(",".join(cols) + "\n").alias("payload"))
+    return names.unionByName(in_parts(df.select(key, *order, text.alias("payload")), key, order, "payload", "\n", bound))
 
 
 def json_rows(df: DataFrame, integers: list[str], doubles: list[str]) -> DataFrame:
@@ -109,16 +134,23 @@ def json_rows(df: DataFrame, integers: list[str], doubles: list[str]) -> DataFra
     return df.select(F.col(df.columns[0]).alias("key"), F.to_json(F.struct(*[typed(c) for c in df.columns])).alias("json"))
 
 
-def place_groups_json(places: DataFrame, flags: list[str], attributes: list[str], main: str | None = None) -> DataFrame:
-    """(section, name, json) of a place table with iso and subregion.
+def place_groups_json(places: DataFrame, flags: list[str], attributes: list[str], main: str | None = None, bound: int = PART) -> DataFrame:
+    """(section, name, part, json) of a place table with iso and subregion.
 
-    groups: members of `all`, of each flag and of each subregion; places: the attributes of each place;
-    breakdown: of each subregion its count, members and how many have the flag `main`. A group is one JSON value.
+    groups: members of `all`, of each flag and of each subregion, as a JSON list in parts that join up; places: the
+    attributes of each place; breakdown: of each subregion how many places it has and how many have the flag `main`, its
+    members being its group. Part 0 opens a list, and a list's last part closes it.
     """
     names = F.array(F.lit("all"), *[F.when(F.col(c), F.lit(c)) for c in flags], F.col("subregion"))
     member = places.select("iso", F.explode(F.array_compact(names)).alias("name"))
-    groups = member.groupBy("name").agg(F.to_json(F.sort_array(F.collect_list("iso"))).alias("json")).select(F.lit("groups").alias("section"), "name", "json")
-    each = places.select(F.lit("places").alias("section"), F.col("iso").alias("name"), F.to_json(F.struct(*attributes), {"ignoreNullFields": "false"}).alias("json"))
-    sums = places.groupBy("subregion").agg(F.count("*").alias("count"), F.sort_array(F.collect_list("iso")).alias("places"), F.count_if(main or flags[0]).alias("main"))
-    parts = sums.select(F.lit("breakdown").alias("section"), F.col("subregion").alias("name"), F.to_json(F.struct("count", "places", "main")).alias("json"))
-    return groups.unionByName(each).unionByName(parts)
+    quoted = member.select("name", "iso", F.regexp_replace(F.to_json(F.array("iso")), r"^\[|\]$", "").alias("json"))
+    parts = in_parts(quoted, "name", ["iso"], "json", ",", bound)
+    last = parts.groupBy("name").agg(F.max("part").alias("__last"))
+    parts = parts.join(F.broadcast(last) if last.count() <= FEW else last, "name")
+    ends = F.concat(F.when(F.col("part") == 0, "[").otherwise(""), "json", F.when(F.col("part") == F.col("__last"), "]").otherwise(""))
+    groups = parts.select(F.lit("groups").alias("section"), "name", "part", ends.alias("json"))
+    zero = F.lit(0).cast("long").alias("part")
+    each = places.select(F.lit("places").alias("section"), F.col("iso").alias("name"), zero, F.to_json(F.struct(*attributes), {"ignoreNullFields": "false"}).alias("json"))
+    sums = places.groupBy("subregion").agg(F.count("*").alias("count"), F.count_if(main or flags[0]).alias("main"))
+    counts = sums.select(F.lit("breakdown").alias("section"), F.col("subregion").alias("name"), zero, F.to_json(F.struct("count", "main")).alias("json"))
+    return groups.unionByName(each).unionByName(counts)
