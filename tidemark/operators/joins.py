@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from .periods import coverage_periods
 from .presence import dedup_first
+from .scan import cut
 
 
 def restrict_places(df: DataFrame, places: DataFrame, flag: str) -> DataFrame:
@@ -52,16 +53,62 @@ def merge_manual_notes(current: DataFrame, previous: DataFrame) -> DataFrame:
     return x.withColumn("notes", F.when(keep, F.concat("notes", F.lit(" | Manual: "), "__m")).otherwise(F.col("notes"))).drop("__m", "__old")
 
 
-def _years(df: DataFrame, tl: str, tr: str) -> DataFrame:
-    return df.withColumn("__y", F.explode(F.expr(f"sequence(year({tl}), year({tr}))")))
+#: Days of the smallest block that intervals are covered by, and rows of a block from which it is split.
+UNIT, HOT = 64, 1_000_000
 
 
-def overlap_join(a: DataFrame, b: DataFrame, key: str, at: tuple[str, str], bt: tuple[str, str]) -> DataFrame:
-    """Pairs of intervals of one key that overlap. Both are spread over years and meet by (key, year); a pair counts in
-    the year of the later start only. Column names of a and b must differ but for the key."""
-    x = _years(a, *at).alias("x").join(_years(b, *bt).alias("y"), [key, "__y"])
-    meet = (F.col(at[0]) <= F.col(bt[1])) & (F.col(bt[0]) <= F.col(at[1])) & (F.year(F.greatest(at[0], bt[0])) == F.col("__y"))
-    return x.where(meet).drop("__y")
+def _unit(day: str) -> Column:
+    return F.floor(F.unix_date(F.col(day)) / UNIT).cast("long")
+
+
+def dyadic_cover(first: Column, last: Column, levels: int) -> Column:
+    """Aligned blocks (level, number) of 2 ** level units that tile the units first..last: two a level at most."""
+
+    def at(k: Column) -> Column:
+        low, high = -F.call_function("shiftright", -first, k), F.call_function("shiftright", last + 1, k)
+        odd = lambda x: F.pmod(x, F.lit(2)) == 1
+        block = lambda when, n: F.when((low < high) & when, F.struct(k.alias("level"), n.alias("block")))
+        return F.array_compact(F.array(block(odd(low), low), block(odd(high), high - 1)))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), at))
+
+
+def _blocks_of(unit: Column, levels: int) -> Column:
+    """The block of each level that holds a unit."""
+    return F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), lambda k: F.struct(k.alias("level"), F.call_function("shiftright", unit, k).alias("block")))
+
+
+def _stabbed(intervals: DataFrame, points: DataFrame, key: str, at: tuple[str, str], day: str, levels: int, hot: int) -> DataFrame:
+    """Pairs of an interval and a row whose day lies in it. They meet in the one block of the interval's cover that holds
+    the day. Where a block has very many rows of points, these are split, and the intervals that it covers are repeated."""
+    cell = [key, "__level", "__block"]
+    named = lambda df, c: df.withColumn("__c", F.explode(c)).withColumns({"__level": F.col("__c.level"), "__block": F.col("__c.block")}).drop("__c")
+    x = named(intervals, dyadic_cover(_unit(at[0]), _unit(at[1]), levels))
+    y = named(points, _blocks_of(_unit(day), levels))
+    large = cut(y.groupBy(*cell).count().where(F.col("count") > hot).withColumn("__parts", F.ceil(F.col("count") / hot).cast("int")).drop("count"))
+    if not large.isEmpty():  # each has over `hot` rows, so they are few
+        x, y = x.join(F.broadcast(large), cell, "left"), y.join(F.broadcast(large), cell, "left")
+        parts = F.coalesce("__parts", F.lit(1))
+        x = x.withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+        y = y.withColumn("__salt", F.pmod(F.xxhash64(*points.columns), parts).cast("int")).drop("__parts")
+        cell = [*cell, "__salt"]
+    return x.join(y, cell).where(F.col(day).between(F.col(at[0]), F.col(at[1]))).drop("__level", "__block", "__salt")
+
+
+def overlap_join(a: DataFrame, b: DataFrame, key: str, at: tuple[str, str], bt: tuple[str, str], hot: int = HOT) -> DataFrame:
+    """Pairs of intervals of one key that overlap, each once. Column names of a and b must differ but for the key.
+
+    Of two that overlap, one holds the other's start: a holds b's, or b holds a's and starts before it. An interval is
+    covered by blocks of days, a few for each doubling of its length, and a start is sought in the block of each length.
+    Intervals without a key or an end, or that end before they start, overlap nothing.
+    """
+    valid = lambda df, t: df.where(F.col(key).isNotNull() & (F.col(t[0]) <= F.col(t[1])))
+    a, b = valid(a, at), valid(b, bt)
+    long = [df.agg(F.max(_unit(t[1]) - _unit(t[0]))).first()[0] or 0 for df, t in ((a, at), (b, bt))]
+    out = [key, *[c for c in a.columns if c != key], *[c for c in b.columns if c != key]]
+    one = _stabbed(a, b, key, at, bt[0], (long[0] + 1).bit_length() + 1, hot)
+    two = _stabbed(b, a, key, bt, at[0], (long[1] + 1).bit_length() + 1, hot).where(F.col(bt[0]) < F.col(at[0]))
+    return one.select(*out).unionByName(two.select(*out))
 
 
 def gap_fill(gaps: DataFrame, intervals: DataFrame) -> DataFrame:

@@ -104,8 +104,18 @@ def validation_funnel(obs: DataFrame) -> DataFrame:
 
 
 def domain_tier(src: DataFrame, tiers: DataFrame) -> DataFrame:
-    """Tier of each URL's host; tiers(host, tier) is a short list."""
-    return src.withColumn("host", F.lower(F.try_parse_url("url", F.lit("HOST")))).join(tiers, "host", "left").withColumn("tier", F.coalesce("tier", F.lit(0)))
+    """src with host and tier: that of the longest domain in tiers(host, tier) that the URL's host is or lies in, else 0.
+
+    A host stands for its domains, from its last label up: `apps.who.int` is also in `who.int`, `notwho.int` isn't. Hosts
+    are sought once each, however often they occur; case and a dot at the end don't count.
+    """
+    x = src.withColumn("host", F.rtrim(F.lower(F.try_parse_url("url", F.lit("HOST"))), F.lit(".")))
+    labels = F.split("host", r"\.")
+    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.struct(F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("domain"), (-i).alias("labels")))
+    known = tiers.select(F.lower("host").alias("domain"), F.col("tier").alias("__tier"))
+    each = x.select("host").where("host is not null").distinct().withColumn("d", F.explode(domains)).select("host", "d.*")
+    best = each.join(known, "domain").groupBy("host").agg(F.max_by("__tier", F.struct("labels", "__tier")).alias("tier"))
+    return x.join(best, "host", "left").withColumn("tier", F.coalesce("tier", F.lit(0)))
 
 
 def index_sequence_gaps(df: DataFrame, key: str = "iso", index: str = "idx") -> DataFrame:

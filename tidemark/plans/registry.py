@@ -387,7 +387,20 @@ _add("location_format", lambda v: Q.location_format(v.obs).select("idx", "good_l
 _add("duplicates", lambda v: Q.duplicates(v.obs), "with w as (select location, tl, tr, count(*) as rows, count(distinct source) as sources, count(distinct scases) as counts from v_obs group by 1, 2, 3 having count(*) > 1), e as (select location, tl, tr, source, count(*) as n from v_obs group by 1, 2, 3, 4) select e.*, w.rows, w.sources, w.counts, e.n > 1 as exact, w.counts > 1 as conflict from e join w on e.location is not distinct from w.location and e.tl is not distinct from w.tl and e.tr is not distinct from w.tr")
 _add("has_quantity", lambda v: Q.has_quantity(v.obs).select("idx", "has_quantity"), "select idx, coalesce(scases, deaths, ccases) is not null as has_quantity from v_obs")
 _add("validation_funnel", lambda v: Q.validation_funnel(v.obs), f"select count(*) as n, count(*) filter (not ends_late and not reported_early) as dates, count(*) filter (not too_deadly and not negative) as quantities, count(*) filter (not cfr_odd) as cfr, count(*) filter (good_location) as form, count(*) filter (not ends_late and not reported_early and not too_deadly and not negative and not cfr_odd and good_location) as passed, round(count(*) filter (not ends_late and not reported_early and not too_deadly and not negative and not cfr_odd and good_location) * 100.0 / count(*), 1) as pass_pct from (select {_DL}, {_CL}, {_CF}, {_LF} from v_obs) t")
-_add("domain_tier", lambda v: Q.domain_tier(v.src, v.spark.createDataFrame([("www.site1.org", 1), ("www.site2.org", 2)], "host string, tier int")).select("idx", "host", "tier"), "select idx, concat('www.site', idx % 5, '.org') as host, case idx % 5 when 1 then 1 when 2 then 2 else 0 end as tier from v_src")
+_TIERS = [("site1.org", 1), ("www.site1.org", 4), ("WWW.site2.org", 2), ("site3.org", 3), ("c.site3.org", 5), ("te4.org", 6)]
+_HOSTS = "select idx, concat(case idx % 4 when 0 then '' when 1 then 'www.' when 2 then 'apps.' else 'b.c.' end, 'site', idx % 5, '.org') as host from v_src"
+
+
+def _tiers(v: Views):
+    """The sources of places under hosts of one to four labels, and a short list of domains."""
+    lead = F.element_at(F.array(F.lit("https://"), F.lit("https://WWW."), F.lit("http://apps."), F.lit("https://b.c.")), (F.col("idx") % 4 + 1).cast("int"))
+    src = v.src.withColumn("url", F.concat(lead, F.lit("Site"), F.col("idx") % 5, F.lit(".org/x?y=www.site1.org")))
+    return Q.domain_tier(src, v.spark.createDataFrame(_TIERS, "host string, tier int")).select("idx", "host", "tier")
+
+
+_add("domain_tier", _tiers, f"""with h as ({_HOSTS}), t(domain, tier) as (values {", ".join(f"('{d.lower()}', {t})" for d, t in _TIERS)}),
+ m as (select idx, tier, row_number() over (partition by idx order by length(domain) desc) as n from h join t on host = domain or ends_with(host, concat('.', domain)))
+ select h.idx, h.host, coalesce(m.tier, 0) as tier from h left join (select * from m where n = 1) m on m.idx = h.idx""")
 
 # ---- 2.10 logs
 _add("agent_status", lambda v: L.agent_status(v.log, ("the",), 4).groupBy("iso", "agent", "status").agg(F.count("*").alias("n")), "select iso, agent, case when contains(content, 'the') and len(string_split(trim(content), chr(10))) <= 4 then 'initialized' else 'completed' end as status, count(*) as n from v_log group by 1, 2, 3")
