@@ -37,6 +37,7 @@ SALT = 8
 
 _tag = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>", re.S)
 _attribute = re.compile(r"(class|id|role|style|hidden|aria-hidden|aria-label)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_form_end, _main, _paragraph = re.compile(r"</form\b", re.I), re.compile(r"<(?:article|main)\b", re.I), re.compile(r"<p\b", re.I)
 _parts = re.compile(r"[a-z]+|[A-Z][a-z]*")
 # Element names of HTML and names that surroundings go by.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,16 +53,34 @@ NAMES = frozenset(
     "footer sidebar aside widget cookie cookies consent gdpr notice notices notification banner popup modal overlay newsletter subscribe subscription signup "
     "login related recommended recommendations share sharing social comment comments commentlist disqus respond replies pagination pager toolbar skip".split()
 )
+# Names of an article's own head; they end like a page's header but stay.
+HEADS = frozenset("page entry article post content section story chapter".split())
+# Parts of names that say nothing of their own as the first part: what they stand for may be an article's topic.
+TOPICS = frozenset("social related share sharing header login notice notices skip recommended comment respond widget".split())
 # Whole class and id names that also go inside an article; there, a mere part of a name says nothing.
 WITHIN = frozenset(
     "ad ads adv advert adverts advertisement advertising ad-slot ad-unit ad-container ad-wrapper adsbygoogle sponsored promo newsletter newsletter-signup subscribe "
     "share sharing share-buttons share-bar share-links social-share social-buttons social-links sharedaddy related-posts related-articles "
     "comments comment-list commentlist comment-form comment-respond comments-area disqus_thread respond cookie-notice cookie-banner breadcrumb breadcrumbs pagination".split()
 )
+# Inside an article block elements also go by the last part of their name, or by the first if the last one says box.
+LAST = frozenset("comments comment commentlist sidebar ad ads advert adverts advertisement newsletter promo".split())
+FIRST = frozenset("ad ads advert adverts advertisement promo sponsor sponsored newsletter comments comment cookie".split())
+BOXES = frozenset("banner box slot unit container wrapper wrap block area signup form widget panel space frame section list thread".split())
 _P_ENDS = BLOCK - {"li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html"}
 _SAME = {"li": ("ul", "ol", "menu"), "dd": ("dl",), "dt": ("dl",), "td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table",), "option": ("select",)}
 
 
+def _wraps(page: str, at: int) -> bool:
+    """Whether the form that opened before `at` stands around the page's article, or around most of its paragraphs."""
+    shut = _form_end.search(page, at)
+    inside = page[at : shut.start() if shut else len(page)]
+    if _main.search(inside):
+        return True
+    held = len(_paragraph.findall(inside))
+    return held >= 3 and 2 * held > len(_paragraph.findall(page))
+
+
 def _away(name: str, attributes: str, in_main: bool) -> bool:
     """Whether an element is part of a page's surroundings."""
     if name in AWAY and not (name == "header" and in_main):
@@ -79,8 +98,14 @@ def _away(name: str, attributes: str, in_main: bool) -> bool:
         if key in ("class", "id"):
             for token in value.split():
                 words = [w.lower() for w in _parts.findall(token)]
-                if token.lower() in WITHIN or not in_main and words and (words[0] in NAMES or words[-1] in NAMES):
+                if token.lower() in WITHIN:
                     return True
+                if in_main:
+                    if name in BLOCK and words and (words[-1] in LAST or words[0] in FIRST and words[-1] in BOXES):
+                        return True
+                elif words and not (words[-1] == "header" and words[0] in HEADS):
+                    if words[-1] in NAMES or words[0] in NAMES and not (len(words) > 1 and words[0] in TOPICS and words[-1] not in BOXES):
+                        return True
     return False
 
 
@@ -146,7 +171,8 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
             buffer.append(" " if name != "wbr" else "")
         if name not in VOID:
             away, main = stack[-1][1:] if stack else (False, False)
-            stack.append((name, away or _away(name, attributes, main), main or name in ("article", "main")))
+            wraps = name == "form" and _wraps(page, at)
+            stack.append((name, away or not wraps and _away(name, attributes, main), main or name in ("article", "main")))
             # inline elements only matter if they are surroundings
             if name not in BLOCK and not stack[-1][1]:
                 stack.pop()
@@ -193,9 +219,9 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
     """pages with `text`, the main text, instead of the html."""
     small_batches(pages)
     kept = [f for f in pages.schema.fields if f.name not in (page, "text")]
-    names = [f.name for f in kept]
+    names = [f"__c{i}" for i in range(len(kept))]
     host = F.coalesce(F.lower(F.regexp_extract(F.col(f"`{url}`"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
-    rows = pages.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{page}`").alias("__html"), host.alias("__host"))
+    rows = pages.select(*[F.col(f"`{f.name}`").alias(n) for f, n in zip(kept, names, strict=True)], F.col(f"`{page}`").alias("__html"), host.alias("__host"))
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,11 +245,12 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
             text = [main_text(t, np.array(r, np.int64) if r else none) if t else "" for t, r in zip(html_, runs_, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), pa.array(text, pa.string())], [*names, "text"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["text string"])
+    schema = ", ".join([f"{n} {f.dataType.simpleString()}" for f, n in zip(kept, names, strict=True)] + ["text string"])
+    told = [*[F.col(n).alias(f.name) for f, n in zip(kept, names, strict=True)], "text"]
     columns = [F.col(f"`{n}`") for n in [*names, "__html"]]
     no_runs = F.lit(None).cast("array<long>").alias("__runs")
     if held.isEmpty():  # structure decides every block of every page: no page needs an exchange
-        return rows.select(*columns, no_runs).mapInArrow(finish, schema)
+        return rows.select(*columns, no_runs).mapInArrow(finish, schema).select(*told)
     need = held.groupBy("host").agg(F.greatest(F.lit(PAGES), F.ceil(F.count_distinct("page") * SHARE)).alias("need"))
     often = held.groupBy("host", "run").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES).join(need, "host").where("n >= need")
     marks = held.join(often.select("host", "run"), ["host", "run"]).groupBy("host", "page").agg(F.collect_list("run").alias("__runs"))
@@ -231,4 +258,4 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
     salted = rows.where("__html is not null").withColumns({"__page": F.xxhash64("__html"), "__salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALT)).cast("int")})
     marked = salted.join(marks.withColumnsRenamed({"host": "__host", "page": "__page"}), ["__host", "__page", "__salt"], "left")
     both = marked.select(*columns, "__runs").unionAll(rows.where("__html is null").select(*columns, no_runs))
-    return both.mapInArrow(finish, schema)
+    return both.mapInArrow(finish, schema).select(*told)
