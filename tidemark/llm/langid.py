@@ -120,20 +120,25 @@ def held_out(doc_id: F.Column) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+#: Rows that teach at most, in all languages: about 16 KB each in the driver.
+ROWS = 30_000
+
+
 def fit(docs: DataFrame, per_language: int = 300, most: int = 1000, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Hierarchy | None:
     """Fit on at most per_language labelled rows a language that aren't held out; None without any.
 
     Rows are chosen by a hash of doc_id and text; rows that repeat both count once. Each teaches its whole text and, so
-    that short texts are known as well, an excerpt of 80 characters from its middle. More than `most` languages raise:
-    2 * per_language * most feature rows are what the driver gets at most.
+    that short texts are known as well, an excerpt of 80 characters from its middle. More than `most` languages raise;
+    where there are so many that ROWS would be exceeded, each teaches ROWS / languages rows.
     """
     rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{doc_id}`").alias("id"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("id")))
     rows = rows.withColumn("h", F.xxhash64(F.lit(17), "id", "text"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    sized = cut(counts)
-    if sized.count() > most:
+    sized = cut(rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")))  # different rows, however often they repeat
+    languages = sized.count()
+    if languages > most:
         raise ValueError(f"more than {most} languages are labelled")
+    per_language = min(per_language, ROWS // max(1, languages))
     # about four times what is asked of each language passes, in every partition alike; the rank is exact among these
     share = F.col("h") / F.lit(2.0**64) + 0.5
     some = rows.join(F.broadcast(sized), "lang").where(share < F.lit(4.0 * per_language) / F.col("n"))  # `most` rows
@@ -157,7 +162,7 @@ def identify(docs: DataFrame, model: Hierarchy | None, text: str = "text") -> Da
     small_batches(docs)
     kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [f.name for f in kept]
+    names = [f"__c{i}" for i in range(len(kept))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -174,5 +179,6 @@ def identify(docs: DataFrame, model: Hierarchy | None, text: str = "text") -> Da
             arrays = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(lang, pa.string()), pa.array(score)], [*names, "lang_pred", "score"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["lang_pred string", "score double"])
-    return docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
+    schema = ", ".join([f"{n} {f.dataType.simpleString()}" for f, n in zip(kept, names, strict=True)] + ["lang_pred string", "score double"])
+    found = docs.select(*[F.col(f"`{f.name}`").alias(n) for f, n in zip(kept, names, strict=True)], F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
+    return found.select(*[F.col(n).alias(f.name) for f, n in zip(kept, names, strict=True)], "lang_pred", "score")
