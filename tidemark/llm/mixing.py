@@ -108,9 +108,9 @@ def mix_sources(
     made = ("size", "source_size", "target", "rate", "copies", "taken", "miss")
     kept = {f"__c{i}": c for i, c in enumerate(docs.columns) if c != text and c not in made}
     size = F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long")
-    held = docs.select(*[F.col(f"`{c}`").alias(n) for n, c in kept.items()], F.col(f"`{source}`").alias("__source"), F.col(f"`{doc_id}`").alias("__id"), size.alias("__size"))
+    held = docs.select(*[F.col(f"`{c}`").alias(n) for n, c in kept.items()], F.col(f"`{source}`").alias("__source"), F.col(f"`{doc_id}`").alias("__id"), size.alias("__size"), F.xxhash64(F.col(f"`{text}`")).alias("__text"))
     salts_ = max(SALT, -(-docs.count() // PART))
-    held = cut(held.withColumn("__salt", F.pmod(F.xxhash64("__id"), F.lit(salts_)).cast("int")))
+    held = cut(held.withColumn("__salt", F.pmod(F.xxhash64("__id", "__text"), F.lit(salts_)).cast("int")))  # null and repeated ids part by their texts
     sizes = cut(held.groupBy(F.col("__source").alias("source"), F.col("__size").alias("size")).agg(F.count("*").alias("rows")))
     per = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.sum("rows").alias("docs"))
     goals = targets(per, weights, share, most).join(per.select(F.col("source").alias("s"), "docs"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -125,7 +125,7 @@ def mix_sources(
     salts = salts.withColumn("skip", F.coalesce(F.sum("n").over(prior), F.lit(0)))
     plan = salts.join(rated, F.col("__source").eqNullSafe(F.col("source")) & (F.col("__size") == F.col("size")))
     plan = plan.select(F.col("__source").alias("s"), "size", F.col("__salt").alias("salt"), "skip", "source_size", "target", "rate", "before")
-    rank = Window.partitionBy("__source", "__size", "__salt").orderBy("__id")
+    rank = Window.partitionBy("__source", "__size", "__salt").orderBy("__id", "__text")
     ranked = held.withColumn("__k", F.row_number().over(rank))
     j = ranked.join(plan, F.col("__source").eqNullSafe(F.col("s")) & (F.col("__size") == F.col("size")) & (F.col("__salt") == F.col("salt")))
     end = F.col("before") + (F.col("skip") + F.col("__k")) * F.col("rate")
