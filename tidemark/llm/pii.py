@@ -66,7 +66,9 @@ ANY = "|".join(
     f"{where}(?:" + "|".join(f"(?:{p})" for p in patterns) + ")"
     for where, patterns in ((r"(?<![A-Za-z0-9])(?=\p{L})", (EMAIL, IPV6, IBAN, SECRET, NAME, SEQUENCE)), ("(?=[0-9+(])", (EMAIL, IP, IPV6, CARD, SSN, PHONE, SECRET)), ("(?=[/_-])", (SECRET,)))
 )
-_ROUNDS = 30
+#: Attempts from which a surrogate grows by a character each, as its format may be full.
+GROW = 4
+_ROUNDS = 60
 _MARK = "\u0001"
 #: Parts into which copies of one text are dealt where texts meet their surrogates.
 SALT = 8
@@ -136,6 +138,27 @@ def _luhn(digits: F.Column) -> F.Column:
     return F.aggregate(d, F.lit(0), lambda a, x: a + x) % 10
 
 
+def _mod97(account: F.Column) -> F.Column:
+    """An IBAN's number modulo 97, its first four characters moved to the end: 1 if its check digits are right."""
+
+    def step(a: F.Column, c: F.Column) -> F.Column:
+        return F.when(c.rlike("[0-9]"), (a * 10 + c.try_cast("int")) % 97).when(c.rlike("[A-Z]"), (a * 100 + F.ascii(c) - 55) % 97).otherwise(a)
+
+    turned = F.concat(F.substr(account, F.lit(5)), F.substring(account, 1, 4))
+    return F.aggregate(F.split(F.upper(turned), ""), F.lit(0), step)
+
+
+def _grown(k: F.Column, surrogate: F.Column, attempt: F.Column, seed: F.Column) -> F.Column:
+    """A surrogate of a format that is full: letters before an address's @, a group after an IPv6 address, else digits
+    at the end. Names grow by syllables, and IPv4 addresses are too many to fill."""
+    more = F.sequence(F.lit(GROW), F.greatest(attempt, F.lit(GROW)))
+    letters = F.array_join(F.transform(more, lambda i: F.char(_pick(seed, i + 1000, 26) + 97)), "")
+    digits = F.array_join(F.transform(more, lambda i: _pick(seed, i + 1000, 10).cast("string")), "")
+    group = F.concat(F.lit(":"), F.lower(F.hex(_pick(seed, F.lit(2000), 61440) + 4096)))
+    longer = F.when(k == "email", F.regexp_replace(surrogate, F.lit("@"), F.concat(letters, F.lit("@")))).when(k == "ipv6", F.concat(surrogate, group)).otherwise(F.concat(surrogate, digits))
+    return F.when((attempt >= GROW) & ~k.isin("name", "ip"), longer).otherwise(surrogate)
+
+
 def _word(norm: F.Column, gender: F.Column, seed: F.Column, attempt: F.Column) -> F.Column:
     """Syllables of the word's script, more of them with each attempt; given names end by gender."""
 
@@ -166,6 +189,7 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
     x = entities.withColumn("alike", alike).withColumn("card0", card)
     fixed = F.when(_luhn(F.col("norm")) == 0, F.concat(body, check)).otherwise(F.col("card0"))
     x = x.withColumn("surrogate", F.when(F.col("kind") == "card", fixed).otherwise(other))
+    seed = F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", "norm", F.col("attempt").cast("string")), 256)
     domain = F.regexp_extract("norm", r"@(.*)$", 1)
     shown = F.regexp_extract("surrogate", r"^(.*)@", 1)
     # reserved example domains say nothing of a person and stay
@@ -173,6 +197,12 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
                      .when(F.col("kind") == "email", F.concat(F.regexp_extract("surrogate", r"^(.*)\.[^.]*$", 1), F.lit("."), F.regexp_extract("norm", r"([^.]*)$", 1)))
                      .when(F.col("kind") == "iban", F.concat(F.substring("norm", 1, 2), F.expr("substring(surrogate, 3)")))
                      .when(F.col("kind") == "phone", F.concat(F.expr("substring(norm, 1, lead)"), F.expr("substring(surrogate, lead + 1)"))).otherwise(F.col("surrogate")))
+    x = x.withColumn("surrogate", _grown(F.col("kind"), F.col("surrogate"), F.col("attempt"), seed))
+    # an account whose check digits are right gets right ones
+    bare = F.concat(F.substring("surrogate", 1, 2), F.lit("00"), F.expr("substring(surrogate, 5)"))
+    digits = F.lpad((F.lit(98) - _mod97(bare)).cast("string"), 2, "0")
+    account = F.concat(F.substring("surrogate", 1, 2), digits, F.expr("substring(surrogate, 5)"))
+    x = x.withColumn("surrogate", F.when((F.col("kind") == "iban") & (_mod97(F.col("norm")) == 1), account).otherwise(F.col("surrogate")))
     return x.select("kind", "norm", "gender", "lead", "attempt", "surrogate")
 
 
@@ -195,15 +225,16 @@ def dictionary(entities: DataFrame, key: str) -> DataFrame:
 
 
 def _render(raw: F.Column, surrogate: F.Column) -> tuple[F.Column, F.Column]:
-    """The surrogate in the mention's own format: its separators, or its letter case."""
+    """The surrogate in the mention's own format: its separators, or its letter case. What it is longer follows."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
 
     def fill(a: F.Column, c: F.Column) -> F.Column:
         hit = c.rlike("[A-Z0-9]")
         return F.struct(F.concat(a["out"], F.when(hit, F.substring(surrogate, a["at"], F.lit(1))).otherwise(c)).alias("out"), F.when(hit, a["at"] + 1).otherwise(a["at"]).alias("at"))
 
-    filled = F.aggregate(F.split(raw, ""), start, fill, lambda a: a["out"])
+    filled = F.aggregate(F.split(raw, ""), start, fill, lambda a: F.concat(a["out"], F.substr(surrogate, a["at"])))
     cased = F.array_join(F.transform(F.split(raw, ""), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substring(surrogate, i + 1, F.lit(1)))).otherwise(F.substring(surrogate, i + 1, F.lit(1)))), "")
+    cased = F.concat(cased, F.substr(surrogate, F.length(raw) + 1))
     return filled, cased
 
 
