@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, langid, mixing, pii
+from tidemark.llm import html_text, langid, mixing, pii, sharding
 
 CLASH = "doc_id long, text string, lang string, source string, __text string, __c0 string, __input long, __size long"
 
@@ -105,3 +105,24 @@ def test_rows_without_ids_part_by_their_texts(spark):
     assert got.count() == 601 and got.where("source = 's'").agg(F.sum("taken")).first()[0] > 0
     again = mixing.mix_sources(df.repartition(5))
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, again.collect()), key=repr)
+
+
+def test_shards_keep_columns_of_their_own_names(spark):
+    df = spark.createDataFrame([(i, 10 + i % 7, 777, i * 3, "x", 5) for i in range(500)], "doc_id long, size long, __part int, __rank int, __at string, __c0 long")
+    got = sharding.histogram_sort(df, "doc_id", "size", 4).collect()
+    assert len(got) == 500 and all((r["__part"], r["__rank"], r["__at"], r["__c0"]) == (777, r.doc_id * 3, "x", 5) for r in got)
+    assert sorted((r.shard, r.slot) for r in got) == [(s, k) for s in range(4) for k in range(sum(r.shard == s for r in got))]
+
+
+def test_rows_larger_than_the_tolerance_end_the_refining(spark, monkeypatch):
+    """Independent splitters: whole rows in order of key, cut where the bytes below are nearest to each share."""
+    sizes = [(i, 1000 + i * 37 % 900) for i in range(300)]
+    df = spark.createDataFrame(sizes, "doc_id long, size long")
+    got = {r.doc_id: r.shard for r in sharding.histogram_sort(df, "doc_id", "size", 8).collect()}
+    total, below, cuts = sum(z for _, z in sizes), [0], []
+    for _, z in sizes:
+        below.append(below[-1] + z)
+    for k in range(1, 8):
+        goal = total * k / 8
+        cuts.append(min(range(len(below)), key=lambda j: (abs(below[j] - goal), j)))
+    assert [got[i] for i, _ in sizes] == [sum(c <= j for c in cuts) for j in range(300)]

@@ -23,8 +23,9 @@ from pyspark.sql.window import Window
 from .common import cut
 
 CELLS = 128
-#: Ranges of a shard, each numbered by a task of its own; their edges come from histograms too.
-RANGES = 16
+#: Ranges of a shard, each numbered by a task of its own; their edges come from histograms too. There are more where a
+#: range would hold more than RANGE_BYTES, up to MOST, as the driver gets counts of cells of each.
+RANGES, MOST, RANGE_BYTES = 16, 256, 256_000_000
 _LOWEST = -(2**63)
 #: A row's place in the order is one number of 104 bits: its key, 24 bits of a hash of the row and 16 bits that tell
 #: equal rows apart.
@@ -46,7 +47,7 @@ def splitters(df: DataFrame, at: str, size: str, parts: int, groups: int = 1, gr
 
     Each round counts the exact bytes in at most groups * parts * CELLS cells between the probes, and narrows each
     splitter's bracket to one cell; the driver gets these counts only. tolerance: of a part's ideal bytes; a cell that
-    holds less, or a single place, is not refined further.
+    holds less, or a single row or place, is not refined further.
     """
     group = F.lit(0) if group is None else group
     df = df.select(F.col(at).alias("at"), F.col(size).alias("bytes"), group.cast("int").alias("g"))
@@ -61,8 +62,9 @@ def splitters(df: DataFrame, at: str, size: str, parts: int, groups: int = 1, gr
         i = _at_or_below(F.col("at"), F.get(_numbers([[a for a, _ in o] for o in open_]), F.col("g"))) - 1
         x = df.withColumn("i", i).where("i >= 0").withColumns({"low": pick([[a for a, _ in o] for o in open_], F.col("i")), "high": pick([[b for _, b in o] for o in open_], F.col("i")), "w": pick(width, F.col("i"))})
         cell = F.floor((F.col("at") - F.col("low")) / F.col("w")).cast("int")
-        counted = x.where("at <= high").groupBy("g", "i", F.least(cell, F.lit(CELLS - 1)).alias("cell")).agg(F.sum("bytes").alias("n")).collect()
+        counted = x.where("at <= high").groupBy("g", "i", F.least(cell, F.lit(CELLS - 1)).alias("cell")).agg(F.sum("bytes").alias("n"), F.count("*").alias("rows")).collect()
         cells = {(r["g"], r["i"], r["cell"]): int(r["n"]) for r in counted}
+        rows = {(r["g"], r["i"], r["cell"]): r["rows"] for r in counted}
         left: dict = {}
         for (g, k), (a, b, below) in state.items():
             total = ends[g][2]
@@ -72,7 +74,7 @@ def splitters(df: DataFrame, at: str, size: str, parts: int, groups: int = 1, gr
                 below += cells.get((g, j, c), 0)
                 c += 1
             held, low, high = cells.get((g, j, c), 0), a + c * w, min(b, a + (c + 1) * w - 1)
-            if low == high or held <= tolerance * total / parts:
+            if low == high or rows.get((g, j, c), 0) <= 1 or held <= tolerance * total / parts:
                 done[g, k] = low if goal - below <= below + held - goal else high + 1
             else:
                 left[g, k] = (low, high, below)
@@ -83,20 +85,22 @@ def splitters(df: DataFrame, at: str, size: str, parts: int, groups: int = 1, gr
 def histogram_sort(df: DataFrame, key: str, size: str, shards: int = 16, tolerance: float = 1e-4) -> DataFrame:
     """df with shard (0 .. shards-1, contiguous in key) and slot (gapless from 0 within a shard, in key order)."""
     own = [c for c in df.columns if c not in ("shard", "slot")]
-    cols = [F.col(f"`{c}`") for c in own]
+    cols = [F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(own)]
     high = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(_LOWEST)).cast("decimal(20,0)") - F.lit(_LOWEST).cast("decimal(20,0)")
-    low = F.pmod(F.xxhash64(*cols), F.lit(_HASH)) * _SALT + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(_SALT))
+    low = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in own]), F.lit(_HASH)) * _SALT + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(_SALT))
     at = (high.cast("decimal(21,0)") * F.lit(_HASH * _SALT).cast("decimal(14,0)")).cast(_WIDE) + low.cast("decimal(14,0)").cast(_WIDE)
     held = cut(df.select(*cols, at.cast(_WIDE).alias("__at"), F.coalesce(F.col(f"`{size}`").cast("long"), F.lit(0)).alias("__bytes")))
     edges = splitters(held, "__at", "__bytes", shards, tolerance=tolerance)
     shard = _at_or_below(F.col("__at"), F.get(_numbers([sorted(edges[0])]), F.lit(0)))
     dealt = held.withColumn("__shard", shard)
-    ranges = splitters(dealt, "__at", "__bytes", RANGES, shards, F.col("__shard"), 0.1)
-    part = F.col("__shard") * RANGES + _at_or_below(F.col("__at"), F.get(_numbers([sorted(r) for r in ranges]), F.col("__shard")))
+    total = held.agg(F.sum("__bytes")).first()[0] or 0
+    n = max(RANGES, min(MOST, -(-int(total) // shards // RANGE_BYTES)))
+    ranges = splitters(dealt, "__at", "__bytes", n, shards, F.col("__shard"), 0.1)
+    part = F.col("__shard") * n + _at_or_below(F.col("__at"), F.get(_numbers([sorted(r) for r in ranges]), F.col("__shard")))
     dealt = dealt.withColumn("__part", part)
-    count = dealt.groupBy("__part").agg(F.count("*").alias("__n"))  # shards * RANGES rows at most
-    before = Window.partitionBy(F.floor(F.col("__part") / RANGES)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    count = dealt.groupBy("__part").agg(F.count("*").alias("__n"))  # shards * MOST rows at most
+    before = Window.partitionBy(F.floor(F.col("__part") / n)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offset = count.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     ranked = dealt.withColumn("__rank", F.row_number().over(Window.partitionBy("__part").orderBy("__at")))
     numbered = ranked.join(F.broadcast(offset), "__part")
-    return numbered.select(*cols, F.col("__shard").cast("int").alias("shard"), (F.col("__before") + F.col("__rank") - 1).cast("long").alias("slot"))
+    return numbered.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(own)], F.col("__shard").cast("int").alias("shard"), (F.col("__before") + F.col("__rank") - 1).cast("long").alias("slot"))
