@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..streaming.jobs import scratch
+from ..folders import scratch
 
 #: Ranges that are broadcast with what came before them (about 32 MB); more are joined by exchange.
 FEW = 500_000

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..folders import scratch
 from ..operators import joins, logs, metrics
 from ..sources import io
-from ..streaming.jobs import scratch
 from .views import Views
 
 DATA = ["Index", "Location", "TL", "TR", "deaths", "sCh", "cCh", "CFR", "reporting_date", "source_index", "source", "confidence_weight", "processing_notes"]

@@ -12,7 +12,6 @@ its folder. What lies before a bucket's last base may be deleted at any time.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -22,6 +21,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
+from ..folders import scratch
 from ..operators import joins
 from . import runs
 
@@ -31,16 +31,6 @@ BUCKETS, SHARE = 16, 0.5
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared one of the cluster; a local one only where none is set and Spark runs locally."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        base = "/tmp/spark-scratch"
-    return f"{base}/{uuid.uuid4().hex}"
-
-
 def _append(df: DataFrame, at: str | None = None) -> DataFrame:
     at = at or scratch(df.sparkSession)
     df.writeStream.outputMode("append").option("checkpointLocation", f"{at}/check").trigger(availableNow=True).start(f"{at}/out", format="parquet").awaitTermination()
