@@ -16,13 +16,13 @@ from tests.oracle import connect, same
 from tidemark.llm import merkle, queries, secret_scan, token_align
 
 SF, SF2 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, __k string, leaf string, __at long, groups string, kind string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, __k string, leaf string, __at long, groups string, kind string, n_best long, base string, __all string"
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def docs(spark, rows):
     """rows of (doc_id, text, source); more columns with clashing names."""
-    return spark.createDataFrame([(i, t, None, s, None, "k", "l", 7, "g", "x") for i, t, s in rows], DOCS)
+    return spark.createDataFrame([(i, t, None, s, None, "k", "l", 7, "g", "x", 8, "b", "a") for i, t, s in rows], DOCS)
 
 
 @pytest.fixture(scope="module")
@@ -255,7 +255,7 @@ def test_owners_decide_on_bare_strings(spark):
 
 
 def test_secrets_odd_rows(odd, empty):
-    got = secret_scan.spans(*secret_scan.scan(odd.drop("__at"))).collect()
+    got = secret_scan.spans(*secret_scan.scan(odd)).collect()
     assert len(got) == 9 and sorted(r.n_assign for r in got) == [0] * 7 + [5000] * 2
     assert all(r.spans == "" for r in got if r.doc_id in (1, 2, 3, 6, None))
-    assert secret_scan.spans(*secret_scan.scan(empty.drop("__at"))).count() == 0
+    assert secret_scan.spans(*secret_scan.scan(empty)).count() == 0

@@ -43,6 +43,8 @@ _TURN = r"[a-z][A-Z0-9]|[A-Z][a-z0-9]|[0-9][A-Za-z]"
 OWNERS = 2
 #: Parts that the rows of one hash are dealt to when verdicts are joined.
 SALTS = 16
+#: Columns that results have of their own; those of the input that are named so are left out.
+ADDED = ("__at", "__all", *[f"n_{k.name}" for k in BASE], "base", "spans")
 
 
 def random_looking(v: Column) -> Column:
@@ -79,10 +81,10 @@ def candidates(docs: DataFrame, text: str = "text", owner: str = "source", repos
     kinds = (*BASE, BARE)
     names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
     renamed = docs.toDF(*names.values())
+    own = {c: n for c, n in names.items() if c not in (text, *ADDED)}
     body = F.coalesce(F.col(names[text]).cast("string"), F.lit(""))
     held = F.col(names[owner]).cast("string").alias("__owner"), F.col(names[repository]).cast("string").alias("__repository")
-    kept = [n for c, n in names.items() if c != text]
-    rows = cut(renamed.select(*kept, *held, *[_found(body, k, i).alias(f"__k{i}") for i, k in enumerate(kinds)]))
+    rows = cut(renamed.select(*own.values(), *held, *[_found(body, k, i).alias(f"__k{i}") for i, k in enumerate(kinds)]))
     rows = rows.withColumn("__at", F.monotonically_increasing_id())
     per_kind = F.array_compact(F.array(*[F.col(f"__k{i}") for i in range(len(kinds))]))
     each = rows.select("__at", "__owner", "__repository", F.explode(per_kind).alias("m")).select("__at", "__owner", "__repository", F.posexplode("m").alias("i", "m"))
@@ -90,7 +92,7 @@ def candidates(docs: DataFrame, text: str = "text", owner: str = "source", repos
     so_far = W.partitionBy("__at", "kind").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
     each = each.withColumn("end", F.sum(F.col("before") + F.col("size")).over(so_far))
     hits = each.where("hash is not null").select("__at", "__owner", "__repository", "kind", (F.col("end") - F.col("size")).alias("start"), "end", "hash")
-    plain = rows.select("__at", *[F.col(n).alias(c) for c, n in names.items() if c != text])
+    plain = rows.select("__at", *[F.col(n).alias(c) for c, n in own.items()])
     return plain, hits
 
 
@@ -113,7 +115,8 @@ def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository:
     Labelled findings are matches from the left without overlap, kind by kind. Bare ones are added where they overlap
     none of these and are `live`. Null and empty texts have no finding; texts of any length are searched whole; rows that
     repeat are rows of their own, and their value counts once for each distinct owner and repository; null owners are one
-    owner. An empty table gives empty results. Extra columns are kept, whatever their names but __at.
+    owner. An empty table gives empty results. Extra columns are kept, but for those named as in
+    ADDED.
     """
     rows, hits = candidates(docs, text, owner, repository)
     hits = cut(hits)

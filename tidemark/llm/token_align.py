@@ -334,12 +334,13 @@ def alignments(docs: DataFrame, a: str, b: str, text: str = "text") -> DataFrame
 
 
 def linked(aligned: DataFrame, size_b: int) -> tuple[DataFrame, DataFrame]:
-    """(rows with n_best and count_sum, pairs(code, a, b, documents, best)) of what `alignments` gave, without its groups.
+    """(rows with n_best and count_sum, pairs(code, a, b, documents, best)) of what `alignments` gave, without its groups
+    and without columns of its own named n_best, count_sum or __at.
 
     A pair's documents are counted over the corpus after each task has added up its own. The HEAD most frequent pairs
     are broadcast to the documents' pairs; the rest, each in few documents, meet theirs by exchange.
     """
-    rows = cut(aligned.drop("groups")).withColumn("__at", F.monotonically_increasing_id())
+    rows = cut(aligned.drop("groups", "n_best", "count_sum", "__at")).withColumn("__at", F.monotonically_increasing_id())
     counts = rows.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count("*").alias("documents"))
     a = F.expr(f"code div {size_b}").cast("int")
     counts = cut(counts.withColumn("a", a))
