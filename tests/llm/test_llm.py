@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.oracle import connect, same
 from tidemark.llm import bpe, fm_index, html_text, langid, mixing, ngram_join, pii, queries, sharding, substring_dedup, vectors
+from tidemark.llm.common import Union
 
 SF, SF2 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -353,6 +354,60 @@ def test_near_vectors_miss_no_link_of_a_large_label(spark, shape):
     assert all(got[i][1] == (0 if shape == "hub" else i % n) for i in got)
 
 
+def _hub(rng, dim, spokes, cosine=0.95):
+    """A centre and rows that link with it, and hardly with each other."""
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    centre = unit(rng.standard_normal((1, dim)))
+    off = rng.standard_normal((spokes, dim))
+    off = unit(off - (off * centre).sum(1, keepdims=True) * centre)
+    return np.concatenate([centre, cosine * centre + np.sqrt(1 - cosine**2) * off])
+
+
+def _reached(links, start):
+    union = Union()
+    for a, b in links:
+        union.join(a, b)
+    return {i for i in union.up if union.find(i) == union.find(start)}
+
+
+def test_windows_reach_as_far_as_they_unite():
+    """A row in the middle of what crowds around it sees it all, in one batch or in several, and nothing of other tags."""
+    rng = np.random.default_rng(7)
+    x = _hub(rng, 64, 400)
+    ids, tag = np.arange(1000, 1401), np.full(401, "t")
+    order = np.concatenate([np.arange(1, 201), [0], np.arange(201, 401)])
+    links, goes_on = vectors._windows(tag, ids[order], x[order], 8, 0.93)
+    assert _reached(links, 1000) == set(range(1000, 1401)) and 200 in goes_on
+    # the centre comes with an earlier batch, then rows of its tag, then rows of another one
+    other = np.array(["t"] * 301 + ["u"] * 100)
+    links, goes_on = vectors._windows(other, ids, x, 8, 0.93, fresh=1, wide=1)
+    assert _reached(links, 1000) == set(range(1000, 1301)) and 0 not in goes_on
+    assert vectors._windows(tag[:1], ids[:1], x[:1], 8, 0.93) == ([], [])
+
+
+def test_near_vectors_reach_over_small_batches(spark):
+    """Hubs whose copies fill many batches and partitions lose no link, at a window far below a hub's copies."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate([_hub(rng, 48, 700), _hub(rng, 48, 300), rng.standard_normal((500, 48))])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "100")
+    try:
+        got = {r.vec_id: r.n_links for r in vectors.near_duplicates(_embeddings(spark, [(i, v.tolist(), 1) for i, v in enumerate(x)]), window=16).collect()}
+    finally:
+        spark.conf.set(key, before)
+    link = x @ x.T >= 0.93
+    np.fill_diagonal(link, False)
+    assert got == dict(enumerate(link.sum(1).tolist()))
+
+
+def test_passes_follow_the_rows_of_a_label():
+    rows = [10, 5_000, 10**6, 10**8]
+    found = [vectors._passes(n, 0.93, 48, 1e-4) for n in rows]
+    assert found == sorted(found) and found[0] == 1 and found[1] < found[2] < found[3] < 200
+
+
 def test_near_vectors_odd_rows(spark):
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1), (5, [0.0, 0.0], 1), (6, [float("inf"), 0.0], 1), (7, [1.0, 0.0], 2), (8, [1.0, 0.0], 1), (9, [1.0], 1), (None, [1.0, 0.0], 1)]
     got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(_embeddings(spark, rows)).collect()}

@@ -195,7 +195,7 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024)
 # ---------------------------------------------------------------------------------------------------------------
 # Near-duplicates: sorted projection passes.
 
-#: Rows of one label that are compared with as many others in a task, STRIP of them at once.
+#: Rows of one component that are compared with as many others in a task, STRIP of them at once.
 BLOCK = 2048
 STRIP = 512
 
@@ -230,26 +230,50 @@ def _codes(x: np.ndarray, passes: int, bits: int, seed: int) -> np.ndarray:
     return signs @ (np.int64(1) << np.arange(bits - 1, -1, -1, dtype=np.int64))
 
 
-def _windows(tag: np.ndarray, ids: np.ndarray, x: np.ndarray, window: int, least: float, fresh: int = 0) -> list[tuple[int, int]]:
-    """Links among rows within `window` of each other and of the same tag, from row `fresh` on; a spanning set."""
-    union, out = Union(), []
-    for d in range(1, min(window, len(ids) - 1) + 1):
-        low = max(0, fresh - d)
-        hit = np.flatnonzero((tag[low:-d] == tag[low + d :]) & (np.einsum("ij,ij->i", x[low:-d], x[low + d :]) >= least)) + low
-        out += [(a, b) for a, b in zip(ids[hit].tolist(), ids[hit + d].tolist(), strict=True) if union.join(a, b)]
-    return out
+def _windows(tag: np.ndarray, ids: np.ndarray, x: np.ndarray, window: int, least: float, fresh: int = 0, wide: int = 0) -> tuple[list[tuple[int, int]], list[int]]:
+    """Links among rows of one tag that unite them, from row `fresh` on, and the rows whose reach goes on behind the last.
 
+    Rows within `window` of each other are compared. A row that united anything reaches `window` rows further, on both
+    sides, and again as long as that unites something: so a hub sees all the copies that crowd around it, and the work
+    stays in proportion to rows and unions. The first `wide` rows are such rows of an earlier batch.
+    """
+    union, out, grown, n = Union(), [], set(), len(ids)
+
+    def unites(row: int, others: np.ndarray) -> bool:
+        new = [o for o in others.tolist() if union.join(row, o)]
+        out.extend((int(ids[row]), int(ids[o])) for o in new)
+        return bool(new)
 
-def _pairs(a: pd.DataFrame, b: pd.DataFrame | None, least: float) -> list[tuple[int, int, int | None]]:
-    """All links of the rows of a with those of b, or with each other: (rep, links, None), and (component, 0, component)
-    of a spanning set of the links between components."""
+    for d in range(1, min(window, n - 1) + 1):
+        low = max(0, fresh - d)
+        hit = np.flatnonzero((tag[low:-d] == tag[low + d :]) & (np.einsum("ij,ij->i", x[low:-d], x[low + d :]) >= least)) + low
+        for row in hit.tolist():
+            if unites(row, np.array([row + d])):
+                grown |= {row, row + d}
+    starts = np.concatenate([[0], np.flatnonzero(tag[1:] != tag[:-1]) + 1])
+    stops, open_ = np.append(starts[1:], n), []
+    for row in sorted(grown | set(range(wide))):
+        run = np.searchsorted(starts, row, "right") - 1
+        first, last = int(starts[run]), int(stops[run])
+        at = max(row + window + 1, fresh if row < wide else 0)
+        while at < last and unites(row, at + np.flatnonzero(x[at : min(at + window, last)] @ x[row] >= least)):
+            at += window
+        if at >= last == n:
+            open_.append(row)
+        at = row - window if row >= wide else first
+        while at > first and unites(row, max(first, at - window) + np.flatnonzero(x[max(first, at - window) : at] @ x[row] >= least)):
+            at -= window
+    return out, open_
+
+
+def _tally(a: pd.DataFrame, b: pd.DataFrame | None, least: float) -> list[tuple[int, int]]:
+    """(rep, links) of the rows of a with those of b, or with each other."""
     alone = b is None
     b = a if alone else b
     if not len(a) or not len(b):
         return []
     x, y = np.stack(a["x"].to_list()), np.stack(b["x"].to_list())
-    many, own, other = [d["many"].to_numpy() for d in (a, b)], a["component"].to_numpy(), b["component"].to_numpy()
-    na, nb, union, links = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64), Union(), []
+    many, na, nb = [d["many"].to_numpy() for d in (a, b)], np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
     for k in range(0, len(a), STRIP):
         hit = x[k : k + STRIP] @ y.T >= least
         if alone:
@@ -257,26 +281,35 @@ def _pairs(a: pd.DataFrame, b: pd.DataFrame | None, least: float) -> list[tuple[
             hit[at, k + at] = False
         na[k : k + STRIP] = hit @ many[1]
         nb += many[0][k : k + STRIP] @ hit
-        p, q = np.nonzero(hit & (own[k : k + STRIP, None] != other))
-        links += [(c, 0, d) for c, d in np.unique(np.stack([own[k + p], other[q]], 1), axis=0).tolist() if union.join(c, d)]
     counts = [(a, na)] if alone else [(a, na), (b, nb)]
-    return links + [(r, n, None) for d, m in counts for r, n in zip(d["rep"].tolist(), m.tolist(), strict=True)]
+    return [(r, n) for d, m in counts for r, n in zip(d["rep"].tolist(), m.tolist(), strict=True)]
+
+
+def _passes(rows: int, least: float, window: int, miss: float) -> int:
+    """Passes after which a link of cosine `least` among so many rows of a label is missed with a chance of `miss`.
+
+    Two vectors at angle t agree in a bit with chance 1 - t / pi, and stand within the window when they agree in as many
+    bits as part the label's rows into windows.
+    """
+    agree = (1 - np.arccos(np.clip(least, -1, 1)) / np.pi) ** max(0.0, np.log2(max(rows, 1) / window))
+    return max(1, int(np.ceil(np.log(miss) / np.log(max(1e-300, 1 - min(agree, 1 - 1e-9))))))
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.93, passes: int = 12, window: int = 48, bits: int = 40, seed: int = 5) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = 0.93, window: int = 48, miss: float = 1e-4, bits: int = 40, seed: int = 5) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row; rows with the same non-null label and a cosine of at least
     `least` link.
 
     1. Equal vectors of one label become one row with a count.
-    2. In each of `passes` passes the rows are ordered lexicographically by label and the concatenated signs of `bits`
-       random projections, by a range exchange and a sort; neighbours within `window` are compared by their true
-       cosine, also across the borders of partitions. A spanning set of each batch's links goes on.
-    3. The passes' links are united by connected components.
-    4. All pairs of a label are compared in blocks of BLOCK x BLOCK: every link is counted, and those between
-       components, which the passes missed, unite them. The work of this step is the square of a label's rows.
-
-    Defined cases: vectors that are null,
-    zero or hold null or non-finite components, null labels and null ids link with nothing and are components of their
+    2. In each pass the rows are ordered lexicographically by label and the concatenated signs of `bits` random
+       projections, by a range exchange and a sort; neighbours within `window` are compared by their true cosine, also
+       across the borders of partitions, and further as long as that unites rows (within a partition). The number of
+       passes grows with the largest label so that a link of cosine `least` is missed with a chance of about `miss`.
+    3. The links of all passes are united by connected components.
+    4. Links are counted among the rows of a component, a large one in blocks of BLOCK x BLOCK. The work of this step is
+       the square of a component's different vectors, not of a label's rows.
+
+    A link that no pass and no chain of links unites is missed.
+    Defined cases: vectors that are null, zero or hold null or non-finite components, null labels and null ids link with nothing and are components of their
     own; vectors of different length aren't compared; repeated ids get the same result; empty tables, empty results.
     """
     held = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x"), F.col("label"))
@@ -293,13 +326,15 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, passes: int = 12, w
                 for k in range(passes):
                     yield pd.DataFrame({"tag": [f"{k}\x1f{d}\x1f{s}" for d, s in zip(g["dim"], g["label"], strict=True)], "code": codes[:, k], "rep": g["rep"].to_numpy(), "x": x})
 
+    largest = reps.groupBy("label", dim).count().agg(F.max("count")).first()[0] or 0
+    passes = _passes(largest, least, window, miss)
     coded = reps.select("rep", "label", "x", dim.alias("dim")).mapInPandas(code, "tag string, code long, rep long, x binary")
     total = reps.count() * passes
     parts = max(1, min(100_000, -(-total // 50_000)))
 
     def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pid = TaskContext.get().partitionId()
-        tail, start = None, 0
+        tail = wide = None
         columns = ["a", "b", "part", "place", "tag", "x"]
         for p in batches:
             if not len(p):
@@ -308,15 +343,19 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, passes: int = 12, w
             if tail is None:
                 head = now.head(window)
                 yield pd.DataFrame({"a": head["rep"].to_numpy(), "b": 0, "part": pid, "place": np.arange(len(head)), "tag": head["tag"].to_numpy(), "x": head["x"].to_numpy()})[columns]
-            else:
-                now = pd.concat([tail, now])
-            fresh = 0 if tail is None else len(tail)
+                tail = wide = now.head(0)
+            held = pd.concat([wide, tail, now], ignore_index=True)
+            goes_on = []
             # vectors of one tag have one length; others never meet
-            for dim_, g in now.assign(at=np.arange(len(now))).groupby(now["x"].map(len).to_numpy()):
-                links = _windows(g["tag"].to_numpy(), g["rep"].to_numpy(), np.stack([np.frombuffer(b, np.float64) for b in g["x"]]), window, least, int((g["at"] < fresh).sum()))
+            for _, g in held.groupby(held["x"].map(len).to_numpy()):
+                at = g.index.to_numpy()
+                older, fresh = int((at < len(wide)).sum()), int((at < len(wide) + len(tail)).sum())
+                links, open_ = _windows(g["tag"].to_numpy(), g["rep"].to_numpy(), np.stack([np.frombuffer(b, np.float64) for b in g["x"]]), window, least, fresh, older)
+                goes_on += at[open_].tolist()
                 yield pd.DataFrame(links, columns=["a", "b"]).assign(part=-1, place=0, tag="", x=None)[columns]
-            tail = now.tail(window)
-            start += len(p)
+            last = pd.concat([tail, now], ignore_index=True)
+            tail = last.tail(window)
+            wide = held.loc[[i for i in sorted(goes_on) if i < len(held) - len(tail) and held.at[i, "tag"] == held["tag"].iloc[-1]]]
         if tail is not None:
             yield pd.DataFrame({"a": tail["rep"].to_numpy(), "b": 0, "part": pid, "place": np.arange(-len(tail), 0), "tag": tail["tag"].to_numpy(), "x": tail["x"].to_numpy()})[columns]
 
@@ -329,32 +368,29 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, passes: int = 12, w
         p = p.sort_values("place")
         out = []
         for _, g in p.groupby("tag"):
-            links = _windows(g["tag"].to_numpy(), g["a"].to_numpy(), np.stack([np.frombuffer(b, np.float64) for b in g["x"]]), window, least)
+            links = _windows(g["tag"].to_numpy(), g["a"].to_numpy(), np.stack([np.frombuffer(b, np.float64) for b in g["x"]]), window, least)[0]
             out += links
         return pd.DataFrame(out, columns=["a", "b"])
 
     links = swept.where("part = -1").select("a", "b").unionAll(border.groupBy("border").applyInPandas(meet, "a long, b long"))
     comp = cut(components(links))
-    # exact: every pair of rows of a label and length, each row with its component of the passes
-    inside = reps.join(comp, F.col("rep") == F.col("id"), "left").select("rep", "many", "x", "label", dim.alias("dim"), F.coalesce("component", "rep").alias("component"))
-    sizes = cut(inside.groupBy("label", "dim").agg(F.count("*").alias("rows"), F.ceil(F.count("*") / BLOCK).cast("int").alias("n")))
-    own = inside.join(sizes, ["label", "dim"]).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
+    inside = reps.join(comp, F.col("rep") == F.col("id")).select("component", "rep", "many", "x")
+    sizes = cut(inside.groupBy("component").agg(F.count("*").alias("rows"), F.ceil(F.count("*") / BLOCK).cast("int").alias("n")))
+    own = inside.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
     met = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    met = met.select("label", "dim", "rep", "many", "x", "component", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
+    met = met.select("component", "rep", "many", "x", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
     copies = sizes.agg(F.sum(F.col("n") * F.col("rows"))).first()[0] or 0
-    bucket = F.pmod(F.xxhash64("label", "dim", "i", "j"), F.lit(max(1, -(-int(copies) // BLOCK))))
+    bucket = F.pmod(F.xxhash64("component", "i", "j"), F.lit(max(1, -(-int(copies) // BLOCK))))
 
     def tally(p: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for (_, _, i, j), g in p.groupby(["label", "dim", "i", "j"]):
-            out += _pairs(g[g["own"] == i], None if i == j else g[g["own"] == j], least)
-        return pd.DataFrame(out, columns=["rep", "n", "other"]).astype({"other": "Int64"})
-
-    counted = cut(met.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(tally, "rep long, n long, other long"))
-    missed = components(counted.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))).select(F.col("id").alias("was"), F.col("component").alias("now"))
-    counts = counted.where("other is null").groupBy("rep").agg(F.sum("n").alias("n"))
-    found = reps.select("key", "rep", "many").join(counts, "rep", "left").join(comp, F.col("rep") == F.col("id"), "left").withColumn("was", F.coalesce("component", "rep")).join(missed, "was", "left")
-    found = found.select("key", (F.coalesce("n", F.lit(0)) + F.col("many") - 1).alias("n"), F.coalesce("now", "was").alias("c"))
+        for (_, i, j), g in p.groupby(["component", "i", "j"]):
+            out += _tally(g[g["own"] == i], None if i == j else g[g["own"] == j], least)
+        return pd.DataFrame(out, columns=["rep", "n"])
+
+    counts = met.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(tally, "rep long, n long").groupBy("rep").agg(F.sum("n").alias("n"))
+    found = reps.select("key", "rep", "many").join(counts, "rep", "left").join(comp, F.col("rep") == F.col("id"), "left")
+    found = found.select("key", (F.coalesce("n", F.lit(0)) + F.col("many") - 1).alias("n"), F.coalesce("component", "rep").alias("c"))
     told = rows.select("vec_id", "key").join(found, "key").groupBy("vec_id").agg(F.max("n").alias("n"), F.min("c").alias("c"))
     out = held.select("vec_id").join(told.withColumnRenamed("vec_id", "v"), F.col("vec_id") == F.col("v"), "left")
     component = F.coalesce("c", "vec_id")
