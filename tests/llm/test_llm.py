@@ -321,6 +321,28 @@ def test_top_k_bounds_prune(spark):
     assert len(q) < 0.5 * len(ids) * len(search.ids)
 
 
+def test_top_k_memory_of_many_queries():
+    """A whole chunk of queries against a batch of rows: arrays follow the blocks, and the finds are those of brute force."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    x = np.floor(1024 * rng.standard_normal((28_000, 64)) / 8)
+    packed = [(i, v.tobytes()) for i, v in enumerate(x)]
+    rows = np.floor(1024 * rng.standard_normal((1500, 64)) / 8)
+    tracemalloc.start()
+    search = vectors._searches(packed, 5)[64]
+    got = search.best(rows, np.arange(100_000, 101_500))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 600_000_000
+    seeds = x[: vectors.SEEDS]
+    for q in range(0, 28_000, 997):
+        score = rows @ x[q]
+        others = np.sort(np.delete(seeds @ x[q], q) if q < len(seeds) else seeds @ x[q])[-5:]
+        want = {(100_000 + int(r), int(score[r])) for r in np.argsort(-score, kind="stable")[:5] if score[r] >= others[0]}
+        assert want <= {(r, v) for n, r, v in got if n == q}
+
+
 def test_near_vectors_by_brute_force(spark):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((40, 16))

@@ -29,8 +29,9 @@ from .common import Union, components, cut
 
 #: Bytes of queries that a pass over the rows carries at most; a broadcast of this bound.
 CHUNK = 32_000_000
-#: Queries among which first scores are looked for and the transform is found; rows that are scored at once.
-SEEDS, ROWS = 4096, 4096
+#: Queries among which first scores are looked for and the transform is found; rows and queries that are compared at
+#: once, which bound a worker's arrays whatever the number of queries.
+SEEDS, ROWS, QUERIES = 4096, 512, 2048
 #: Shares of the components that stand one by one, coarse to fine; segments of the others.
 LEVELS, REST = (0.0, 0.125, 0.25, 0.5, 0.625, 0.75, 0.875), 4
 
@@ -83,27 +84,29 @@ class Search:
         self.norm = np.sqrt((x * x).sum(1))
         self.least = np.full(len(ids), -np.inf)
 
-    def survivors(self, rows: np.ndarray, rid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, row) that may be among a query's k best; every pair that is, is here."""
-        y = rows @ self.turn
-        slack = 1e-9 * (1 + np.sqrt((rows * rows).sum(1))[:, None] * self.norm[None, :])
-        held, done, open_ = np.zeros((len(rows), len(self.ids))), 0, rid[:, None] != self.ids[None, :]
+    def survivors(self, rows: np.ndarray, rid: np.ndarray, first: int = 0, last: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, row) that may be among a query's k best, of the queries first to last; every pair that is, is
+        here."""
+        y, of = rows @ self.turn, slice(first, len(self.ids) if last is None else last)
+        slack = 1e-9 * (1 + np.sqrt((rows * rows).sum(1))[:, None] * self.norm[None, of])
+        open_ = rid[:, None] != self.ids[None, of]
+        held, done = np.zeros(open_.shape), 0
         for m, stats in self.levels:
-            held += y[:, done:m] @ self.y[:, done:m].T
+            held += y[:, done:m] @ self.y[of, done:m].T
             done = m
-            open_ &= held + _statistics(y, m) @ stats.T + slack >= self.least
+            open_ &= held + _statistics(y, m) @ stats[of].T + slack >= self.least[of]
             if not open_.any():
                 break
         at = np.nonzero(open_)
-        return at[1], at[0]
+        return at[1] + first, at[0]
 
     def best(self, rows: np.ndarray, rid: np.ndarray) -> list[tuple[int, int, int]]:
         """(query number, row id, score) of each query's k best rows but itself, fewer where others are known to be
         better: larger score, then smaller id. What is found raises the bar for the rows that follow."""
         out: list[tuple[int, int, int]] = []
-        for a in range(0, len(rows), ROWS):
+        for a, b in ((a, b) for a in range(0, len(rows), ROWS) for b in range(0, len(self.ids), QUERIES)):
             part, ids = rows[a : a + ROWS], rid[a : a + ROWS]
-            q, r = self.survivors(part, ids)
+            q, r = self.survivors(part, ids, b, min(b + QUERIES, len(self.ids)))
             score = np.concatenate([_exact(part[r[i : i + 65536]], self.x[q[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.zeros(0)])
             order = np.lexsort((ids[r], -score, q)) if score.dtype != object else np.array(sorted(range(len(q)), key=lambda i: (q[i], -score[i], ids[r[i]])), int)
             q, r, score = q[order], r[order], score[order]
@@ -128,12 +131,13 @@ def _searches(rows: list[tuple[int, bytes]], k: int) -> dict[int, Search]:
     for dim, some in by.items():
         s = Search(np.array([i for i, _ in some]), np.stack([x for _, x in some]).reshape(len(some), dim), k)
         seeds, ids = s.x[:SEEDS], s.ids[:SEEDS]
-        for a in range(0, len(s.ids), SEEDS):
-            score = s.x[a : a + SEEDS] @ seeds.T
-            score[s.ids[a : a + SEEDS, None] == ids[None, :]] = -np.inf
+        for a in range(0, len(s.ids), ROWS):
+            score = s.x[a : a + ROWS] @ seeds.T
+            score[s.ids[a : a + ROWS, None] == ids[None, :]] = -np.inf
             if len(seeds) > k:
-                kth = np.partition(score, -k, axis=1)[:, -k]
-                s.least[a : a + SEEDS] = np.where(np.isfinite(kth), kth - 1e-9 * (1 + np.abs(kth)), -np.inf)
+                score.partition(score.shape[1] - k, axis=1)
+                kth = score[:, -k]
+                s.least[a : a + ROWS] = np.where(np.isfinite(kth), kth - 1e-9 * (1 + np.abs(kth)), -np.inf)
         out[dim] = s
     return out
 
