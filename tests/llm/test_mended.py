@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, langid, mixing, pii, sharding
+from tidemark.llm import bpe, html_text, langid, mixing, pii, queries, sharding
 
 CLASH = "doc_id long, text string, lang string, source string, __text string, __c0 string, __input long, __size long"
 
@@ -107,6 +107,21 @@ def test_rows_without_ids_part_by_their_texts(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, again.collect()), key=repr)
 
 
+def test_tokens_keep_columns_of_any_name(spark):
+    """Internal names and ones that need quoting stay; columns of the results' names are replaced, whatever their case."""
+    names = ["doc_id", "text", "__input", "c0", "c1", "a.b", "IDS", "n_tokens"]
+    rows = [(1, "two words", 7, 8, 9, [1, 2], "x", 5), (2, None, None, None, None, None, None, None), (2, "", 1, 1, 1, [], "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __input long, c0 long, c1 long, `a.b` array<long>, IDS string, n_tokens long")
+    got = bpe.digests(docs, queries.VOCABULARY)
+    assert got.columns == [*names[:-1], "n_tokens", "ids_sha256", "decoded_sha256"]
+    kept = sorted((tuple(r)[:7] for r in got.collect()), key=str)
+    assert kept == sorted((r[:7] for r in rows), key=str)
+    tokens = bpe.encode(docs, queries.VOCABULARY)
+    assert tokens.columns == [n for n in names if n != "IDS"] + ["ids"]
+    back = bpe.decode(tokens, queries.VOCABULARY, text="text")
+    assert sorted(r.text for r in back.collect()) == sorted(bpe.decode(tokens, queries.VOCABULARY).toPandas()["decoded"])
+
+
 def test_shards_keep_columns_of_their_own_names(spark):
     df = spark.createDataFrame([(i, 10 + i % 7, 777, i * 3, "x", 5) for i in range(500)], "doc_id long, size long, __part int, __rank int, __at string, __c0 long")
     got = sharding.histogram_sort(df, "doc_id", "size", 4).collect()

@@ -20,6 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from .common import small_batches
 
@@ -218,6 +219,9 @@ class WordBpe:
         return " ".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
+KINDS = {"long": LongType(), "string": StringType(), "binary": BinaryType()}
+ARROW = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+
 _loaded: dict[str, WordBpe] = {}
 
 
@@ -265,26 +269,27 @@ def digests(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
 
 
 def _apply(docs: DataFrame, vocabulary: str, column: str, added: list[tuple[str, str]], work) -> DataFrame:
-    """Add columns made by work(bpe, values). A column of the same name is replaced."""
+    """Add columns made by work(bpe, values). A column of the same name is replaced; columns of any other name are kept.
+
+    Null and empty values give empty results, of no tokens; repeated rows stay rows of their own.
+    """
     small_batches(docs)
     with open(vocabulary, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())  # 2 MB, whatever the input
-    names = [n for n, _ in added]
-    kept = [f for f in docs.schema.fields if f.name not in names or f.name == column]
-    held = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{column}`").alias("__input"))
-    kept = [f for f in kept if f.name not in names]
-    types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    names = {n.lower() for n, _ in added}
+    kept = [f for f in docs.schema.fields if f.name.lower() not in names]
+    # by place, so that no name of the input meets one of these; the last one is what the work reads
+    held = docs.select(*[F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(kept)], F.col(f"`{column}`").alias(f"c{len(kept)}"))
+    schema = StructType([*kept, *[StructField(n, KINDS[t]) for n, t in added]])
+    out = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _load(spec.value)
         for batch in batches:
-            at = batch.schema.get_field_index("__input")
-            for first, values in _portions(batch, at):
+            for first, values in _portions(batch, len(out) - len(added)):
                 rows = work(bpe, values)
-                part = batch.slice(first, len(values))
-                arrays = [part.column(part.schema.get_field_index(f.name)) for f in kept]
-                arrays += [pa.array(c, types[t]) for c, (_, t) in zip(zip(*rows, strict=True), added, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, [f.name for f in kept] + names)
+                arrays = batch.slice(first, len(values)).columns[:-1]
+                arrays += [pa.array(c, ARROW[t]) for c, (_, t) in zip(zip(*rows, strict=True), added, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, out)
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{n}` {t}" for n, t in added])
     return held.mapInArrow(run, schema)

@@ -151,7 +151,8 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024)
     Scores beyond 64 bits are null.
 
     Defined cases: vectors of different length aren't compared; repeated ids are rows of their own as candidates (but
-    for the query's own id) and one query; fewer than k candidates give all; empty tables give empty results.
+    for the query's own id) and one query; fewer than k candidates give all; empty tables give empty results; further
+    columns of any name are left out.
     """
     held = cut(quantise(vectors, scale))
     asked = held.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("x").alias("x"))
@@ -314,7 +315,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, window: int = 48, m
 
     A link that no pass and no chain of links unites is missed.
     Defined cases: vectors that are null, zero or hold null or non-finite components, null labels and null ids link with nothing and are components of their
-    own; vectors of different length aren't compared; repeated ids get the same result; empty tables, empty results.
+    own; vectors of different length aren't compared; repeated ids get the same result; empty tables, empty results;
+    further columns of any name are left out.
     """
     held = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x"), F.col("label"))
     rows = cut(_distinct(held))
