@@ -20,11 +20,11 @@ from .common import Union, components, cut
 # Exact top-k: multi-resolution segment statistics.
 #
 # Vectors are turned by an orthogonal transform, which changes no inner product but gathers what varies in front, and
-# cut into segments: the first m components one by one, the rest into REST segments. A segment of length L has a mean
-# and a deviation. By Cauchy-Schwarz in every segment the squared distance of two vectors is at least the sum of
+# cut into segments: the first m components one by one, the rest into segments of L components, of which L halves from
+# level to level. A segment has a mean and a deviation. By Cauchy-Schwarz in every segment the squared distance of two vectors is at least the sum of
 # L * ((difference of means)^2 + (difference of deviations)^2); with both norms known, that is an upper bound of the
 # inner product: the sum of L * (product of means + product of deviations), where a segment of one component is its own
-# mean. From coarse to fine, m grows, and pairs whose bound is below the query's k-th best score so far drop out; only
+# mean. From coarse to fine, m grows and L shrinks, and pairs whose bound is below the query's k-th best score so far drop out; only
 # survivors get the exact integer product.
 
 #: Bytes of queries that a pass over the rows carries at most; a broadcast of this bound.
@@ -32,8 +32,8 @@ CHUNK = 32_000_000
 #: Queries among which first scores are looked for and the transform is found; rows and queries that are compared at
 #: once, which bound a worker's arrays whatever the number of queries.
 SEEDS, ROWS, QUERIES = 4096, 512, 2048
-#: Shares of the components that stand one by one, coarse to fine; segments of the others.
-LEVELS, REST = (0.0, 0.125, 0.25, 0.5, 0.625, 0.75, 0.875), 4
+#: Shares of the components that stand one by one, coarse to fine; segments of all components at the coarsest level.
+LEVELS, COARSE = (0.0, 0.125, 0.25, 0.5, 0.625, 0.75, 0.875), 4
 
 
 def quantise(vectors: DataFrame, scale: int, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -44,20 +44,23 @@ def quantise(vectors: DataFrame, scale: int, vec_id: str = "vec_id", embedding:
     return held.where(good & F.col("vec_id").isNotNull()).select("vec_id", F.transform(embedding, lambda c: F.floor(c * scale).cast("double")).alias("x"))
 
 
-def _statistics(x: np.ndarray, single: int) -> np.ndarray:
+def _statistics(x: np.ndarray, single: int, length: int) -> np.ndarray:
     """Columns whose products, beside those of the first `single` components, bound the inner products from above:
-    sqrt(L) * mean and sqrt(L) * deviation of each segment of the rest."""
-    edge = np.linspace(single, x.shape[1], REST + 1).astype(int)
-    out = [np.zeros((len(x), 0))]
-    for a, b in zip(edge[:-1], edge[1:], strict=True):
-        if b > a:
-            part = x[:, a:b]
-            out += [part.mean(1, keepdims=True) * np.sqrt(b - a), part.std(1, keepdims=True) * np.sqrt(b - a)]
-    return np.concatenate(out, 1)
+    sqrt(L) * mean and sqrt(L) * deviation of each segment of `length` components of the rest, the last one shorter."""
+    rest = x[:, single:]
+    if not rest.shape[1]:
+        return np.zeros((len(x), 0))
+    start = np.arange(0, rest.shape[1], length)
+    size = np.diff(start, append=rest.shape[1])
+    total = np.add.reduceat(rest, start, axis=1)
+    apart = rest - np.repeat(total / size, size, axis=1)
+    return np.concatenate([total / np.sqrt(size), np.sqrt(np.add.reduceat(apart * apart, start, axis=1))], 1)
 
 
-def _levels(dim: int) -> list[int]:
-    return sorted({int(dim * share) for share in LEVELS})
+def _levels(dim: int) -> list[tuple[int, int]]:
+    """(components one by one, length of the others' segments), coarse to fine: lengths halve, down to two."""
+    singles = sorted({int(dim * share) for share in LEVELS})
+    return [(m, max(2, -(-dim // COARSE) >> k)) for k, m in enumerate(singles)]
 
 
 def _transform(x: np.ndarray) -> np.ndarray:
@@ -80,7 +83,7 @@ class Search:
         self.ids, self.x, self.k = ids, x, k
         self.turn = _transform(x[:SEEDS]) if x.shape[1] else np.zeros((0, 0))
         self.y = x @ self.turn
-        self.levels = [(m, _statistics(self.y, m)) for m in _levels(x.shape[1])]
+        self.levels = [(m, length, _statistics(self.y, m, length)) for m, length in _levels(x.shape[1])]
         self.norm = np.sqrt((x * x).sum(1))
         self.least = np.full(len(ids), -np.inf)
 
@@ -91,10 +94,10 @@ class Search:
         slack = 1e-9 * (1 + np.sqrt((rows * rows).sum(1))[:, None] * self.norm[None, of])
         open_ = rid[:, None] != self.ids[None, of]
         held, done = np.zeros(open_.shape), 0
-        for m, stats in self.levels:
+        for m, length, stats in self.levels:
             held += y[:, done:m] @ self.y[of, done:m].T
             done = m
-            open_ &= held + _statistics(y, m) @ stats[of].T + slack >= self.least[of]
+            open_ &= held + _statistics(y, m, length) @ stats[of].T + slack >= self.least[of]
             if not open_.any():
                 break
         at = np.nonzero(open_)
