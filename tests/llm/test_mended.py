@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, html_text, langid, mixing, pii, queries, sharding
+from tidemark.llm import bpe, html_text, langid, mixing, pii, queries, sharding, vectors
 
 CLASH = "doc_id long, text string, lang string, source string, __text string, __c0 string, __input long, __size long"
 
@@ -141,3 +141,45 @@ def test_rows_larger_than_the_tolerance_end_the_refining(spark, monkeypatch):
         goal = total * k / 8
         cuts.append(min(range(len(below)), key=lambda j: (abs(below[j] - goal), j)))
     assert [got[i] for i, _ in sizes] == [sum(c <= j for c in cuts) for j in range(300)]
+
+
+def test_what_a_mix_is_told_to_miss_is_what_it_misses(spark):
+    """Moves are found from counts; made, they leave just the miss that the counts told, also in a size that most rows have."""
+    rng = np.random.default_rng(5)
+    size = np.where(rng.random(3000) < 0.6, 40, rng.integers(1, 300, 3000))
+    rows = [(i, "w " * int(n), (None, "a", "b", "c")[int(k)]) for i, (n, k) in enumerate(zip(size, rng.integers(0, 4, 3000), strict=True))]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    for mend in (0, 6):
+        got = mixing.mix_sources(table, mend=mend, near=0.0).toPandas()
+        assert len(got) == 3000 and got.doc_id.is_unique and got.copies.between(0, 2).all()
+        for _, part in got.groupby(got.source.fillna("-")):
+            left = part.target.iloc[0] - part.taken.sum()
+            assert part.miss.nunique() == 1 and abs(part.miss.iloc[0] - left) < 1e-6
+            assert mend == 0 or abs(left) <= 1
+
+
+def test_moves_take_documents_of_hot_sizes_once(spark, monkeypatch):
+    """Forty rows of a size in parts of one: two moves of the same cell, one up and one down, change different rows."""
+    monkeypatch.setattr(mixing, "small", lambda df: df)
+    rows = [(None, s % 7, k, 5, 1) for s in range(7) for k in range(1, 7)]
+    out = spark.createDataFrame(rows, "__source string, __salt int, __k int, size long, copies int")
+    moves = spark.createDataFrame([(None, 5, 1, [(5, 1, 1, 0, 10), (5, 1, -1, 10, 3)])], "s string, z long, c int, moves array<struct<z:bigint,c:int,by:int,used:bigint,n:bigint>>")
+    got = mixing._moved(out, moves).toPandas()
+    assert got.copies.value_counts().to_dict() == {1: 29, 2: 10, 0: 3} and not got.duplicated(["__salt", "__k"]).any()
+    cells = spark.createDataFrame([("a", 5, 1, 42), ("a", 50, 0, 1), ("b", 9, 2, 3)], "source string, size long, copies int, rows long")
+    state = spark.createDataFrame([("a", 300.0, 37.0), ("b", 100.0, 40.0)], "source string, goal double, miss double")
+    told = {r.source: (r.miss, [(m.z, m.c, m.by, m.used, m.n) for m in r.moves]) for r in mixing._moves(cells, state, 2, 6, 0.001).collect()}
+    assert told["a"] == (2.0, [(5, 1, 1, 0, 7)]) and told["b"] == (40.0, [])  # all of b have their most
+
+
+def test_bounds_are_never_below_the_product_and_get_finer():
+    rng = np.random.default_rng(2)
+    for dim in (1, 3, 5, 64, 100):
+        x, y = rng.standard_normal((50, dim)) * np.linspace(9, 1, dim), rng.standard_normal((40, dim)) * np.linspace(9, 1, dim)
+        over = []
+        for m, length in vectors._levels(dim):
+            bound = x[:, :m] @ y[:, :m].T + vectors._statistics(x, m, length) @ vectors._statistics(y, m, length).T
+            assert (bound >= x @ y.T - 1e-9).all()
+            over.append((bound - x @ y.T).mean())
+        assert over == sorted(over, reverse=True)
+    assert [n for _, n in vectors._levels(64)] == [16, 8, 4, 2, 2, 2, 2]

@@ -3,8 +3,9 @@
 Of all document rates r in [0, 2] that meet each source's token target, take those nearest to one copy each in
 entropy. The dual is convex with one multiplier t a source, and the rates are exponentially tilted by size:
 r = 2 / (1 + exp(-t * size / mean size)). Newton steps on the dual are aggregations over (source, size, rows) - all
-that the rates depend on. Rates become whole copies by cumulative rounding in order of size, and what a source is then
-off is mended by single copies.
+that the rates depend on. Rates become whole copies by cumulative rounding in order of size. What a source is then off
+is mended by single copies of some documents: which sizes, and how many of each, is found from counts by (source, size,
+copies), so that documents are rewritten once.
 
 Defined cases: null text has size 0; null is a source of its own, last in order; sources or tables without words take
 nothing; repeated rows are documents of their own; an empty table gives an empty result; other columns are kept, but
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, cut
+from .common import WORD, cut, small
 
 #: Parts, at least, in which documents of one source and size are numbered, and rows to a part where there are more.
 SALT, PART = 64, 500_000
@@ -95,6 +96,51 @@ def tilt(sizes: DataFrame, goals: DataFrame, most: float = 2.0, steps: int = 60,
     return now
 
 
+def _moves(cells: DataFrame, state: DataFrame, most: int, mend: int, near: float) -> DataFrame:
+    """state(source, goal, miss) after at most `mend` moves a source: miss, and the moves.
+
+    cells(source, size, copies, rows) counts documents. A move changes n documents of one (size, copies) by one copy:
+    those after the first `used`, which earlier moves have taken. Of all moves the one that leaves least is made.
+    """
+    state = state.withColumn("moves", F.array().cast("array<struct<z:bigint,c:int,by:int,used:bigint,n:bigint>>"))
+    for step in range(mend):
+        off = state.where(F.abs("miss") > near * F.col("goal")).select(F.col("source").alias("s"), "miss", "moves")
+        could = cells.where("size > 0").join(off, F.col("source").eqNullSafe(F.col("s")))
+        could = could.withColumn("used", F.expr("aggregate(filter(moves, m -> m.z = size and m.c = copies), 0L, (a, m) -> a + m.n)"))
+        could = could.withColumn("n", F.least(F.col("rows") - F.col("used"), F.greatest(F.lit(1), F.round(F.abs("miss") / F.col("size")).cast("long"))))
+        could = could.withColumn("left", F.abs(F.abs("miss") - F.col("n") * F.col("size")))
+        could = could.where(((F.col("miss") > 0) & (F.col("copies") < most) | (F.col("miss") < 0) & (F.col("copies") > 0)) & (F.col("n") > 0) & (F.col("left") < F.abs("miss")))
+        pick = could.groupBy("s").agg(F.min(F.struct("left", "n", "size", "copies", "used")).alias("p"))
+        by = F.signum("miss").cast("int")
+        move = F.struct(F.col("p.size").alias("z"), F.col("p.copies").alias("c"), by.alias("by"), F.col("p.used").alias("used"), F.col("p.n").alias("n"))
+        made = F.col("p").isNotNull()
+        state = cut(state.join(pick, F.col("source").eqNullSafe(F.col("s")), "left").select(
+            "source", "goal",
+            F.when(made, F.col("miss") - by * F.col("p.n") * F.col("p.size")).otherwise(F.col("miss")).alias("miss"),
+            F.when(made, F.concat("moves", F.array(move))).otherwise(F.col("moves")).alias("moves"),
+        ))
+        if state.where(F.size("moves") > step).isEmpty():
+            break
+    return state
+
+
+def _moved(out: DataFrame, moves: DataFrame) -> DataFrame:
+    """out with the moves(s, z, c, moves) made. Documents of other (source, size, copies) aren't exchanged; the others
+    are numbered by parts, whose counts give each part its first number."""
+    marked = out.join(small(moves), F.col("__source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("copies") == F.col("c")), "left").drop("s", "z", "c")
+    cell = ["__source", "size", "copies"]
+    some = marked.where("moves is not null")
+    prior = Window.partitionBy(*cell).orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
+    parts = some.groupBy(*cell, "__salt").agg(F.count("*").alias("n")).withColumn("skip", F.coalesce(F.sum("n").over(prior), F.lit(0)))
+    parts = parts.select(F.col("__source").alias("s"), F.col("size").alias("z"), F.col("copies").alias("c"), F.col("__salt").alias("a"), "skip")
+    ranked = some.withColumn("at", F.row_number().over(Window.partitionBy(*cell, "__salt").orderBy("__k")))
+    same = F.col("__source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("copies") == F.col("c")) & (F.col("__salt") == F.col("a"))
+    ranked = ranked.join(parts, same).withColumn("at", F.col("at") + F.col("skip"))
+    by = F.expr("aggregate(filter(moves, m -> m.used < at and at <= m.used + m.n), 0, (a, m) -> a + m.by)")
+    ranked = ranked.withColumn("copies", (F.col("copies") + by).cast("int"))
+    return marked.where("moves is null").select(*out.columns).unionAll(ranked.select(*out.columns))
+
+
 def mix_sources(
     docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: int = 2,
     text: str = "text", source: str = "source", doc_id: str = "doc_id", mend: int = 6, near: float = 0.001,
@@ -102,8 +148,8 @@ def mix_sources(
     """docs with size, source_size, target, rate, copies (0 .. most), taken = copies * size, and miss: the source's
     target less all that it takes.
 
-    mend: rounds in which each source that is more than `near` off its target changes one document by a copy. What is
-    missed after these, as where single documents are larger than the miss, is told by `miss`.
+    mend: sizes at most, of whose documents a source that is more than `near` off its target changes some by a copy. What
+    is missed after these, as where single documents are larger than the miss, is told by `miss`.
     """
     made = ("size", "source_size", "target", "rate", "copies", "taken", "miss")
     kept = {f"__c{i}": c for i, c in enumerate(docs.columns) if c != text and c not in made}
@@ -132,19 +178,13 @@ def mix_sources(
     copies = F.floor(end + 0.5 + 1e-9) - F.floor(end - F.col("rate") + 0.5 + 1e-9)
     copies = F.when(F.col("rate") >= most, F.lit(most)).otherwise(F.greatest(F.lit(0), F.least(F.lit(most), copies))).cast("int")
     out = cut(j.select(*kept, "__source", "__salt", "__k", "size", "source_size", "target", "rate", copies.alias("copies")))
-    for _ in range(mend):
-        off = out.groupBy("__source").agg(F.max("target").alias("goal"), (F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("miss"))
-        off = off.where(F.abs("miss") > near * F.col("goal")).withColumnRenamed("__source", "s")
-        could = out.join(off, F.col("__source").eqNullSafe(F.col("s"))).where(
-            ((F.col("miss") > 0) & (F.col("copies") < most) | (F.col("miss") < 0) & (F.col("copies") > 0)) & (F.abs(F.abs("miss") - F.col("size")) < F.abs("miss"))
-        )
-        pick = could.groupBy("s").agg(F.min(F.struct(F.abs(F.abs("miss") - F.col("size")).alias("left"), "size", "__salt", "__k", F.signum("miss").cast("int").alias("by"))).alias("p"))
-        pick = cut(pick.select("s", F.col("p.size").alias("z"), F.col("p.__salt").alias("a"), F.col("p.__k").alias("k"), F.col("p.by").alias("by")))
-        if pick.isEmpty():
-            break
-        hit = F.col("__source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("__salt") == F.col("a")) & (F.col("__k") == F.col("k"))
-        out = cut(out.join(pick, hit, "left").select(*[c for c in out.columns if c != "copies"], (F.col("copies") + F.coalesce(F.col("by"), F.lit(0))).cast("int").alias("copies")))
+    cells = cut(out.groupBy(F.col("__source").alias("source"), "size", "copies").agg(F.count("*").alias("rows"), F.max("target").alias("target")))
+    miss = F.max("target") - F.sum(F.col("copies") * F.col("size") * F.col("rows"))
+    state = _moves(cells, cut(cells.groupBy("source").agg(F.max("target").alias("goal"), miss.alias("miss"))), most, mend, near)
+    made = state.select(F.col("source").alias("s"), F.explode("moves").alias("m")).groupBy("s", "m.z", "m.c").agg(F.collect_list("m").alias("moves"))  # mend a source at most
+    made = cut(made)
+    if not made.isEmpty():
+        out = _moved(out, made)
+    told = out.join(small(state.select(F.col("source").alias("s"), "miss")), F.col("__source").eqNullSafe(F.col("s")))
     taken = (F.col("copies") * F.col("size")).cast("long")
-    left = out.groupBy(F.col("__source").alias("s")).agg((F.max("target") - F.sum(taken)).alias("miss"))  # a row a source
-    told = out.join(left, F.col("__source").eqNullSafe(F.col("s")))
     return told.select(*[F.col(n).alias(c) for n, c in kept.items()], "size", "source_size", "target", "rate", "copies", taken.alias("taken"), "miss")
