@@ -26,7 +26,13 @@ from pyspark.sql import functions as F
 from .common import cut, small
 
 # Types in order of precedence, and their patterns (Java regular expressions).
-EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# Repeated groups are possessive: Java's greedy ones take stack for every repeat, and a text with a thousand of them would
+# end the executor. So an address's last part (the last one that starts with two letters) is found by looking ahead.
+_OTHERS = r"(?:\.(?![A-Za-z]{2})[A-Za-z0-9-]++)*+"
+EMAIL = (
+    r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]++"
+    rf"(?:{_OTHERS}\.[A-Za-z]{{2}}[A-Za-z0-9-]*+(?={_OTHERS}\.[A-Za-z]{{2}}))*+{_OTHERS}\.[A-Za-z]{{2,}}"
+)
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
 IPV6 = r"(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])"
 CARD = r"(?<![\d-])(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}|3\d{3}([ -]?)\d{6}\2\d{5}|\d{13,19})(?![\d-])"
@@ -56,7 +62,7 @@ BEFORE = r"\b(?:(?:" + _TITLES + r")\.?|" + "|".join(ANNOUNCED) + r") "
 NAME = rf"(?=\p{{Lu}})(?<={BEFORE}){_CAP}(?: {_CAP}){{0,2}}"
 #: Two capitalised words or more, none of them a title, the start of an address or a part of a longer token.
 _PLAIN = rf"(?!(?:{_TITLES})\b|[\w.%+-]*@){_CAP}(?![\p{{L}}\p{{N}}'-])"
-SEQUENCE = rf"(?<![\p{{L}}\p{{N}}'-]){_PLAIN}(?: {_PLAIN})+"
+SEQUENCE = rf"(?<![\p{{L}}\p{{N}}'-]){_PLAIN}(?: {_PLAIN})++"
 TYPES = {"email": EMAIL, "ip": IP, "ipv6": IPV6, "iban": IBAN, "card": CARD, "ssn": SSN, "phone": PHONE}
 LATIN = "ba be bi bo da de di do fa fe ga ge la le li lo ma me mi mo na ne ni no ra re ri ro sa se so ta te ti to va ve vi vo za".split()
 CYRILLIC = "ба бе би бо да де ди до га ле ли ло ма ме ми мо на не ни но ра ре ри ро са се со та те ти то ва ве ви во за".split()
