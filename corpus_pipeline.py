@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, langid, mixing, ngram_join, pii
-from tidemark.llm.common import cut, table, without
+from tidemark.llm.common import by_exchange, cut, table, without
 from tidemark.llm.queries import PII_KEY, VOCABULARY
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -29,7 +29,11 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     in a group the one with the smaller hash of its text stays, so reruns agree. Rows without an id, and null or empty
     texts, link with nothing and stay; an empty table gives an empty one.
     """
-    docs = docs.select(*COLUMNS)
+    with by_exchange(spark):
+        return _one_of_each_group(docs.select(*COLUMNS))
+
+
+def _one_of_each_group(docs: DataFrame) -> DataFrame:
     often = cut(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if often.isEmpty():
         found = ngram_join.jaccard_join(docs.select("doc_id", "text"), n=5, percent=80)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, html_text, langid, mixing, pii, queries, sharding, vectors
+from tidemark.llm import bpe, common, html_text, langid, mixing, pii, queries, sharding, vectors
 
 CLASH = "doc_id long, text string, lang string, source string, __text string, __c0 string, __input long, __size long"
 
@@ -199,3 +199,24 @@ def test_addresses_end_as_before(spark):
     texts = ["a@b.com2", "a@b.com2.1 x", "a@b.co-op", "a@b.c.de.f.gh.i", "a@b..com", "a@b.1.2.uk.", "a@b.c", "a.b+c@d-e.f1.org@x.com", "a@1.com"]
     seen = spark.createDataFrame([(t,) for t in texts], "t string").select(F.regexp_extract_all("t", F.lit(pii.EMAIL), F.lit(0)).alias("m")).collect()
     assert [r.m for r in seen] == [["a@b.com"], ["a@b.com"], ["a@b.co"], ["a@b.c.de.f.gh"], [], ["a@b.1.2.uk"], [], ["a.b+c@d-e.f1.org"], ["a@1.com"]]
+
+
+def test_small_joins_of_the_near_duplicates_stay_out_of_the_driver(spark):
+    """Joins found to be small while they run aren't broadcast inside `by_exchange`; the session is as before after it."""
+    key = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+
+    def plan():
+        sums = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+        joined = spark.range(5000).withColumn("k", F.xxhash64("id") % 7).groupBy("k").count().withColumnRenamed("count", "n").join(sums, "k")
+        joined.collect()
+        return joined._jdf.queryExecution().executedPlan().toString()
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200")
+    try:
+        assert spark.conf.get(key, None) is None
+        with common.by_exchange(spark):
+            assert "SortMergeJoin" in plan() and spark.conf.get(key) == "-1"
+        assert spark.conf.get(key, None) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

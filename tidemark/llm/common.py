@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -133,6 +135,25 @@ def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(ids) if ids.count() <= FEW else ids, key, "left_anti")
 
 
+@contextmanager
+def by_exchange(spark: SparkSession) -> Iterator[None]:
+    """Joins that run meanwhile aren't turned into broadcasts when a side is found to be small; those marked so still are.
+
+    Each such broadcast leaves megabytes in the driver, however few its rows, until a full collection of garbage finds
+    it: a step of a hundred joins fills the driver with them, most of all on small input.
+    """
+    conf, key = spark.conf, "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = conf.get(key, None)
+    conf.set(key, "-1")
+    try:
+        yield
+    finally:
+        if before is None:
+            conf.unset(key)
+        else:
+            conf.set(key, before)
+
+
 #: Bits of the filter of ids that spares rows an exchange: 8 MB, whatever the input.
 BITS = 1 << 26
 
