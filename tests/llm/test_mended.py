@@ -214,9 +214,11 @@ def test_small_joins_of_the_near_duplicates_stay_out_of_the_driver(spark):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200")
     try:
-        assert spark.conf.get(key, None) is None
+        spark.conf.set(key, "10m")
+        assert "BroadcastHashJoin" in plan()
         with common.by_exchange(spark):
             assert "SortMergeJoin" in plan() and spark.conf.get(key) == "-1"
-        assert spark.conf.get(key, None) is None
+        assert spark.conf.get(key) == "10m"
     finally:
+        spark.conf.unset(key)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
