@@ -6,6 +6,8 @@ import os
 import pytest
 
 from tidemark.operators import metrics
+from tidemark.plans import workspace
+from tidemark.plans.views import Views
 from tidemark.sources import io
 from tidemark.streaming import jobs
 
@@ -61,3 +63,47 @@ def test_inventory_lists_without_reading(spark):
     assert sum(b for (iso, _), b in got.items() if iso == "Y") == 3
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
+
+
+def _lines(v):
+    """What the containers of a workspace hold, and the workspace."""
+    w = workspace.Workspace(v)
+    return w, io.read_packed(v.spark, w.path)
+
+
+@pytest.fixture(scope="module")
+def packed(spark):
+    return _lines(Views(spark, "/root/testdata/sf0.001"))
+
+
+def test_files_of_many_places_share_containers(spark, packed):
+    w, lines = packed
+    files, held = w.files().count(), lines.select("_metadata.file_path").distinct().count()
+    assert files > 2 * held  # a file each, in a folder of its own, takes 60 ms of a core on sf0.1
+
+
+def test_packed_files_equal_a_tree_of_folders(spark, packed):
+    w, lines = packed
+    at = jobs.scratch(spark)
+    lines.repartition("iso", "name").sortWithinPartitions("iso", "name", "at").select("iso", "name", "value").write.partitionBy("iso", "name").text(at)
+    rows = lambda df, *c: sorted(map(tuple, df.select(*c).collect()), key=repr)
+    assert rows(w.files(), "iso", "name", "bytes") == rows(io.read_inventory(spark, at), "iso", "name", "bytes")
+    for mine, other in (
+        (io.packed_observations(spark, w.path), io.read_observations(spark, f"{at}/*/name=observations.csv")),
+        (io.packed_sources(spark, w.path), io.read_sources(spark, f"{at}/*/name=metadata.csv")),
+    ):
+        assert mine.columns == other.columns and rows(mine, *mine.columns) == rows(other, *mine.columns) and mine.count() > 5
+    logs = io.read_logs(spark, f"{at}/*/name=search_log_agent_*")
+    sizes = ["iso", "agent", "length(content)"]
+    assert rows(io.packed_logs(spark, w.path).selectExpr(*sizes), *sizes) == rows(logs.selectExpr(*sizes), *sizes)
+
+
+def test_a_packed_inventory_reads_no_contents(spark, packed):
+    plan = packed[0].files()._jdf.queryExecution().executedPlan().toString()
+    assert "value" not in plan and "bytes" in plan
+
+
+def test_waves_are_told_apart_by_containers(spark, packed):
+    w, _ = packed
+    late = {(r.iso, r.name) for r in w.files().collect() if r.modified > w.first}
+    assert {n for _, n in late} >= {"notes.txt"} and not {n for _, n in late} & {"observations.csv", "metadata.csv", metrics.AUDIT}

@@ -62,6 +62,54 @@ def read_inventory(spark: SparkSession, path: str) -> DataFrame:
     return x.groupBy("iso", "name").agg(F.sum("length").alias("bytes"), F.max("modificationTime").alias("modified"))
 
 
+#: Files of many places in few containers: a row a line, lines in order of `at`, the line of names at -1.
+PACKED = "iso string, name string, at long, bytes long, value string"
+_LOG = "search_log_agent_"
+
+
+def pack(lines: DataFrame, path: str) -> None:
+    """Appends lines(iso, name, at, value) of places' files to the containers at path.
+
+    With a file in a folder for each place and name, what it takes to make, commit and open them outweighs what they
+    hold. A container takes the lines of any number of files, and lines of one file may stand in several containers.
+    """
+    size = (F.octet_length("value") + 1).cast("long").alias("bytes")
+    lines.select("iso", "name", F.col("at").cast("long").alias("at"), size, "value").write.mode("append").parquet(path)
+
+
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PACKED).parquet(path)
+
+
+def packed_inventory(spark: SparkSession, path: str) -> DataFrame:
+    """What read_inventory tells of a folder, of containers: iso, name, bytes, modified. Contents aren't read; a file is as
+    new as the newest container that holds a line of it."""
+    x = read_packed(spark, path).select("iso", "name", "bytes", F.col("_metadata.file_modification_time").alias("modified"))
+    return x.groupBy("iso", "name").agg(F.sum("bytes").alias("bytes"), F.max("modified").alias("modified"))
+
+
+def _packed_csv(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "quote": '"', "escape": '"'}
+    x = read_packed(spark, path).where((F.col("name") == name) & (F.col("at") >= 0))
+    return x.select("iso", F.from_csv("value", schema + ", _corrupt_record string", options).alias("r")).select("r.*", "iso")
+
+
+def packed_observations(spark: SparkSession, path: str) -> DataFrame:
+    return _packed_csv(spark, path, "observations.csv", OBSERVATIONS)
+
+
+def packed_sources(spark: SparkSession, path: str) -> DataFrame:
+    return _packed_csv(spark, path, "metadata.csv", SOURCES)
+
+
+def packed_logs(spark: SparkSession, path: str) -> DataFrame:
+    """One row a log: iso, agent, content."""
+    x = read_packed(spark, path).where(F.col("name").startswith(_LOG))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda r: F.concat(r["value"], F.lit("\n")))
+    x = x.groupBy("iso", "name").agg(F.array_join(lines, "").alias("content"))
+    return x.select("iso", F.regexp_extract("name", _AGENT, 1).try_cast("int").alias("agent"), "content")
+
+
 def read_text_safe(spark: SparkSession, path: str) -> DataFrame:
     """Files as text: UTF-8, else Latin-1."""
     x = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
