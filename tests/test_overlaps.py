@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import scalars
 from tidemark.operators import joins, quality
 
 D = dt.date(1969, 6, 1)
@@ -62,3 +63,27 @@ def test_the_longest_domain_wins(spark):
     tiers = spark.createDataFrame([("who.int", 1), ("Apps.who.int", 2)], "host string, tier int")
     got = quality.domain_tier(spark.createDataFrame(list(enumerate(urls)), "idx long, url string"), tiers)
     assert [r.tier for r in got.orderBy("idx").collect()] == [1, 2, 0, 0, 0, 0, 0, 2]
+
+
+def test_sources_are_counted_without_listing_pairs(spark, monkeypatch):
+    def pairs(*_):
+        raise AssertionError("pairs are listed")
+
+    monkeypatch.setattr(joins, "overlap_join", pairs)
+    rng = random.Random(5)
+    rows = []
+    for i in range(1500):  # long outbreaks hold many periods of a source; places and sources may be null
+        s = D + dt.timedelta(rng.randrange(-400, 800))
+        days = rng.choice([None, 0, 1, 3, rng.randrange(400) if i % 10 == 0 else 8])
+        rows.append((i, rng.choice(["a", "a", "b", "c", None]), rng.choice([*"STUVWXYZ", None]), rng.randrange(100), s, None if days is None else s + dt.timedelta(days)))
+    obs = spark.createDataFrame(rows, "idx long, location string, source string, scases long, tl date, tr date")
+    meet = lambda p, q: q[4] <= (p[5] or p[4]) and p[4] <= (q[5] or q[4])
+    want = {p[0]: len({q[2] for q in rows if p[1] and q[1] == p[1] and p[2] and q[2] and q[2] != p[2] and meet(p, q)}) for p in rows if p[3] > 50}
+    assert {r.idx: r.others for r in joins.confirm_major(obs, 50).collect()} == want and max(want.values()) == 7
+
+
+def test_dates_of_intervals_need_no_parsing(spark):
+    df = spark.createDataFrame([(1, D, None), (2, D, D), (3, D, D - dt.timedelta(1)), (4, None, D)], "i long, tl date, tr date")
+    got = scalars.parse_interval(df)
+    assert sorted((r.i, r.tl, r.tr) for r in got.collect()) == [(1, D, D), (2, D, D)]
+    assert "to_date" not in got._jdf.queryExecution().executedPlan().toString().lower() and "cast" not in got._jdf.queryExecution().executedPlan().toString().lower()

@@ -23,8 +23,9 @@ def map_source(df: DataFrame, mapping: dict[str, str] | None = None, drop_unknow
 
 def parse_interval(df: DataFrame, tl: str = "tl", tr: str = "tr") -> DataFrame:
     """Dates from text or dates; an empty end is the start; bad or reversed intervals go."""
-    date = lambda c: F.expr(f"try_to_date(nullif(trim(cast({c} as string)), ''), 'yyyy-MM-dd')")
-    blank = F.expr(f"coalesce(trim(cast({tr} as string)), '') = ''")
+    dated = {c for c, kind in df.dtypes if kind == "date"}  # these are taken as they are
+    date = lambda c: F.col(c) if c in dated else F.expr(f"try_to_date(nullif(trim(cast({c} as string)), ''), 'yyyy-MM-dd')")
+    blank = F.col(tr).isNull() if tr in dated else F.expr(f"coalesce(trim(cast({tr} as string)), '') = ''")
     out = df.withColumns({"__l": date(tl), "__r": date(tr)}).withColumns({tl: F.col("__l"), tr: F.when(blank, F.col("__l")).otherwise(F.col("__r"))})
     return out.drop("__l", "__r").where(f"{tl} <= {tr}")
 

@@ -127,18 +127,23 @@ def gap_fill(gaps: DataFrame, intervals: DataFrame) -> DataFrame:
 def confirm_major(obs: DataFrame, min_cases: int = 1000) -> DataFrame:
     """Outbreaks above min_cases with the number of other sources that overlap in time at the place.
 
-    Each source's intervals become few merged periods and outbreaks of one place and time are asked once, so what meets
-    grows with the calendar and the sources of a place, not with the square of its rows. An outbreak's own source
-    always overlaps it, and is taken off again.
+    Counted by ranks, without listing pairs: each source's intervals become few merged periods, and a source whose k
+    periods meet an outbreak has k - 1 of its gaps inside it. So the sources are the periods that have started by its end
+    and not ended before its start, less the gaps inside. An outbreak's own source always overlaps it, and is taken off.
     """
     o = S.parse_interval(obs)
-    major = o.where(F.col("scases") > min_cases).select("idx", "location", "source", "tl", "tr").distinct()
-    held = o.groupBy("location", "source", "tl").agg(F.max("tr").alias("tr")).withColumn("__k", F.struct("location", "source"))
-    periods = coverage_periods(held, "__k", "tl", "tr", 0).select("__k.location", "__k.source", "first_date", "last_date")
-    asked = major.select("location", F.col("tl").alias("a"), F.col("tr").alias("b")).distinct()
-    hit = overlap_join(asked, periods, "location", ("a", "b"), ("first_date", "last_date"))
-    n = hit.groupBy("location", "a", "b").agg((F.count_distinct("source") - 1).alias("others")).withColumnsRenamed({"a": "tl", "b": "tr"})
-    return major.join(n, ["location", "tl", "tr"], "left").select("idx", "location", F.coalesce("others", F.lit(0)).alias("others"))
+    major = cut(o.where(F.col("scases") > min_cases).select("idx", "location", "source", "tl", "tr").distinct())
+    held = o.where("location is not null and source is not null").select(F.struct("location", "source").alias("__k"), "tl", "tr")
+    follows = F.lead("first_date").over(W.partitionBy("__k").orderBy("first_date"))
+    periods = coverage_periods(held, "__k", "tl", "tr", 0).withColumn("next", follows)
+    periods = cut(periods.select(F.col("__k.location").alias("iso"), "first_date", "last_date", "next"))
+    asked = major.where("location is not null").select(F.col("location").alias("iso"), "tl", "tr").distinct()
+    met = _meeting(periods, "first_date", "last_date", asked)
+    inside = _inside(periods.where("next is not null"), "last_date", "next", asked)
+    n = met.join(inside, ["iso", "tl", "tr"], "left").withColumn("others", F.col("n") - F.coalesce("inside", F.lit(0)) - 1)
+    out = major.join(n.withColumnRenamed("iso", "location"), ["location", "tl", "tr"], "left")
+    known = F.when(F.col("source").isNotNull(), F.col("others"))
+    return out.select("idx", "location", F.coalesce(known, F.lit(0).cast("long")).alias("others"))
 
 
 def _up_to(counts: DataFrame, asked: DataFrame, day: str) -> DataFrame:
@@ -148,6 +153,35 @@ def _up_to(counts: DataFrame, asked: DataFrame, day: str) -> DataFrame:
     return daily.withColumn("n", F.sum("n").over(W.partitionBy("iso").orderBy(day)))
 
 
+def _meeting(intervals: DataFrame, start: str, end: str, asked: DataFrame) -> DataFrame:
+    """asked(iso, tl, tr) with n: how many intervals(iso, start, end) of the place meet tl..tr. None is listed as a pair."""
+    starts = intervals.groupBy("iso", F.col(start).alias("day")).agg(F.count("*").alias("n"))
+    ends = intervals.groupBy("iso", F.date_add(end, 1).alias("day")).agg(F.count("*").alias("n"))
+    begun = _up_to(starts, asked.select("iso", F.col("tr").alias("day")).distinct(), "day").withColumnsRenamed({"day": "tr", "n": "__begun"})
+    over = _up_to(ends, asked.select("iso", F.col("tl").alias("day")).distinct(), "day").withColumnsRenamed({"day": "tl", "n": "__over"})
+    met = asked.join(begun, ["iso", "tr"]).join(over, ["iso", "tl"])
+    return met.withColumn("n", F.col("__begun") - F.col("__over")).drop("__begun", "__over")
+
+
+def _inside(intervals: DataFrame, start: str, end: str, asked: DataFrame) -> DataFrame:
+    """asked(iso, tl, tr) with `inside`, how many intervals(iso, start, end) lie in tl..tr, where there are any.
+
+    What is asked is covered by blocks of days, a few for each doubling of its length, and an interval stands in the block
+    of each length that holds its start; in a block ends are counted up to the last day asked for.
+    """
+    long = asked.agg(F.max(F.datediff("tr", "tl"))).first()[0] or 0
+    levels = (long + 1).bit_length() + 1
+    cell = lambda c: F.struct("iso", F.col(f"{c}.level").alias("level"), F.col(f"{c}.block").alias("block")).alias("iso")
+    day = lambda c: F.unix_date(F.col(c)).cast("long")
+    few = intervals.where(F.datediff(end, start) <= long).groupBy("iso", start, end).agg(F.count("*").alias("n"))
+    held = few.withColumn("__c", F.explode(_blocks_of(day(start), levels))).groupBy(cell("__c"), F.col(end).alias("day")).agg(F.sum("n").alias("n"))
+    sought = asked.withColumn("__c", F.explode(dyadic_cover(day("tl"), day("tr"), levels))).select(cell("__c"), "tl", "tr")
+    sought = sought.join(held.select("iso"), "iso", "left_semi")
+    ends = _up_to(held, sought.select("iso", F.col("tr").alias("day")).distinct(), "day").withColumnRenamed("day", "tr")
+    found = sought.join(ends.where("n > 0"), ["iso", "tr"])
+    return found.groupBy(F.col("iso.iso").alias("iso"), "tl", "tr").agg(F.sum("n").alias("inside"))
+
+
 def neighbour_overlap(obs: DataFrame, neighbours: DataFrame) -> DataFrame:
     """Outbreaks of a place with how many of neighbouring places overlap in time. neighbours: iso, list of iso.
 
