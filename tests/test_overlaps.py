@@ -87,3 +87,23 @@ def test_dates_of_intervals_need_no_parsing(spark):
     got = scalars.parse_interval(df)
     assert sorted((r.i, r.tl, r.tr) for r in got.collect()) == [(1, D, D), (2, D, D)]
     assert "to_date" not in got._jdf.queryExecution().executedPlan().toString().lower() and "cast" not in got._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_gaps_are_filled_without_listing_pairs(spark, monkeypatch):
+    def pairs(*_):
+        raise AssertionError("pairs are listed")
+
+    monkeypatch.setattr(joins, "overlap_join", pairs)
+    rng = random.Random(7)
+    day = dt.timedelta(1)
+    starts = {iso: [D + day * (k * 30 - 400) for k in range(40)] for iso in ("a", "b", "c", "without", None)}
+    gaps = [(iso, s, s + day * n, n + 1) for iso, of in starts.items() for s in of for n in [rng.randrange(50)]]  # they overlap
+    fill = [(iso, s, s + day * rng.choice([0, 1, 2, 9, 40, 300 if iso == "c" else 3])) for iso, n in (("a", 400), ("b", 40), ("c", 5), (None, 20)) for _ in range(n) for s in [D + day * rng.randrange(-500, 900)]]
+    fill += [*fill[::3], ("a", D, D - day), ("a", None, D), ("a", D, None)]
+    got = joins.gap_fill(spark.createDataFrame(gaps, "iso string, gap_start date, gap_end date, gap_days int"), spark.createDataFrame(fill, "iso string, tl date, tr date"))
+    want = []
+    for iso, s, e, n in gaps:
+        met = {f for f in fill if iso and f[0] == iso and f[1] and f[2] and f[1] <= f[2] and f[1] <= e and f[2] >= s}
+        days = {x for f in met for x in range(max(f[1], s).toordinal(), min(f[2], e).toordinal() + 1)}
+        want.append((iso, s, n, len(met), len(days), round(len(days) * 100 / n, 1)))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)

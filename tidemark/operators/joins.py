@@ -112,16 +112,31 @@ def overlap_join(a: DataFrame, b: DataFrame, key: str, at: tuple[str, str], bt:
 
 
 def gap_fill(gaps: DataFrame, intervals: DataFrame) -> DataFrame:
-    """Of each gap: overlapping intervals, days they fill (each once), days in all and the filled percentage."""
-    i = intervals.select("iso", "tl", "tr").distinct()
-    hit = overlap_join(gaps.select("iso", "gap_start", "gap_end"), i, "iso", ("gap_start", "gap_end"), ("tl", "tr"))
-    hit = hit.withColumn("k", F.concat_ws("|", "iso", F.col("gap_start").cast("string"))).withColumns({"s": F.greatest("tl", "gap_start"), "e": F.least("tr", "gap_end")})
-    count = hit.groupBy("iso", "gap_start").agg(F.count("*").alias("intervals"))
-    days = coverage_periods(hit, "k", "s", "e", 1).groupBy("k").agg(F.sum(F.datediff("last_date", "first_date") + 1).alias("d"))
-    g = gaps.join(count, ["iso", "gap_start"], "left").withColumn("k", F.concat_ws("|", "iso", F.col("gap_start").cast("string"))).join(days, "k", "left")
-    filled = F.coalesce("d", F.lit(0))
-    pct = F.round(filled * 100.0 / F.col("gap_days"), 1)
-    return g.select("iso", "gap_start", "gap_days", F.coalesce("intervals", F.lit(0)).alias("intervals"), filled.alias("filled_days"), pct.alias("filled_pct"))
+    """Of each gap: overlapping intervals, days they fill (each once), days in all and the filled percentage.
+
+    Counted along the days of a place, without listing pairs: what overlaps a gap has started by its end and not ended
+    before its start, and a day is filled while some have started and not ended. Equal intervals go first, so a place
+    sorts its different ones only, and all of a place is dealt once. Gaps of a place differ in their days.
+    """
+    i = intervals.select("iso", "tl", "tr").where("iso is not null and tl <= tr").distinct()
+    i = i.withColumns({"days": F.lit(None).cast("int"), "gap": F.lit(False)})
+    g = gaps.select("iso", F.col("gap_start").alias("tl"), F.col("gap_end").alias("tr"), F.col("gap_days").alias("days"), F.lit(True).alias("gap"))
+    held = i.unionByName(g).repartition("iso")
+    asked = lambda start: F.when(F.col("gap"), F.struct("tl", "tr", "days", F.lit(start).alias("start"))).alias("gap")
+    one = lambda when, name: F.when(when & ~F.col("gap"), 1).otherwise(0).alias(name)
+    side = lambda day, start: F.struct(day.alias("day"), one(F.lit(start), "s"), one(F.lit(not start), "e"), asked(start))
+    rows = held.select("iso", F.explode(F.array(side(F.unix_date("tl"), True), side(F.unix_date("tr") + 1, False))).alias("x")).select("iso", "x.*")
+    by = W.partitionBy("iso").orderBy("day")
+    upto, until = by.rangeBetween(W.unboundedPreceding, 0), by.rangeBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumns({"begun": F.sum("s").over(upto), "over": F.sum("e").over(upto), "before": F.sum("s").over(until), "next": F.lead("day").over(by)})
+    filled = F.when(F.col("begun") > F.col("over"), F.col("next") - F.col("day"))
+    rows = rows.withColumn("filled", F.sum(filled).over(until)).where("gap is not null")
+    at = lambda c, start: F.coalesce(F.max(F.when(F.col("gap.start") == start, F.col(c))), F.lit(0))
+    counts = (at("before", False) - at("over", True)).alias("n"), (at("filled", False) - at("filled", True)).alias("d")
+    out = rows.groupBy("iso", F.col("gap.tl").alias("gap_start"), F.col("gap.tr").alias("gap_end"), F.col("gap.days").alias("gap_days")).agg(*counts)
+    valid = lambda c: F.when(F.col("gap_start") <= F.col("gap_end"), F.col(c)).otherwise(F.lit(0).cast("long"))
+    out = out.select("iso", "gap_start", "gap_days", valid("n").alias("intervals"), valid("d").alias("filled_days"))
+    return out.withColumn("filled_pct", F.round(F.col("filled_days") * 100.0 / F.col("gap_days"), 1))
 
 
 def confirm_major(obs: DataFrame, min_cases: int = 1000) -> DataFrame:
